@@ -19,11 +19,19 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Column
 from pyspark.sql import functions as F
 
+from ..functions.exprs import md5_bucket
+
 
 @dataclass(frozen=True)
 class Graph:
-    edges: DataFrame      # src, dst, cnt
-    vertices: DataFrame   # id
+    """``edges`` (src, dst, cnt) plus optional ``extra_ids`` (id): nodes that
+    must exist even without any link (records with an empty link list)."""
+    edges: DataFrame
+    extra_ids: DataFrame | None = None
+
+    @property
+    def vertices(self) -> DataFrame:
+        return vertices_of(self.edges, self.extra_ids)
 
 
 def _id(c: Column | str) -> Column:
@@ -68,13 +76,12 @@ def vertices_of(edges: DataFrame, record_ids: DataFrame | None = None) -> DataFr
 
 
 def graph_from_pairs(df: DataFrame, src="src", dst="dst", cnt=None) -> Graph:
-    edges = edges_from_pairs(df, src, dst, cnt)
-    return Graph(edges, vertices_of(edges))
+    return Graph(edges_from_pairs(df, src, dst, cnt))
 
 
 def graph_from_records(records: DataFrame, node: str = "node", links: str = "links") -> Graph:
-    edges = edges_from_records(records, node, links)
-    return Graph(edges, vertices_of(edges, records.select(node)))
+    return Graph(edges_from_records(records, node, links),
+                 records.select(F.col(node).cast("string").alias("id")))
 
 
 def out_degree(edges: DataFrame) -> DataFrame:
@@ -126,13 +133,6 @@ def init_graph(graph: Graph) -> DataFrame:
               .select("id", "dangling", "out_degree", (F.lit(1.0) / F.col("_n")).alias("rank")))
 
 
-def md5_bucket(col: Column, buckets: Column) -> Column:
-    """Deterministic bucket of a string: first 32 bits of its md5, modulo
-    ``buckets``.  md5 is used (not Spark's internal hash) so that the split
-    is reproducible outside Spark, e.g. by the SQL oracle."""
-    return F.pmod(F.conv(F.substring(F.md5(col), 1, 8), 16, 10).cast("bigint"), buckets)
-
-
 def adjacency_list(graph: Graph, max_per_row: int = 10_000) -> DataFrame:
     """(id, part, neighbors ARRAY<STRING>, counts ARRAY<BIGINT>, n_neighbors).
 
@@ -150,7 +150,8 @@ def adjacency_list(graph: Graph, max_per_row: int = 10_000) -> DataFrame:
              .agg(F.sort_array(F.collect_list(F.struct("dst", "cnt"))).alias("_l"))
              .select("src", "part", F.col("_l.dst").alias("neighbors"),
                      F.col("_l.cnt").alias("counts")))
-    return (graph.vertices.join(parts, graph.vertices.id == parts.src, "left")
+    v = graph.vertices
+    return (v.join(parts, v.id == parts.src, "left")
             .select("id",
                     F.coalesce("part", F.lit(0)).cast("bigint").alias("part"),
                     F.coalesce("neighbors", F.array().cast("array<string>")).alias("neighbors"),

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .graph import Graph, out_degree
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, scratch_path
 
 DEFAULT_SALT_CHUNK = 1_000_000   # target edges per (src, salt) bucket
 
@@ -41,10 +41,10 @@ DEFAULT_SALT_CHUNK = 1_000_000   # target edges per (src, salt) bucket
 @dataclass
 class PreparedGraph:
     """Loop-invariant tables, computed once before the iterations."""
-    weights: DataFrame            # src, salt, dst, w    partitioned by (src, salt), persisted
-    state0: DataFrame             # id, dangling, nsalt, rank   partitioned by id
+    weights: DataFrame            # src, salt, dst, w      partitioned by (src, salt), persisted
+    vertices: DataFrame           # id, dangling, nsalt    partitioned by id, persisted
+    state0: DataFrame             # id, dangling, nsalt, rank
     n: int                        # number of vertices
-    partitions: int
     _persisted: list = field(default_factory=list)
 
     def release(self) -> None:
@@ -59,10 +59,12 @@ def _partitions(spark: SparkSession) -> int:
 
 def prepare(graph: Graph, salt_chunk: int = DEFAULT_SALT_CHUNK,
             initial: str = "uniform") -> PreparedGraph:
-    """Build the static weights table and the initial state.
+    """Build the static weights and vertex tables and the initial state.
 
-    ``initial``: ``"uniform"`` gives 1/N to every node (the PageRank start);
-    ``"one"`` gives 1.0 to every node (the GraphX start).
+    The edge table is evaluated once: the vertex table (ids, dangling flag,
+    number of salts) is derived from the persisted weights, not from the
+    source again.  ``initial``: ``"uniform"`` gives 1/N to every node (the
+    PageRank start), ``"one"`` gives 1.0 (the GraphX start).
     """
     spark = graph.edges.sparkSession
     parts = _partitions(spark)
@@ -78,41 +80,50 @@ def prepare(graph: Graph, salt_chunk: int = DEFAULT_SALT_CHUNK,
                .repartition(parts, "src", "salt")
                .persist(StorageLevel.MEMORY_AND_DISK))
 
-    vertices = (graph.vertices.join(deg.withColumnRenamed("src", "id"), "id", "left")
-                .select("id",
-                        F.col("out_degree").isNull().alias("dangling"),
-                        F.coalesce("nsalt", F.lit(1)).alias("nsalt"))
+    ids = (weights.select(F.col("src").alias("id"), "salt")
+           .unionByName(weights.select(F.col("dst").alias("id"), F.lit(None).cast("int").alias("salt"))))
+    if graph.extra_ids is not None:
+        ids = ids.unionByName(graph.extra_ids.select(F.col("id").cast("string").alias("id"),
+                                                     F.lit(None).cast("int").alias("salt")))
+    vertices = (ids.groupBy("id").agg(F.max("salt").alias("_ms"))
+                .select("id", F.col("_ms").isNull().alias("dangling"),
+                        F.coalesce(F.col("_ms") + 1, F.lit(1)).alias("nsalt"))
                 .repartition(parts, "id")
                 .persist(StorageLevel.MEMORY_AND_DISK))
     n = vertices.count()
     start = F.lit(1.0 / n if n else 0.0) if initial == "uniform" else F.lit(1.0)
     state0 = vertices.withColumn("rank", start)
-    return PreparedGraph(weights, state0, n, parts, [weights, vertices])
+    return PreparedGraph(weights, vertices, state0, n, [weights, vertices])
 
 
 def incoming(state: DataFrame, weights: DataFrame) -> DataFrame:
     """(dst, p): rank mass arriving at each node over its in-links.
 
-    Hub ranks are replicated once per salt so the join key (id, salt) matches
-    the static partitioning of ``weights``; the per-target sum is combined
+    Hub ranks are replicated once per salt so the join key (src, salt) matches
+    the static partitioning of ``weights``: only the N rank rows move.  The
+    ranks are the hash-table side (shuffled hash join), so the much larger
+    edge side is streamed, never sorted.  The per-target sum is combined
     map-side before its shuffle.
     """
     ranks = state.select(F.col("id").alias("src"),
                          F.explode(F.sequence(F.lit(0), F.col("nsalt") - 1)).alias("salt"),
                          "rank")
-    return (ranks.join(weights, ["src", "salt"])
-                 .groupBy("dst").agg(F.sum(F.col("rank") * F.col("w")).alias("p")))
+    return (weights.join(ranks.hint("shuffle_hash"), ["src", "salt"])
+                   .groupBy("dst").agg(F.sum(F.col("rank") * F.col("w")).alias("p")))
 
 
-def step(state: DataFrame, weights: DataFrame, n: int, alpha: float = 0.15,
+def step(state: DataFrame, prepared: PreparedGraph, alpha: float = 0.15,
          redistribute: bool = True, teleport: bool = True) -> DataFrame:
     """One update of the rank vector (lazy).
 
     ``redistribute`` adds m/N (dangling mass spread uniformly); ``teleport``
     applies alpha/N + (1-alpha) * (.).  With both off this is a plain
     vector x transition-matrix product, which leaks the mass of sinks.
+    The new state is the persisted vertex table (partitioned by id) joined
+    with the incoming sums (partitioned by dst): no extra exchange.
     """
-    contrib = incoming(state, weights)
+    n = prepared.n
+    contrib = incoming(state, prepared.weights)
     p = F.coalesce(F.col("p"), F.lit(0.0))
     if redistribute:
         m = state.agg(F.coalesce(F.sum(F.when(F.col("dangling"), F.col("rank"))),
@@ -120,15 +131,29 @@ def step(state: DataFrame, weights: DataFrame, n: int, alpha: float = 0.15,
         p = m / F.lit(float(n)) + p
     if teleport:
         p = F.lit(alpha / n) + F.lit(1.0 - alpha) * p
-    joined = state.join(contrib, state.id == contrib.dst, "left")
-    return joined.select("id", "dangling", "nsalt", p.alias("rank"))
+    v = prepared.vertices
+    return (v.join(contrib.hint("shuffle_hash"), v.id == contrib.dst, "left")
+             .select("id", "dangling", "nsalt", p.alias("rank")))
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` into the reliable checkpoint folder and return a
-    frame that reads it back with its partitioning intact."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+CUT_MODE = "checkpoint"
+
+
+def cut_lineage(df: DataFrame, mode: str | None = None) -> DataFrame:
+    """Materialise ``df`` in the shared checkpoint folder and return a frame
+    reading it back, so later steps do not carry (or recompute) its lineage.
+
+    ``checkpoint``: Spark's reliable checkpoint; ``parquet``: a written table
+    in the same folder (one job, columnar, compressed).
+    """
+    mode = mode or CUT_MODE
+    spark = df.sparkSession
+    if mode == "checkpoint":
+        ensure_checkpoint_dir(spark)
+        return df.checkpoint(eager=True)
+    path = scratch_path(spark, "state")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def iterate(prepared: PreparedGraph, max_iter: int, alpha: float = 0.15,
@@ -140,7 +165,7 @@ def iterate(prepared: PreparedGraph, max_iter: int, alpha: float = 0.15,
     state = cut_lineage(prepared.state0)
     states = [state]
     for _ in range(max_iter):
-        new = cut_lineage(step(state, prepared.weights, prepared.n, alpha, redistribute, teleport))
+        new = cut_lineage(step(state, prepared, alpha, redistribute, teleport))
         if tol is not None:
             delta = (new.join(state.select("id", F.col("rank").alias("_old")), "id")
                         .agg(F.max(F.abs(F.col("rank") - F.col("_old")))).first()[0])
@@ -209,7 +234,8 @@ def pagerank_graphx(graph: Graph, reset_probability: float = 0.15, max_iter: int
     state = cut_lineage(prepared.state0)
     for _ in range(max_iter):
         contrib = incoming(state, prepared.weights)
-        new = (state.join(contrib, state.id == contrib.dst, "left")
+        v = prepared.vertices
+        new = (v.join(contrib.hint("shuffle_hash"), v.id == contrib.dst, "left")
                     .select("id", "dangling", "nsalt",
                             (F.lit(reset_probability) + F.lit(1.0 - reset_probability)
                              * F.coalesce(F.col("p"), F.lit(0.0))).alias("rank")))

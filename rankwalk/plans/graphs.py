@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.graph import Graph, edges_from_pairs, vertices_of
+from ..operators.graph import Graph, edges_from_pairs
 from ..operators.sequence import consecutive_pairs
 
 HREF_PATTERN = 'href="([^"]*)"'
@@ -30,25 +30,30 @@ def _prefixed(prefix: str, col: str):
 
 
 def trade_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(src, dst, cnt) of the trade graph.
+
+    Counting happens on the numeric keys; the string ids are built only for
+    the aggregated pairs.  The two edge families have disjoint id prefixes,
+    so their union needs no further aggregation.
+    """
     lineitem = table(spark, sf_dir, "lineitem")
-    orders = table(spark, sf_dir, "orders")
-    # Pre-aggregate line items per (order, part) before the join so the join
-    # moves counted pairs, not raw rows.
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    # Line items counted per (order, part) before the join: the join then
+    # moves counted pairs, and a hot order key is split by AQE skew handling.
     per_order = (lineitem.groupBy("l_orderkey", "l_partkey")
                  .agg(F.count(F.lit(1)).alias("n")))
-    cust_part = (per_order.join(orders.select("o_orderkey", "o_custkey"),
-                                per_order.l_orderkey == orders.o_orderkey)
+    cust_part = (per_order.join(orders, per_order.l_orderkey == orders.o_orderkey)
+                 .groupBy("o_custkey", "l_partkey").agg(F.sum("n").alias("cnt"))
                  .select(_prefixed("C", "o_custkey").alias("src"),
-                         _prefixed("P", "l_partkey").alias("dst"), F.col("n").alias("cnt")))
-    part_supp = lineitem.select(_prefixed("P", "l_partkey").alias("src"),
-                                _prefixed("S", "l_suppkey").alias("dst"),
-                                F.lit(1).alias("cnt"))
-    return edges_from_pairs(cust_part.unionByName(part_supp), "src", "dst", "cnt")
+                         _prefixed("P", "l_partkey").alias("dst"), "cnt"))
+    part_supp = (lineitem.groupBy("l_partkey", "l_suppkey").agg(F.count(F.lit(1)).alias("cnt"))
+                 .select(_prefixed("P", "l_partkey").alias("src"),
+                         _prefixed("S", "l_suppkey").alias("dst"), "cnt"))
+    return cust_part.unionByName(part_supp)
 
 
 def trade_graph(spark: SparkSession, sf_dir: str) -> Graph:
-    edges = trade_edges(spark, sf_dir)
-    return Graph(edges, vertices_of(edges))
+    return Graph(trade_edges(spark, sf_dir))
 
 
 def trade_names(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,8 +71,7 @@ def seq_graph(spark: SparkSession, sf_dir: str) -> Graph:
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     pairs = consecutive_pairs(lineitem, "l_orderkey", ["l_linenumber", "l_partkey", "l_suppkey"],
                               "l_partkey")
-    edges = edges_from_pairs(pairs, "src", "dst", "cnt")
-    return Graph(edges, vertices_of(edges))
+    return Graph(edges_from_pairs(pairs, "src", "dst", "cnt"))
 
 
 def web_graph(spark: SparkSession, sf_dir: str) -> Graph:
@@ -76,11 +80,10 @@ def web_graph(spark: SparkSession, sf_dir: str) -> Graph:
                          F.explode(F.regexp_extract_all("html", F.lit(HREF_PATTERN), 1)).alias("dst"))
     edges = edges_from_pairs(links, "src", "dst")
     # Every page is a record, even one without links (it is then a sink).
-    return Graph(edges, vertices_of(edges, pages.select(F.col("page_id").cast("string").alias("id"))))
+    return Graph(edges, pages.select(F.col("page_id").cast("string").alias("id")))
 
 
 def states_graph(spark: SparkSession, sf_dir: str) -> Graph:
     events = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type")
     pairs = consecutive_pairs(events, "user_id", ["ts", "event_id"], "event_type")
-    edges = edges_from_pairs(pairs, "src", "dst", "cnt")
-    return Graph(edges, vertices_of(edges))
+    return Graph(edges_from_pairs(pairs, "src", "dst", "cnt"))

@@ -66,32 +66,44 @@ GRAPHS = {
 }
 
 
-def graph_ctes(graph: str) -> str:
-    """CTEs e(src,dst,cnt), v(id), deg(src,deg,n_targets), vt(id,dangling),
-    w(src,dst,w), n(n) for one of the named graphs."""
+def graph_ctes(graph: str, binary: bool = False) -> str:
+    """CTEs e(src,dst,cnt), v(id), deg(src,deg,n_targets),
+    vt(id,dangling,out_degree), w(src,dst,w), n(n) for a named graph.
+    ``binary`` counts every link once (0/1 adjacency)."""
     edges, records = GRAPHS[graph]
+    if binary:
+        edges = f"SELECT DISTINCT src, dst, 1 AS cnt FROM ({edges}) b"
     extra = f" UNION SELECT id FROM ({records}) r" if records else ""
     return f"""
-e AS ({edges}),
+e AS (SELECT src, dst, CAST(cnt AS BIGINT) AS cnt FROM ({edges}) e0),
 v AS (SELECT src AS id FROM e UNION SELECT dst FROM e{extra}),
-deg AS (SELECT src, SUM(cnt) AS deg, COUNT(*) AS n_targets FROM e GROUP BY src),
+deg AS (SELECT src, CAST(SUM(cnt) AS BIGINT) AS deg, COUNT(*) AS n_targets FROM e GROUP BY src),
 vt AS (SELECT v.id, deg.src IS NULL AS dangling,
-              COALESCE(deg.deg, 0) AS out_degree FROM v LEFT JOIN deg ON v.id = deg.src),
+              CAST(COALESCE(deg.deg, 0) AS BIGINT) AS out_degree
+       FROM v LEFT JOIN deg ON v.id = deg.src),
 w AS (SELECT e.src, e.dst, CAST(e.cnt AS DOUBLE) / deg.deg AS w FROM e JOIN deg ON e.src = deg.src),
 n AS (SELECT CAST(COUNT(*) AS DOUBLE) AS n FROM vt)"""
 
 
 def rank_steps(steps: int, alpha: float | None = 0.15, redistribute: bool = True,
-               start: str = "uniform") -> str:
-    """CTEs r0 .. r{steps} (id, dangling, rank), one per step."""
-    init = "1.0 / n.n" if start == "uniform" else "1.0"
-    parts = [f"r0 AS MATERIALIZED (SELECT vt.id, vt.dangling, {init} AS rank FROM vt, n)"]
+               start: str = "uniform", graphx: bool = False) -> str:
+    """CTEs r0 .. r{steps} (id, dangling, rank), one per step.
+
+    start: uniform (1/N), first (1 on the smallest id) or one (1.0 each).
+    graphx: update ``alpha + (1 - alpha) * incoming`` (reset not divided by N).
+    """
+    init = {"uniform": "1.0 / n.n",
+            "first": "CASE WHEN vt.id = (SELECT MIN(id) FROM vt) THEN 1.0 ELSE 0.0 END",
+            "one": "1.0"}[start]
+    parts = [f"r0 AS MATERIALIZED (SELECT vt.id, vt.dangling, CAST({init} AS DOUBLE) AS rank FROM vt, n)"]
     for k in range(1, steps + 1):
         prev = f"r{k-1}"
         p = "COALESCE(c.p, 0.0)"
         if redistribute:
             p = f"(m.m / n.n + {p})"
-        if alpha is not None:
+        if graphx:
+            p = f"(CAST({alpha!r} AS DOUBLE) + CAST({1.0 - alpha!r} AS DOUBLE) * {p})"
+        elif alpha is not None:
             p = f"(CAST({alpha!r} AS DOUBLE) / n.n + CAST({1.0 - alpha!r} AS DOUBLE) * {p})"
         parts.append(f"""r{k} AS MATERIALIZED (
     SELECT r.id, r.dangling, {p} AS rank
@@ -102,7 +114,140 @@ def rank_steps(steps: int, alpha: float | None = 0.15, redistribute: bool = True
     return ",\n".join(parts)
 
 
+def _r(expr: str, alias: str) -> str:
+    return f"ROUND({expr}, {RANK_DIGITS}) AS {alias}"
+
+
 def pagerank_sql(graph: str, steps: int, alpha: float = 0.15) -> str:
     return f"""WITH {graph_ctes(graph)},
 {rank_steps(steps, alpha)}
-SELECT id, ROUND(rank, {RANK_DIGITS}) AS rank FROM r{steps}"""
+SELECT id, {_r("rank", "rank")} FROM r{steps}"""
+
+
+def pagerank_topk_sql(k: int, steps: int, alpha: float = 0.15) -> str:
+    return f"""SELECT id, rank FROM ({pagerank_sql("trade", steps, alpha)}) t
+ORDER BY rank DESC, id LIMIT {k}"""
+
+
+def titled_topk_sql(k: int, steps: int, alpha: float = 0.15) -> str:
+    return f"""SELECT t.id, nm.title, t.rank
+FROM ({pagerank_topk_sql(k, steps, alpha)}) t
+LEFT JOIN ({TRADE_NAMES}) nm ON t.id = nm.id"""
+
+
+def ranked_report_sql(k: int, steps: int, alpha: float = 0.15) -> str:
+    fmt = "'%f' || chr(9) || '| %10s' || chr(9) || '| %s'"
+    return f"""SELECT CAST(ROW_NUMBER() OVER (ORDER BY rank DESC, id) AS INTEGER) AS position,
+       printf({fmt}, rank, id, COALESCE(title, '')) AS line
+FROM ({titled_topk_sql(k, steps, alpha)}) x"""
+
+
+def metrics_sql(graph: str, steps: int, alpha: float | None = 0.15, redistribute: bool = True,
+                start: str = "uniform", binary: bool = False) -> str:
+    """(step, dangling_mass, total_mass) for states 0..steps."""
+    rows = " UNION ALL ".join(
+        f"SELECT {k} AS step, COALESCE(SUM(rank) FILTER (WHERE dangling), 0.0) AS dangling_mass, "
+        f"COALESCE(SUM(rank), 0.0) AS total_mass FROM r{k}" for k in range(steps + 1))
+    return f"""WITH {graph_ctes(graph, binary)},
+{rank_steps(steps, alpha, redistribute, start)}
+{rows}"""
+
+
+def vector_sql(graph: str, steps: int, start: str, binary: bool = True) -> str:
+    """(id, mass) after ``steps`` plain steps x <- x T."""
+    return f"""WITH {graph_ctes(graph, binary)},
+{rank_steps(steps, None, False, start)}
+SELECT id, {_r("rank", "mass")} FROM r{steps}"""
+
+
+def graphx_sql(graph: str, steps: int, reset: float = 0.15) -> str:
+    return f"""WITH {graph_ctes(graph)},
+{rank_steps(steps, reset, False, "one", graphx=True)},
+tot AS (SELECT SUM(rank) AS s FROM r{steps})
+SELECT id, {_r("rank * (n.n / tot.s)", "pagerank")} FROM r{steps}, n, tot"""
+
+
+def with_graph(graph: str, body: str, binary: bool = False) -> str:
+    return f"WITH {graph_ctes(graph, binary)}\n{body}"
+
+
+def _adjacency_list_sql(max_per_row: int = 10_000) -> str:
+    return with_graph("seq", f""",
+parts AS (SELECT e.src, e.dst, e.cnt,
+                 CAST('0x' || substr(md5(e.dst), 1, 8) AS BIGINT)
+                     % GREATEST(1, CAST(CEIL(deg.n_targets / {float(max_per_row)!r}) AS BIGINT)) AS part
+          FROM e JOIN deg ON e.src = deg.src),
+lists AS (SELECT src, part,
+                 string_agg(dst, ',' ORDER BY dst) AS neighbors,
+                 string_agg(CAST(cnt AS VARCHAR), ',' ORDER BY dst) AS counts,
+                 COUNT(*) AS n_neighbors
+          FROM parts GROUP BY src, part)
+SELECT v.id, CAST(COALESCE(l.part, 0) AS BIGINT) AS part,
+       COALESCE(l.neighbors, '') AS neighbors, COALESCE(l.counts, '') AS counts,
+       CAST(COALESCE(l.n_neighbors, 0) AS BIGINT) AS n_neighbors
+FROM v LEFT JOIN lists l ON v.id = l.src""")
+
+
+def _histogram_sql(bins: int) -> str:
+    return with_graph("trade", f""",
+st AS (SELECT CAST(MIN(deg) AS DOUBLE) AS lo, CAST(MAX(deg) AS DOUBLE) AS hi FROM deg),
+b AS (SELECT CASE WHEN st.hi = st.lo THEN 0
+                  ELSE LEAST(CAST(FLOOR((CAST(deg AS DOUBLE) - st.lo) / ((st.hi - st.lo) / {float(bins)!r})) AS BIGINT), {bins - 1})
+             END AS bin
+      FROM deg, st),
+c AS (SELECT bin, COUNT(*) AS cnt FROM b GROUP BY bin)
+SELECT CAST(r.bin AS INTEGER) AS bin,
+       {_r(f"st.lo + r.bin * ((st.hi - st.lo) / {float(bins)!r})", "lo")},
+       {_r(f"CASE WHEN r.bin = {bins - 1} THEN st.hi ELSE st.lo + (r.bin + 1) * ((st.hi - st.lo) / {float(bins)!r}) END", "hi")},
+       CAST(COALESCE(c.cnt, 0) AS BIGINT) AS count
+FROM range({bins}) r(bin) CROSS JOIN st LEFT JOIN c ON c.bin = r.bin""")
+
+
+def oracles(iterations: int = 10, alpha: float = 0.15, top_k: int = 20, top_degree: int = 10,
+            sample_size: int = 1000, sample_seed: int = 42, bins: int = 50) -> dict[str, str]:
+    trade = lambda body: with_graph("trade", body)
+    return {
+        "adjacency_parse": f"SELECT src, dst, CAST(cnt AS BIGINT) AS cnt FROM ({TRADE_EDGES}) t",
+        "page_index_lookup": trade(f""",
+nm AS ({TRADE_NAMES}),
+indeg AS (SELECT dst, CAST(SUM(cnt) AS BIGINT) AS in_degree FROM e GROUP BY dst)
+SELECT nm.id, nm.title, CAST(COALESCE(indeg.in_degree, 0) AS BIGINT) AS in_degree,
+       CAST(COALESCE(deg.deg, 0) AS BIGINT) AS out_degree
+FROM nm LEFT JOIN indeg ON nm.id = indeg.dst LEFT JOIN deg ON nm.id = deg.src"""),
+        "peek_rows": f"""SELECT src, dst, CAST(cnt AS BIGINT) AS cnt FROM ({TRADE_EDGES}) t
+ORDER BY src, dst LIMIT 30""",
+        "topk_parquet_roundtrip": pagerank_topk_sql(top_k, iterations, alpha),
+        "ranked_report": ranked_report_sql(top_k, iterations, alpha),
+        "node_set": trade("SELECT id FROM v"),
+        "edge_table": with_graph("web", "SELECT src, dst, cnt FROM e"),
+        "dangling_nodes": trade("SELECT id FROM vt WHERE dangling"),
+        "graph_init": trade(f"SELECT vt.id, vt.dangling, vt.out_degree, {_r('1.0 / n.n', 'rank')} FROM vt, n"),
+        "topk_with_titles": titled_topk_sql(top_k, iterations, alpha),
+        "pagerank_step": pagerank_sql("trade", 1, alpha),
+        "record_count": trade("SELECT COUNT(DISTINCT src) AS records FROM e"),
+        "count_nodes": trade("SELECT COUNT(*) AS nodes FROM v"),
+        "dangling_count": with_graph("web", """
+SELECT COUNT(*) AS nodes, COUNT(*) FILTER (WHERE NOT dangling) AS records,
+       COUNT(*) FILTER (WHERE dangling) AS dangling FROM vt"""),
+        "out_degree": trade("SELECT src AS id, deg AS out_degree FROM deg"),
+        "in_degree": trade("SELECT dst AS id, CAST(SUM(cnt) AS BIGINT) AS in_degree FROM e GROUP BY dst"),
+        "avg_out_degree": trade(f"""
+SELECT COUNT(*) AS records, CAST(SUM(deg) AS BIGINT) AS links, {_r('AVG(deg)', 'avg_out_degree')} FROM deg"""),
+        "transition_weights": trade("SELECT src, dst, w FROM w"),
+        "dangling_mass": f"SELECT step, {_r('dangling_mass', 'dangling_mass')} FROM ({metrics_sql('trade', iterations, alpha)}) x",
+        "total_mass": f"SELECT step, {_r('total_mass', 'total_mass')} FROM ({metrics_sql('trade', iterations, alpha)}) x",
+        "degree_histogram": _histogram_sql(bins),
+        "adjacency_list": _adjacency_list_sql(),
+        "top_out_degree": trade(f"SELECT src AS id, deg AS out_degree FROM deg ORDER BY deg DESC, src LIMIT {top_degree}"),
+        "degree_sample": trade(f"""SELECT src AS id, deg AS out_degree FROM deg
+ORDER BY md5(src || '{sample_seed}') LIMIT {sample_size}"""),
+        "pagerank_topk": pagerank_topk_sql(top_k, iterations, alpha),
+        "adjacency_matrix": with_graph("states", "SELECT DISTINCT src, dst, CAST(1 AS BIGINT) AS value FROM e"),
+        "transition_matrix": with_graph("states", "SELECT src, dst, w AS prob FROM w", binary=True),
+        "power_iteration": vector_sql("seq", iterations, "first"),
+        "power_iteration_squaring": vector_sql("states", 2 ** 3, "first"),
+        "mass_trace": f"""SELECT step, {_r('total_mass', 'total_mass')}
+FROM ({metrics_sql('web', iterations, None, False, 'uniform', binary=True)}) x""",
+        "pagerank": pagerank_sql("trade", iterations, alpha),
+        "pagerank_graphx_norm": graphx_sql("trade", iterations, alpha),
+    }

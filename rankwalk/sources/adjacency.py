@@ -64,7 +64,8 @@ def render_adjacency(edges: DataFrame, max_per_line: int = 10_000) -> DataFrame:
     no single line, row or task has to hold a hub's whole link list.
     Targets are sorted inside a line, so the text is deterministic.
     """
-    from ..operators.graph import md5_bucket, out_degree
+    from ..functions.exprs import md5_bucket
+    from ..operators.graph import out_degree
 
     parts = out_degree(edges).select(
         "src", F.greatest(F.lit(1), F.ceil(F.col("n_targets") / F.lit(max_per_line))).alias("_parts"))
