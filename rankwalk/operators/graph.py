@@ -80,8 +80,12 @@ def graph_from_pairs(df: DataFrame, src="src", dst="dst", cnt=None) -> Graph:
 
 
 def graph_from_records(records: DataFrame, node: str = "node", links: str = "links") -> Graph:
-    return Graph(edges_from_records(records, node, links),
-                 records.select(F.col(node).cast("string").alias("id")))
+    """Every record id is a node (an empty link list makes a sink), and so is
+    every target named with a count <= 0 (its link is dropped, the node stays)."""
+    ids = records.select(F.col(node).cast("string").alias("id"))
+    zero_targets = records.select(
+        F.explode(F.map_keys(F.map_filter(F.col(links), lambda k, v: v <= 0))).alias("id"))
+    return Graph(edges_from_records(records, node, links), ids.unionByName(zero_targets))
 
 
 def out_degree(edges: DataFrame) -> DataFrame:

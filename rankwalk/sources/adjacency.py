@@ -40,8 +40,24 @@ def parse_adjacency(lines: DataFrame, column: str = "value", mode: str = "FAILFA
         links = F.from_json(checked, LINKS_TYPE, {"mode": "FAILFAST"})
     else:
         links = F.when(n_fields == 2, F.from_json(raw, LINKS_TYPE, {"mode": "PERMISSIVE"}))
-    return lines.select(fields.getItem(0).alias("node"), links.alias("links"),
-                        F.col(column).alias("_line"))
+    parsed = lines.select(fields.getItem(0).alias("node"), links.alias("links"),
+                          F.col(column).alias("_line"))
+    return parsed.select("node", _last_key_wins("links").alias("links"), "_line")
+
+
+def _last_key_wins(links: str) -> F.Column:
+    """Drop repeated keys of a parsed dict, keeping the last value (the JSON
+    reader keeps every occurrence).  Maps without repeats pass unchanged; a
+    map with repeats is sorted by (key, reversed position) - O(k log k) - and
+    the first entry of each key run is kept."""
+    m = F.col(links)
+    indexed = F.transform(F.map_entries(m), lambda e, i: F.struct(
+        e["key"].alias("k"), (-i).alias("p"), e["value"].alias("v")))
+    ordered = F.array_sort(indexed)
+    kept = F.filter(ordered, lambda e, i: (i == 0) | (F.element_at(ordered, i)["k"] != e["k"]))
+    deduped = F.map_from_entries(F.transform(kept, lambda e: F.struct(e["k"], e["v"])))
+    no_repeats = F.size(F.array_distinct(F.map_keys(m))) == F.size(m)
+    return F.when(m.isNull() | no_repeats, m).otherwise(deduped)
 
 
 def split_rejects(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
