@@ -13,13 +13,19 @@ from a P-row boundary table (P = number of partitions).
 
 from __future__ import annotations
 
+import sys
 from typing import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# The per-partition function travels to the Python workers by value, so the
+# executors need numpy/pandas only, not this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _pairs_in_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     carry_g = carry_v = None
