@@ -129,12 +129,11 @@ def vertex_table(graph: Graph) -> DataFrame:
 
 def init_graph(graph: Graph) -> DataFrame:
     """One row per node with its initial rank 1/N, the dangling flag and the
-    out-degree.  N is a count over the vertex table, kept inside the plan as a
-    one-row frame (no driver round trip)."""
+    out-degree.  N is a scalar subquery over the vertex table (no driver round
+    trip, no join)."""
     vt = vertex_table(graph)
-    n = vt.agg(F.count(F.lit(1)).cast("double").alias("_n"))
-    return (vt.crossJoin(F.broadcast(n))
-              .select("id", "dangling", "out_degree", (F.lit(1.0) / F.col("_n")).alias("rank")))
+    n = vt.agg(F.count(F.lit(1)).cast("double")).scalar()
+    return vt.select("id", "dangling", "out_degree", (F.lit(1.0) / n).alias("rank"))
 
 
 def adjacency_list(graph: Graph, max_per_row: int = 10_000) -> DataFrame:
