@@ -3,29 +3,40 @@ multiplicity, as an iterated DataFrame job.
 
 Update rule (every node, sinks included)::
 
-    p'(v) = alpha / N + (1 - alpha) * (m / N + sum_{u -> v} p(u) * cnt(u,v) / deg(u))
+    p'(v) = alpha / N + (1 - alpha) * (m / N + sum_{u -> v} p(u) / deg(u) * cnt(u,v))
 
 where ``m`` is the total rank held by dangling nodes *before* the step and
 ``deg(u)`` is u's out-degree counted with multiplicity.
 
-Physical shape of one step (see ``explain`` in the tests):
-
-* ``weights`` (src, salt, dst, w) is built once, hash-partitioned on
-  (src, salt) and persisted; it is never shuffled again.  A source with more
-  than ``salt_chunk`` targets is spread over several ``salt`` values, so a hub
-  holding a third of all links is split across many tasks instead of one.
-* the state (id, dangling, nsalt, rank) is hash-partitioned on ``id``; each
-  step shuffles only the rank rows (N of them, hubs replicated once per salt)
-  to meet the weights, and the partial sums per target (combined map-side)
-  back to ``id``.  The join of the state with the incoming sums needs no
-  further exchange because both sides are already partitioned on the node id.
-* ``m`` and ``N`` are scalar subqueries: no cross join, no driver round trip.
-* lineage is cut after every step with a reliable ``checkpoint()`` into the
-  session's ``spark.checkpoint.dir`` so a lost executor costs at most one step.
+Physical shape (asserted on the plan in ``tests/test_pagerank.py``):
+
+* The edge source is evaluated once, while building three persisted tables:
+  ``vertices`` (id, dangling, nsalt, out_degree) and ``links`` (src, dst,
+  cnt), both hash-partitioned on the node id with the same partition count,
+  and ``hub_links`` (src, salt, dst, cnt) for the few sources with more than
+  ``salt_chunk`` targets, spread over (src, salt) buckets.  A hub holding a
+  third of all links is thereby split over many tasks; the number of hubs is
+  at most E / salt_chunk, and their table of salts is broadcast only after a
+  count proves it small.
+* The rank state (vertex columns + rank) keeps the vertex partitioning from
+  step to step.  One step then moves exactly one data set: the per-target
+  partial sums (combined map-side) to ``dst``.  The state meets ``links``
+  co-partitioned (no exchange on either side; the edges stream through a hash
+  table of the ranks), and the new state is the vertex table joined with the
+  sums without re-shuffling the vertices.  Only hub ranks are replicated per
+  salt and shuffled to their buckets.
+* ``m`` is a scalar subquery and ``N`` one count: no cross join and no
+  per-node driver work.
+* Lineage is cut after every step with a reliable ``checkpoint()`` in the
+  session's ``spark.checkpoint.dir``; a lost executor costs at most one step.
+  The cut is planned statically (AQE off for that one action) because only a
+  static plan reports the hash partitioning that the checkpoint then keeps;
+  AQE has nothing to re-plan in a loop whose layout is fixed up front.
 """
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -35,16 +46,18 @@ from pyspark.sql import functions as F
 from .graph import Graph, out_degree
 from ..session import ensure_checkpoint_dir, scratch_path
 
-DEFAULT_SALT_CHUNK = 1_000_000   # target edges per (src, salt) bucket
+DEFAULT_SALT_CHUNK = 1_000_000      # target links per (hub, salt) bucket
+HUB_BROADCAST_MAX = 100_000         # hub rows are broadcast only below this count
 
 
 @dataclass
 class PreparedGraph:
     """Loop-invariant tables, computed once before the iterations."""
-    weights: DataFrame            # src, salt, dst, w      partitioned by (src, salt), persisted
-    vertices: DataFrame           # id, dangling, nsalt    partitioned by id, persisted
-    state0: DataFrame             # id, dangling, nsalt, rank
-    n: int                        # number of vertices
+    links: DataFrame              # src, dst, cnt            partitioned by src
+    hub_links: DataFrame | None   # src, salt, dst, cnt      partitioned by (src, salt)
+    vertices: DataFrame           # id, dangling, nsalt, out_degree   partitioned by id
+    state0: DataFrame             # vertices + rank
+    n: int
     _persisted: list = field(default_factory=list)
 
     def release(self) -> None:
@@ -59,57 +72,83 @@ def _partitions(spark: SparkSession) -> int:
 
 def prepare(graph: Graph, salt_chunk: int = DEFAULT_SALT_CHUNK,
             initial: str = "uniform") -> PreparedGraph:
-    """Build the static weights and vertex tables and the initial state.
+    """Build the static tables and the initial state.
 
-    The edge table is evaluated once: the vertex table (ids, dangling flag,
-    number of salts) is derived from the persisted weights, not from the
-    source again.  ``initial``: ``"uniform"`` gives 1/N to every node (the
-    PageRank start), ``"one"`` gives 1.0 (the GraphX start).
+    ``initial``: ``"uniform"`` gives 1/N to every node (the PageRank start),
+    ``"one"`` gives 1.0 (the GraphX start).
     """
     spark = graph.edges.sparkSession
     parts = _partitions(spark)
-    deg = out_degree(graph.edges).select(
-        "src", "out_degree",
-        F.greatest(F.lit(1), F.ceil(F.col("n_targets") / F.lit(salt_chunk))).cast("int").alias("nsalt"))
-
-    weights = (graph.edges.join(deg, "src")
-               .select("src",
-                       F.pmod(F.xxhash64("dst"), F.col("nsalt")).cast("int").alias("salt"),
-                       "dst",
-                       (F.col("cnt") / F.col("out_degree")).alias("w"))
-               .repartition(parts, "src", "salt")
-               .persist(StorageLevel.MEMORY_AND_DISK))
-
-    ids = (weights.select(F.col("src").alias("id"), "salt")
-           .unionByName(weights.select(F.col("dst").alias("id"), F.lit(None).cast("int").alias("salt"))))
+    level = StorageLevel.MEMORY_AND_DISK
+    edges = graph.edges.select("src", "dst", "cnt").persist(level)
+    deg = out_degree(edges)
+    hubs = (deg.where(F.col("n_targets") > salt_chunk)
+               .select("src", F.ceil(F.col("n_targets") / F.lit(salt_chunk)).cast("int").alias("nsalt")))
+    n_hubs = hubs.count()                      # one pass over the source fills the edge cache
+    hub_side = F.broadcast(hubs) if n_hubs <= HUB_BROADCAST_MAX else hubs
+
+    hub_links = None
+    plain = edges
+    if n_hubs:
+        hub_links = (edges.join(hub_side, "src")
+                     .select("src", F.pmod(F.xxhash64("dst"), F.col("nsalt")).cast("int").alias("salt"),
+                             "dst", "cnt")
+                     .repartition(parts, "src", "salt").persist(level))
+        plain = edges.join(hub_side, "src", "left_anti")
+    links = plain.select("src", "dst", "cnt").repartition(parts, "src").persist(level)
+
+    ids = edges.select(F.col("src").alias("id")).unionByName(edges.select(F.col("dst").alias("id")))
     if graph.extra_ids is not None:
-        ids = ids.unionByName(graph.extra_ids.select(F.col("id").cast("string").alias("id"),
-                                                     F.lit(None).cast("int").alias("salt")))
-    vertices = (ids.groupBy("id").agg(F.max("salt").alias("_ms"))
-                .select("id", F.col("_ms").isNull().alias("dangling"),
-                        F.coalesce(F.col("_ms") + 1, F.lit(1)).alias("nsalt"))
-                .repartition(parts, "id")
-                .persist(StorageLevel.MEMORY_AND_DISK))
+        ids = ids.unionByName(graph.extra_ids.select(F.col("id").cast("string").alias("id")))
+    vertices = ids.distinct().join(deg.select(F.col("src").alias("id"), "out_degree"), "id", "left")
+    if n_hubs:
+        vertices = vertices.join(hub_side.withColumnRenamed("src", "id"), "id", "left")
+    else:
+        vertices = vertices.withColumn("nsalt", F.lit(1))
+    vertices = (vertices
+                .select("id",
+                        F.col("out_degree").isNull().alias("dangling"),
+                        F.coalesce("nsalt", F.lit(1)).alias("nsalt"),
+                        F.coalesce("out_degree", F.lit(0)).cast("double").alias("out_degree"))
+                .repartition(parts, "id").persist(level))
     n = vertices.count()
+    links.count()
+    if hub_links is not None:
+        hub_links.count()
+    edges.unpersist()                          # the persisted tables no longer need it
     start = F.lit(1.0 / n if n else 0.0) if initial == "uniform" else F.lit(1.0)
     state0 = vertices.withColumn("rank", start)
-    return PreparedGraph(weights, vertices, state0, n, [weights, vertices])
+    kept = [links, vertices] + ([hub_links] if hub_links is not None else [])
+    return PreparedGraph(links, hub_links, vertices, state0, n, kept)
 
 
-def incoming(state: DataFrame, weights: DataFrame) -> DataFrame:
+def incoming(state: DataFrame, prepared: PreparedGraph) -> DataFrame:
     """(dst, p): rank mass arriving at each node over its in-links.
 
-    Hub ranks are replicated once per salt so the join key (src, salt) matches
-    the static partitioning of ``weights``: only the N rank rows move.  The
-    ranks are the hash-table side (shuffled hash join), so the much larger
-    edge side is streamed, never sorted.  The per-target sum is combined
-    map-side before its shuffle.
+    Each source sends rank / out_degree per unit of link count.  Ordinary
+    sources meet their links co-partitioned (no exchange); hub ranks are
+    replicated once per salt and shuffled to the hub buckets.  The per-target
+    sum is combined map-side before its one shuffle.
     """
-    ranks = state.select(F.col("id").alias("src"),
-                         F.explode(F.sequence(F.lit(0), F.col("nsalt") - 1)).alias("salt"),
-                         "rank")
-    return (weights.join(ranks.hint("shuffle_hash"), ["src", "salt"])
-                   .groupBy("dst").agg(F.sum(F.col("rank") * F.col("w")).alias("p")))
+    share = F.col("rank") / F.col("out_degree")
+    senders = state.where(~F.col("dangling"))
+    ranks = senders.select(F.col("id").alias("src"), share.alias("r"))
+    flows = prepared.links.join(ranks.hint("shuffle_hash"), "src").select("dst", "cnt", "r")
+    if prepared.hub_links is not None:
+        hub_ranks = (senders.where(F.col("nsalt") > 1)
+                     .select(F.col("id").alias("src"),
+                             F.explode(F.sequence(F.lit(0), F.col("nsalt") - 1)).alias("salt"),
+                             share.alias("r")))
+        flows = flows.unionByName(
+            prepared.hub_links.join(hub_ranks.hint("shuffle_hash"), ["src", "salt"])
+                              .select("dst", "cnt", "r"))
+    return flows.groupBy("dst").agg(F.sum(F.col("r") * F.col("cnt")).alias("p"))
+
+
+def _next_state(prepared: PreparedGraph, contrib: DataFrame, rank) -> DataFrame:
+    v = prepared.vertices
+    return (v.join(contrib.hint("shuffle_hash"), v.id == contrib.dst, "left")
+             .select("id", "dangling", "nsalt", "out_degree", rank.alias("rank")))
 
 
 def step(state: DataFrame, prepared: PreparedGraph, alpha: float = 0.15,
@@ -119,11 +158,9 @@ def step(state: DataFrame, prepared: PreparedGraph, alpha: float = 0.15,
     ``redistribute`` adds m/N (dangling mass spread uniformly); ``teleport``
     applies alpha/N + (1-alpha) * (.).  With both off this is a plain
     vector x transition-matrix product, which leaks the mass of sinks.
-    The new state is the persisted vertex table (partitioned by id) joined
-    with the incoming sums (partitioned by dst): no extra exchange.
     """
     n = prepared.n
-    contrib = incoming(state, prepared.weights)
+    contrib = incoming(state, prepared)
     p = F.coalesce(F.col("p"), F.lit(0.0))
     if redistribute:
         m = state.agg(F.coalesce(F.sum(F.when(F.col("dangling"), F.col("rank"))),
@@ -131,26 +168,33 @@ def step(state: DataFrame, prepared: PreparedGraph, alpha: float = 0.15,
         p = m / F.lit(float(n)) + p
     if teleport:
         p = F.lit(alpha / n) + F.lit(1.0 - alpha) * p
-    v = prepared.vertices
-    return (v.join(contrib.hint("shuffle_hash"), v.id == contrib.dst, "left")
-             .select("id", "dangling", "nsalt", p.alias("rank")))
+    return _next_state(prepared, contrib, p)
 
 
-CUT_MODE = "checkpoint"
+@contextmanager
+def _static_planning(spark: SparkSession):
+    key = "spark.sql.adaptive.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
 
 
-def cut_lineage(df: DataFrame, mode: str | None = None) -> DataFrame:
+def cut_lineage(df: DataFrame, mode: str = "checkpoint") -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder and return a frame
-    reading it back, so later steps do not carry (or recompute) its lineage.
+    reading it back, so later steps neither carry nor recompute its lineage.
 
-    ``checkpoint``: Spark's reliable checkpoint; ``parquet``: a written table
-    in the same folder (one job, columnar, compressed).
+    ``checkpoint``: Spark's reliable checkpoint, planned statically so the
+    frame keeps its hash partitioning; ``parquet``: a written table in the same
+    folder (partitioning is not kept).
     """
-    mode = mode or CUT_MODE
     spark = df.sparkSession
     if mode == "checkpoint":
         ensure_checkpoint_dir(spark)
-        return df.checkpoint(eager=True)
+        with _static_planning(spark):
+            return df.checkpoint(eager=True)
     path = scratch_path(spark, "state")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
@@ -159,23 +203,21 @@ def cut_lineage(df: DataFrame, mode: str | None = None) -> DataFrame:
 def iterate(prepared: PreparedGraph, max_iter: int, alpha: float = 0.15,
             redistribute: bool = True, teleport: bool = True,
             tol: float | None = None, keep_states: bool = False):
-    """Run ``max_iter`` steps (or fewer if the largest change drops below
+    """Run ``max_iter`` steps (or fewer once the largest change drops below
     ``tol``).  Returns the final state, and the list of all checkpointed states
     when ``keep_states`` is set (for per-step metrics)."""
     state = cut_lineage(prepared.state0)
     states = [state]
     for _ in range(max_iter):
         new = cut_lineage(step(state, prepared, alpha, redistribute, teleport))
+        delta = None
         if tol is not None:
             delta = (new.join(state.select("id", F.col("rank").alias("_old")), "id")
                         .agg(F.max(F.abs(F.col("rank") - F.col("_old")))).first()[0])
-            state = new
-            states.append(state)
-            if delta is None or delta < tol:
-                break
-        else:
-            state = new
-            states.append(state)
+        state = new
+        states.append(state)
+        if tol is not None and (delta is None or delta < tol):
+            break
     return (state, states) if keep_states else state
 
 
@@ -184,6 +226,7 @@ def pagerank(graph: Graph, alpha: float = 0.15, max_iter: int = 10, tol: float |
     """(id, rank) after ``max_iter`` PageRank steps; ranks sum to 1."""
     prepared = prepare(graph, salt_chunk)
     if prepared.n == 0:
+        prepared.release()
         return graph.vertices.select("id", F.lit(0.0).alias("rank"))
     final = iterate(prepared, max_iter, alpha, tol=tol)
     prepared.release()
@@ -195,10 +238,10 @@ def pagerank_metrics(graph: Graph, alpha: float = 0.15, max_iter: int = 10,
                      redistribute: bool = True, teleport: bool = True) -> DataFrame:
     """(step, dangling_mass, total_mass, max_delta) for states 0..max_iter.
 
-    The per-step states are the checkpoints written by the loop; the metrics
-    are one lazy union of aggregates over them, so the loop itself runs no
+    The per-step states are the checkpoints the loop writes anyway; the
+    metrics are one lazy union of aggregates over them, so the loop runs no
     extra job.  ``max_delta`` joins consecutive states, which share their
-    partitioning on ``id`` (no shuffle).
+    partitioning on ``id``.
     """
     prepared = prepare(graph, salt_chunk)
     _, states = iterate(prepared, max_iter, alpha, redistribute, teleport, keep_states=True)
@@ -224,22 +267,20 @@ def pagerank_graphx(graph: Graph, reset_probability: float = 0.15, max_iter: int
                     salt_chunk: int = DEFAULT_SALT_CHUNK) -> DataFrame:
     """(id, pagerank) under the GraphX/GraphFrames static convention.
 
-    Ranks start at 1.0, each step is ``reset + (1 - reset) * incoming``
-    with no dangling redistribution, and the final vector is rescaled to sum
-    to N.  Link multiplicity weighs like parallel edges (w = cnt / deg).
+    Ranks start at 1.0, each step is ``reset + (1 - reset) * incoming`` with
+    no dangling redistribution, and the final vector is rescaled to sum to N.
+    Link multiplicity weighs like parallel edges (cnt / out_degree).
     """
     prepared = prepare(graph, salt_chunk, initial="one")
     if prepared.n == 0:
+        prepared.release()
         return graph.vertices.select("id", F.lit(0.0).alias("pagerank"))
     state = cut_lineage(prepared.state0)
     for _ in range(max_iter):
-        contrib = incoming(state, prepared.weights)
-        v = prepared.vertices
-        new = (v.join(contrib.hint("shuffle_hash"), v.id == contrib.dst, "left")
-                    .select("id", "dangling", "nsalt",
-                            (F.lit(reset_probability) + F.lit(1.0 - reset_probability)
-                             * F.coalesce(F.col("p"), F.lit(0.0))).alias("rank")))
-        state = cut_lineage(new)
+        contrib = incoming(state, prepared)
+        rank = (F.lit(reset_probability)
+                + F.lit(1.0 - reset_probability) * F.coalesce(F.col("p"), F.lit(0.0)))
+        state = cut_lineage(_next_state(prepared, contrib, rank))
     prepared.release()
     correction = F.lit(float(prepared.n)) / state.agg(F.sum("rank")).scalar()
     return state.select("id", (F.col("rank") * correction).alias("pagerank"))

@@ -82,38 +82,54 @@ def test_graphx_convention_has_the_same_limit(spark, test11):
     assert max(abs(g4[k] - g5_10[k] / n) for k in g4) > 1e-4   # different path
 
 
-def _step_plan(spark, graph):
-    prep = pr.prepare(graph)
+def _step_plan(spark, graph, salt_chunk=pr.DEFAULT_SALT_CHUNK):
+    """Physical nodes of one (statically planned) step, walked on the JVM plan
+    tree: cached relations are leaves there and subqueries are expressions, so
+    only the step's own operators are listed."""
+    prep = pr.prepare(graph, salt_chunk)
     state = pr.cut_lineage(prep.state0)
-    plan = pr.step(state, prep)._jdf.queryExecution().executedPlan().toString()
-    prep.release()
-    return plan
-
-
-def test_step_plan_streams_static_edges_without_exchange(spark, trade):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        plan = _step_plan(spark, trade)
+        plan = pr.step(state, prep)._jdf.queryExecution().executedPlan()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    # No cartesian product or nested-loop join anywhere in a step.
-    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
-    # The rank side is hashed; the persisted weights are scanned in place.
-    assert "ShuffledHashJoin" in plan
-    # Outside the cached (once-built) relations, exactly two hash exchanges
-    # remain: rank rows to (src, salt) and partial sums to dst.  Neither the
-    # weights nor the vertex table is re-shuffled.
-    kept, skip_indent = [], None
-    for line in plan.splitlines():
-        indent = len(line) - len(line.lstrip(" :+-"))
-        if skip_indent is not None and indent > skip_indent:
-            continue
-        skip_indent = None
-        if "InMemoryRelation" in line:
-            skip_indent = indent
-            continue
-        kept.append(line)
-    step_only = "\n".join(kept)
-    exchanges = [l for l in kept if "Exchange hashpartitioning(" in l]
-    assert len(exchanges) == 2, step_only
-    assert any("salt" in l for l in exchanges) and any("dst" in l for l in exchanges), step_only
+    partitioning = state._jdf.queryExecution().executedPlan().outputPartitioning().toString()
+    nodes, todo = [], [plan]
+    while todo:
+        node = todo.pop()
+        nodes.append((node.nodeName(), node.simpleString(400)))
+        children = node.children()
+        todo.extend(children.apply(i) for i in range(children.size()))
+    prep.release()
+    return nodes, partitioning
+
+
+def _exchanges(nodes):
+    return [text for name, text in nodes if name == "Exchange"]
+
+
+def test_step_moves_only_the_partial_sums(spark, trade):
+    nodes, partitioning = _step_plan(spark, trade)
+    names = {name for name, _ in nodes}
+    # The checkpointed state keeps the vertex partitioning ...
+    assert partitioning.startswith("hashpartitioning(id")
+    # ... so there is no cartesian product / nested loop, the links stream
+    # through a hash table of the ranks, and the only exchange of the step is
+    # the partial sums going to dst.
+    assert not names & {"CartesianProduct", "BroadcastNestedLoopJoin"}
+    assert "ShuffledHashJoin" in names and "InMemoryTableScan" in names
+    ex = _exchanges(nodes)
+    assert len(ex) == 1 and "hashpartitioning(dst" in ex[0], ex
+
+
+def test_hub_ranks_are_the_only_extra_movement(spark, trade):
+    nodes, _ = _step_plan(spark, trade, salt_chunk=20)      # customers become hubs
+    ex = _exchanges(nodes)
+    assert len(ex) == 2, ex
+    assert any("salt" in e for e in ex) and any("hashpartitioning(dst" in e for e in ex), ex
+
+
+def test_hub_salting_matches_plain_ranks(spark, trade):
+    plain = ranks(pr.pagerank(trade, max_iter=3))
+    salted = ranks(pr.pagerank(trade, max_iter=3, salt_chunk=20))
+    assert max(abs(plain[k] - salted[k]) for k in plain) < 1e-15
