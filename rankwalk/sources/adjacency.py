@@ -85,7 +85,7 @@ def render_adjacency(edges: DataFrame, max_per_line: int = 10_000) -> DataFrame:
 
     parts = out_degree(edges).select(
         "src", F.greatest(F.lit(1), F.ceil(F.col("n_targets") / F.lit(max_per_line))).alias("_parts"))
-    items = (edges.join(parts, "src")
+    items = (edges.join(parts.hint("shuffle_hash"), "src")
              .select("src", md5_bucket(F.col("dst"), F.col("_parts")).alias("_part"),
                      F.struct("dst", "cnt").alias("_e"))
              .groupBy("src", "_part").agg(F.sort_array(F.collect_list("_e")).alias("_l")))
