@@ -106,9 +106,10 @@ def power_iteration_squaring(graph: Graph, squarings: int, start: str = "first",
     hops = 2 ** squarings
     if n > max_dense_nodes:
         return power_iteration(graph, hops, start, binary)
-    t = pr.cut_lineage(transition_matrix(g, binary=False))
+    parts = pr.loop_partitions(g.edges.sparkSession, n * n)   # at most n^2 entries
+    t = pr.cut_lineage(transition_matrix(g, binary=False), partitions=parts)
     for _ in range(squarings):
-        t = pr.cut_lineage(matrix_product(t, t))
+        t = pr.cut_lineage(matrix_product(t, t), partitions=parts)
     v = g.vertices
     if start == "uniform":
         x = v.withColumn("mass", F.lit(1.0 / n))

@@ -27,6 +27,9 @@ Physical shape (asserted on the plan in ``tests/test_pagerank.py``):
   salt and shuffled to their buckets.
 * ``m`` is a scalar subquery and ``N`` one count: no cross join and no
   per-node driver work.
+* The loop's partition count P follows the data (about 4M links per task,
+  at least the cluster's default parallelism), not a session default, and
+  every exchange of a step is planned with that P.
 * Lineage is cut after every step with a reliable ``checkpoint()`` in the
   session's ``spark.checkpoint.dir``; a lost executor costs at most one step.
   The cut is planned statically (AQE off for that one action) because only a
@@ -48,6 +51,7 @@ from ..session import ensure_checkpoint_dir, scratch_path
 
 DEFAULT_SALT_CHUNK = 1_000_000      # target links per (hub, salt) bucket
 HUB_BROADCAST_MAX = 100_000         # hub rows are broadcast only below this count
+EDGES_PER_PARTITION = 4_000_000     # sizing of the loop's fixed partitioning
 
 
 @dataclass
@@ -58,6 +62,7 @@ class PreparedGraph:
     vertices: DataFrame           # id, dangling, nsalt, out_degree   partitioned by id
     state0: DataFrame             # vertices + rank
     n: int
+    partitions: int               # P of every table and exchange of the loop
     _persisted: list = field(default_factory=list)
 
     def release(self) -> None:
@@ -66,25 +71,34 @@ class PreparedGraph:
         self._persisted.clear()
 
 
-def _partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def loop_partitions(spark: SparkSession, n_edges: int,
+                    edges_per_partition: int = EDGES_PER_PARTITION) -> int:
+    """Partition count of the loop, sized by the data: about
+    ``edges_per_partition`` links per task, and never fewer tasks than the
+    cluster's default parallelism."""
+    floor = spark.sparkContext.defaultParallelism
+    return max(1, floor, -(-n_edges // edges_per_partition))
 
 
 def prepare(graph: Graph, salt_chunk: int = DEFAULT_SALT_CHUNK,
-            initial: str = "uniform") -> PreparedGraph:
+            initial: str = "uniform", partitions: int | None = None) -> PreparedGraph:
     """Build the static tables and the initial state.
 
     ``initial``: ``"uniform"`` gives 1/N to every node (the PageRank start),
-    ``"one"`` gives 1.0 (the GraphX start).
+    ``"one"`` gives 1.0 (the GraphX start).  ``partitions`` overrides the
+    data-sized partition count of the loop.
     """
     spark = graph.edges.sparkSession
-    parts = _partitions(spark)
     level = StorageLevel.MEMORY_AND_DISK
     edges = graph.edges.select("src", "dst", "cnt").persist(level)
     deg = out_degree(edges)
+    # One pass over the source fills the edge cache and sizes the job.
+    stats = deg.agg(F.coalesce(F.sum("n_targets"), F.lit(0)).alias("links"),
+                    F.count(F.when(F.col("n_targets") > salt_chunk, 1)).alias("hubs")).first()
+    n_hubs = stats["hubs"]
+    parts = partitions or loop_partitions(spark, stats["links"])
     hubs = (deg.where(F.col("n_targets") > salt_chunk)
                .select("src", F.ceil(F.col("n_targets") / F.lit(salt_chunk)).cast("int").alias("nsalt")))
-    n_hubs = hubs.count()                      # one pass over the source fills the edge cache
     hub_side = F.broadcast(hubs) if n_hubs <= HUB_BROADCAST_MAX else hubs
 
     hub_links = None
@@ -119,7 +133,7 @@ def prepare(graph: Graph, salt_chunk: int = DEFAULT_SALT_CHUNK,
     start = F.lit(1.0 / n if n else 0.0) if initial == "uniform" else F.lit(1.0)
     state0 = vertices.withColumn("rank", start)
     kept = [links, vertices] + ([hub_links] if hub_links is not None else [])
-    return PreparedGraph(links, hub_links, vertices, state0, n, kept)
+    return PreparedGraph(links, hub_links, vertices, state0, n, parts, kept)
 
 
 def incoming(state: DataFrame, prepared: PreparedGraph) -> DataFrame:
@@ -172,17 +186,23 @@ def step(state: DataFrame, prepared: PreparedGraph, alpha: float = 0.15,
 
 
 @contextmanager
-def _static_planning(spark: SparkSession):
-    key = "spark.sql.adaptive.enabled"
-    old = spark.conf.get(key)
-    spark.conf.set(key, "false")
+def _static_planning(spark: SparkSession, partitions: int | None):
+    """Plan with AQE off and, if given, ``partitions`` shuffle partitions, so
+    every exchange of a step lands on the loop's fixed partitioning."""
+    settings = {"spark.sql.adaptive.enabled": "false"}
+    if partitions:
+        settings["spark.sql.shuffle.partitions"] = str(partitions)
+    old = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(key, old)
+        for k, v in old.items():
+            spark.conf.set(k, v)
 
 
-def cut_lineage(df: DataFrame, mode: str = "checkpoint") -> DataFrame:
+def cut_lineage(df: DataFrame, mode: str = "checkpoint", partitions: int | None = None) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder and return a frame
     reading it back, so later steps neither carry nor recompute its lineage.
 
@@ -193,7 +213,7 @@ def cut_lineage(df: DataFrame, mode: str = "checkpoint") -> DataFrame:
     spark = df.sparkSession
     if mode == "checkpoint":
         ensure_checkpoint_dir(spark)
-        with _static_planning(spark):
+        with _static_planning(spark, partitions):
             return df.checkpoint(eager=True)
     path = scratch_path(spark, "state")
     df.write.mode("overwrite").parquet(path)
@@ -206,10 +226,11 @@ def iterate(prepared: PreparedGraph, max_iter: int, alpha: float = 0.15,
     """Run ``max_iter`` steps (or fewer once the largest change drops below
     ``tol``).  Returns the final state, and the list of all checkpointed states
     when ``keep_states`` is set (for per-step metrics)."""
-    state = cut_lineage(prepared.state0)
+    parts = prepared.partitions
+    state = cut_lineage(prepared.state0, partitions=parts)
     states = [state]
     for _ in range(max_iter):
-        new = cut_lineage(step(state, prepared, alpha, redistribute, teleport))
+        new = cut_lineage(step(state, prepared, alpha, redistribute, teleport), partitions=parts)
         delta = None
         if tol is not None:
             delta = (new.join(state.select("id", F.col("rank").alias("_old")), "id")
@@ -222,9 +243,9 @@ def iterate(prepared: PreparedGraph, max_iter: int, alpha: float = 0.15,
 
 
 def pagerank(graph: Graph, alpha: float = 0.15, max_iter: int = 10, tol: float | None = None,
-             salt_chunk: int = DEFAULT_SALT_CHUNK) -> DataFrame:
+             salt_chunk: int = DEFAULT_SALT_CHUNK, partitions: int | None = None) -> DataFrame:
     """(id, rank) after ``max_iter`` PageRank steps; ranks sum to 1."""
-    prepared = prepare(graph, salt_chunk)
+    prepared = prepare(graph, salt_chunk, partitions=partitions)
     if prepared.n == 0:
         prepared.release()
         return graph.vertices.select("id", F.lit(0.0).alias("rank"))
@@ -275,12 +296,13 @@ def pagerank_graphx(graph: Graph, reset_probability: float = 0.15, max_iter: int
     if prepared.n == 0:
         prepared.release()
         return graph.vertices.select("id", F.lit(0.0).alias("pagerank"))
-    state = cut_lineage(prepared.state0)
+    parts = prepared.partitions
+    state = cut_lineage(prepared.state0, partitions=parts)
     for _ in range(max_iter):
         contrib = incoming(state, prepared)
         rank = (F.lit(reset_probability)
                 + F.lit(1.0 - reset_probability) * F.coalesce(F.col("p"), F.lit(0.0)))
-        state = cut_lineage(_next_state(prepared, contrib, rank))
+        state = cut_lineage(_next_state(prepared, contrib, rank), partitions=parts)
     prepared.release()
     correction = F.lit(float(prepared.n)) / state.agg(F.sum("rank")).scalar()
     return state.select("id", (F.col("rank") * correction).alias("pagerank"))
