@@ -81,7 +81,9 @@ deg AS (SELECT src, CAST(SUM(cnt) AS BIGINT) AS deg, COUNT(*) AS n_targets FROM
 vt AS (SELECT v.id, deg.src IS NULL AS dangling,
               CAST(COALESCE(deg.deg, 0) AS BIGINT) AS out_degree
        FROM v LEFT JOIN deg ON v.id = deg.src),
-w AS (SELECT e.src, e.dst, CAST(e.cnt AS DOUBLE) / deg.deg AS w FROM e JOIN deg ON e.src = deg.src),
+w AS (SELECT e.src, e.dst, CAST(e.cnt AS DOUBLE) / deg.deg AS w,
+             CAST(e.cnt AS DOUBLE) AS cnt, CAST(deg.deg AS DOUBLE) AS deg
+      FROM e JOIN deg ON e.src = deg.src),
 n AS (SELECT CAST(COUNT(*) AS DOUBLE) AS n FROM vt)"""
 
 
@@ -109,7 +111,7 @@ def rank_steps(steps: int, alpha: float | None = 0.15, redistribute: bool = True
     SELECT r.id, r.dangling, {p} AS rank
     FROM {prev} r CROSS JOIN n
     CROSS JOIN (SELECT COALESCE(SUM(rank) FILTER (WHERE dangling), 0.0) AS m FROM {prev}) m
-    LEFT JOIN (SELECT w.dst, SUM(x.rank * w.w) AS p FROM {prev} x JOIN w ON x.id = w.src
+    LEFT JOIN (SELECT w.dst, SUM(x.rank / w.deg * w.cnt) AS p FROM {prev} x JOIN w ON x.id = w.src
                GROUP BY w.dst) c ON r.id = c.dst)""")
     return ",\n".join(parts)
 
@@ -164,7 +166,7 @@ def graphx_sql(graph: str, steps: int, reset: float = 0.15) -> str:
     return f"""WITH {graph_ctes(graph)},
 {rank_steps(steps, reset, False, "one", graphx=True)},
 tot AS (SELECT SUM(rank) AS s FROM r{steps})
-SELECT id, {_r("rank * (n.n / tot.s)", "pagerank")} FROM r{steps}, n, tot"""
+SELECT id, {_r("rank * (n.n / tot.s) / n.n", "pagerank")} FROM r{steps}, n, tot"""
 
 
 def with_graph(graph: str, body: str, binary: bool = False) -> str:
