@@ -220,17 +220,46 @@ def cut_lineage(df: DataFrame, mode: str = "checkpoint", partitions: int | None
     return spark.read.parquet(path)
 
 
+def materialize(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Persist ``df`` (memory, spilling to disk) and compute it now, planned
+    like a checkpoint so its hash partitioning is kept.  Lost blocks are
+    recomputed from lineage, which reaches back only to the last checkpoint."""
+    with _static_planning(df.sparkSession, partitions):
+        kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+        kept.count()
+    return kept
+
+
 def iterate(prepared: PreparedGraph, max_iter: int, alpha: float = 0.15,
             redistribute: bool = True, teleport: bool = True,
-            tol: float | None = None, keep_states: bool = False):
+            tol: float | None = None, keep_states: bool = False,
+            checkpoint_every: int = 1):
     """Run ``max_iter`` steps (or fewer once the largest change drops below
-    ``tol``).  Returns the final state, and the list of all checkpointed states
-    when ``keep_states`` is set (for per-step metrics)."""
+    ``tol``).  Returns the final state, and the list of all states when
+    ``keep_states`` is set (for per-step metrics).
+
+    Every ``checkpoint_every``-th state (and the last) is a reliable
+    checkpoint; the states in between are persisted and released once the
+    next checkpoint no longer needs them, so a lost executor recomputes at
+    most ``checkpoint_every`` steps.
+    """
     parts = prepared.partitions
+    every = max(1, checkpoint_every)
     state = cut_lineage(prepared.state0, partitions=parts)
     states = [state]
-    for _ in range(max_iter):
-        new = cut_lineage(step(state, prepared, alpha, redistribute, teleport), partitions=parts)
+    persisted: list[DataFrame] = []
+    for i in range(1, max_iter + 1):
+        nxt = step(state, prepared, alpha, redistribute, teleport)
+        last = i == max_iter
+        if every == 1 or i % every == 0 or last:
+            new = cut_lineage(nxt, partitions=parts)
+            if not keep_states:
+                for df in persisted:
+                    df.unpersist()
+                persisted.clear()
+        else:
+            new = materialize(nxt, partitions=parts)
+            persisted.append(new)
         delta = None
         if tol is not None:
             delta = (new.join(state.select("id", F.col("rank").alias("_old")), "id")
@@ -238,18 +267,22 @@ def iterate(prepared: PreparedGraph, max_iter: int, alpha: float = 0.15,
         state = new
         states.append(state)
         if tol is not None and (delta is None or delta < tol):
+            if not (every == 1 or i % every == 0 or last):
+                state = cut_lineage(state, partitions=parts)
+                states[-1] = state
             break
     return (state, states) if keep_states else state
 
 
 def pagerank(graph: Graph, alpha: float = 0.15, max_iter: int = 10, tol: float | None = None,
-             salt_chunk: int = DEFAULT_SALT_CHUNK, partitions: int | None = None) -> DataFrame:
+             salt_chunk: int = DEFAULT_SALT_CHUNK, partitions: int | None = None,
+             checkpoint_every: int = 1) -> DataFrame:
     """(id, rank) after ``max_iter`` PageRank steps; ranks sum to 1."""
     prepared = prepare(graph, salt_chunk, partitions=partitions)
     if prepared.n == 0:
         prepared.release()
         return graph.vertices.select("id", F.lit(0.0).alias("rank"))
-    final = iterate(prepared, max_iter, alpha, tol=tol)
+    final = iterate(prepared, max_iter, alpha, tol=tol, checkpoint_every=checkpoint_every)
     prepared.release()
     return final.select("id", "rank")
 

@@ -133,3 +133,9 @@ def test_hub_salting_matches_plain_ranks(spark, trade):
     plain = ranks(pr.pagerank(trade, max_iter=3))
     salted = ranks(pr.pagerank(trade, max_iter=3, salt_chunk=20))
     assert max(abs(plain[k] - salted[k]) for k in plain) < 1e-15
+
+
+def test_checkpoint_interval_gives_the_same_ranks(spark, trade):
+    every_step = ranks(pr.pagerank(trade, max_iter=7))
+    sparse = ranks(pr.pagerank(trade, max_iter=7, checkpoint_every=3))
+    assert max(abs(every_step[k] - sparse[k]) for k in every_step) < 1e-15
