@@ -60,14 +60,15 @@ def consecutive_pairs(df: DataFrame, group: str, order: list[str], value: str,
                       F.col(value).cast("string").alias("_v"))
               .where(F.col("_g").isNotNull() & F.col("_v").isNotNull()))
     sort_key = ["_g", *order, "_v"]
-    ranged = (rows.repartitionByRange(parts, *sort_key)
-                  .sortWithinPartitions(*sort_key)
-                  .withColumn("_pid", F.spark_partition_id()))
+    ranged = rows.repartitionByRange(parts, *sort_key)
 
-    inner = (ranged.select("_g", "_v")
+    inner = (ranged.sortWithinPartitions(*sort_key).select("_g", "_v")
                    .mapInPandas(_pairs_in_partition, "src string, dst string, cnt long"))
 
-    first_last = (ranged.groupBy("_pid")
+    # First and last row of every partition: min/max of the sort key need no
+    # sorted input, so this branch reuses the range shuffle and skips the sort.
+    first_last = (ranged.withColumn("_pid", F.spark_partition_id())
+                  .groupBy("_pid")
                   .agg(F.min(F.struct(*sort_key)).alias("_first"),
                        F.max(F.struct(*sort_key)).alias("_last")))
     # P rows at most: ordering them needs no partitioning key.
