@@ -30,10 +30,17 @@ def record_count(graph: Graph) -> DataFrame:
     return graph.edges.agg(F.countDistinct("src").alias("records"))
 
 
-def count_nodes(graph: Graph) -> DataFrame:
+def count_nodes(graph: Graph, approx: bool = False, rsd: float = 0.02) -> DataFrame:
     """One row: number of distinct node ids on either side of any link (plus
-    ids of empty records)."""
-    return graph.vertices.agg(F.count(F.lit(1)).alias("nodes"))
+    ids of empty records).  ``approx`` trades exactness for a HyperLogLog
+    estimate: each task keeps one sketch, the sketches merge, and the ids are
+    never shuffled."""
+    if not approx:
+        return graph.vertices.agg(F.count(F.lit(1)).alias("nodes"))
+    ids = graph.edges.select(F.col("src").alias("id")).unionByName(graph.edges.select(F.col("dst").alias("id")))
+    if graph.extra_ids is not None:
+        ids = ids.unionByName(graph.extra_ids.select(F.col("id").cast("string").alias("id")))
+    return ids.agg(F.approx_count_distinct("id", rsd).alias("nodes"))
 
 
 def dangling_count(graph: Graph) -> DataFrame:

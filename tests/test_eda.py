@@ -52,3 +52,10 @@ def test_titles_join_keeps_untitled_ranked_nodes(spark):
     assert out == [("a", "Alpha", 0.5), ("zz", None, 0.3)]
     lines = [r["line"] for r in report.ranked_lines(report.with_titles(top, titles)).collect()]
     assert lines[0] == "0.500000\t|          a\t| Alpha"
+
+
+def test_approximate_node_count_is_close(spark):
+    g = graphs.trade_graph(spark, SF_SMALL)
+    exact = eda.count_nodes(g).first()["nodes"]
+    approx = eda.count_nodes(g, approx=True).first()["nodes"]
+    assert abs(approx - exact) <= 0.06 * exact
