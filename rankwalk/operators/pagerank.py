@@ -39,6 +39,7 @@ Physical shape (asserted on the plan in ``tests/test_pagerank.py``):
 
 from __future__ import annotations
 
+import uuid
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
@@ -64,12 +65,28 @@ class PreparedGraph:
     n: int
     partitions: int               # P of every table and exchange of the loop
     _persisted: list = field(default_factory=list)
+    views: dict = field(default_factory=dict)   # temp-view names of the step's SQL
 
     def release(self) -> None:
+        spark = self.vertices.sparkSession
+        for name in self.views.values():
+            spark.catalog.dropTempView(name)
+        self.views.clear()
         for df in self._persisted:
             df.unpersist()
         self._persisted.clear()
 
+    def view(self, role: str) -> str:
+        """Name of the temp view holding ``role`` (links, hub_links, vertices,
+        state), unique to this prepared graph."""
+        if role not in self.views:
+            self.views[role] = f"rankwalk_{role}_{uuid.uuid4().hex[:12]}"
+            frame = {"links": self.links, "hub_links": self.hub_links,
+                     "vertices": self.vertices}.get(role)
+            if frame is not None:
+                frame.createOrReplaceTempView(self.views[role])
+        return self.views[role]
+
 
 def loop_partitions(spark: SparkSession, n_edges: int,
                     edges_per_partition: int = EDGES_PER_PARTITION) -> int:
@@ -136,53 +153,81 @@ def prepare(graph: Graph, salt_chunk: int = DEFAULT_SALT_CHUNK,
     return PreparedGraph(links, hub_links, vertices, state0, n, parts, kept)
 
 
-def incoming(state: DataFrame, prepared: PreparedGraph) -> DataFrame:
+def _dbl(x: float) -> str:
+    """A double literal that round-trips exactly."""
+    return f"CAST({float(x)!r} AS DOUBLE)"
+
+
+def _incoming_sql(prepared: PreparedGraph, state_view: str) -> str:
     """(dst, p): rank mass arriving at each node over its in-links.
 
     Each source sends rank / out_degree per unit of link count.  Ordinary
-    sources meet their links co-partitioned (no exchange); hub ranks are
-    replicated once per salt and shuffled to the hub buckets.  The per-target
-    sum is combined map-side before its one shuffle.
+    sources meet their links co-partitioned (no exchange; the links stream
+    through a hash table of the ranks); hub ranks are replicated once per salt
+    and shuffled to the hub buckets.  The per-target sum is combined map-side
+    before its one shuffle.
     """
-    share = F.col("rank") / F.col("out_degree")
-    senders = state.where(~F.col("dangling"))
-    ranks = senders.select(F.col("id").alias("src"), share.alias("r"))
-    flows = prepared.links.join(ranks.hint("shuffle_hash"), "src").select("dst", "cnt", "r")
+    flows = f"""
+        SELECT /*+ SHUFFLE_HASH(r) */ l.dst, r.r * l.cnt AS x
+        FROM {prepared.view("links")} l
+        JOIN (SELECT id AS src, rank / out_degree AS r FROM {state_view} WHERE NOT dangling) r
+          ON l.src = r.src"""
     if prepared.hub_links is not None:
-        hub_ranks = (senders.where(F.col("nsalt") > 1)
-                     .select(F.col("id").alias("src"),
-                             F.explode(F.sequence(F.lit(0), F.col("nsalt") - 1)).alias("salt"),
-                             share.alias("r")))
-        flows = flows.unionByName(
-            prepared.hub_links.join(hub_ranks.hint("shuffle_hash"), ["src", "salt"])
-                              .select("dst", "cnt", "r"))
-    return flows.groupBy("dst").agg(F.sum(F.col("r") * F.col("cnt")).alias("p"))
+        flows += f"""
+        UNION ALL
+        SELECT /*+ SHUFFLE_HASH(h) */ l.dst, h.r * l.cnt AS x
+        FROM {prepared.view("hub_links")} l
+        JOIN (SELECT id AS src, explode(sequence(0, nsalt - 1)) AS salt, rank / out_degree AS r
+              FROM {state_view} WHERE NOT dangling AND nsalt > 1) h
+          ON l.src = h.src AND l.salt = h.salt"""
+    return f"SELECT dst, sum(x) AS p FROM ({flows}) f GROUP BY dst"
+
+
+def _next_state(prepared: PreparedGraph, state: DataFrame, rank_sql) -> DataFrame:
+    """The vertex table (partitioned by id) left-joined with the incoming sums
+    (partitioned by dst), with the new rank computed by ``rank_sql(state_view)``.
+
+    Written as one SQL statement over temp views: Spark parses and analyses the
+    step once, instead of once per DataFrame call (the dominant driver cost of
+    a step at small scale)."""
+    spark = state.sparkSession
+    state_view = prepared.view("state")
+    state.createOrReplaceTempView(state_view)
+    return spark.sql(f"""
+        SELECT /*+ SHUFFLE_HASH(c) */ v.id, v.dangling, v.nsalt, v.out_degree,
+               {rank_sql(state_view)} AS rank
+        FROM {prepared.view("vertices")} v
+        LEFT JOIN ({_incoming_sql(prepared, state_view)}) c ON v.id = c.dst""")
 
 
-def _next_state(prepared: PreparedGraph, contrib: DataFrame, rank) -> DataFrame:
-    v = prepared.vertices
-    return (v.join(contrib.hint("shuffle_hash"), v.id == contrib.dst, "left")
-             .select("id", "dangling", "nsalt", "out_degree", rank.alias("rank")))
+def incoming(state: DataFrame, prepared: PreparedGraph) -> DataFrame:
+    """(dst, p) for ``state`` as a DataFrame (see ``_incoming_sql``)."""
+    state_view = prepared.view("state")
+    state.createOrReplaceTempView(state_view)
+    return state.sparkSession.sql(_incoming_sql(prepared, state_view))
 
 
 def step(state: DataFrame, prepared: PreparedGraph, alpha: float = 0.15,
          redistribute: bool = True, teleport: bool = True) -> DataFrame:
     """One update of the rank vector (lazy).
 
-    ``redistribute`` adds m/N (dangling mass spread uniformly); ``teleport``
-    applies alpha/N + (1-alpha) * (.).  With both off this is a plain
-    vector x transition-matrix product, which leaks the mass of sinks.
+    ``redistribute`` adds m/N (m = rank held by dangling nodes before the
+    step, a scalar subquery); ``teleport`` applies alpha/N + (1-alpha) * (.).
+    With both off this is a plain vector x transition-matrix product, which
+    leaks the mass of sinks.
     """
     n = prepared.n
-    contrib = incoming(state, prepared)
-    p = F.coalesce(F.col("p"), F.lit(0.0))
-    if redistribute:
-        m = state.agg(F.coalesce(F.sum(F.when(F.col("dangling"), F.col("rank"))),
-                                 F.lit(0.0)).alias("m")).scalar()
-        p = m / F.lit(float(n)) + p
-    if teleport:
-        p = F.lit(alpha / n) + F.lit(1.0 - alpha) * p
-    return _next_state(prepared, contrib, p)
+
+    def rank_sql(state_view: str) -> str:
+        p = "coalesce(c.p, 0D)"
+        if redistribute:
+            m = f"(SELECT coalesce(sum(rank) FILTER (WHERE dangling), 0D) FROM {state_view})"
+            p = f"({m} / {_dbl(n)} + {p})"
+        if teleport:
+            p = f"({_dbl(alpha / n)} + {_dbl(1.0 - alpha)} * {p})"
+        return p
+
+    return _next_state(prepared, state, rank_sql)
 
 
 @contextmanager
@@ -332,10 +377,10 @@ def pagerank_graphx(graph: Graph, reset_probability: float = 0.15, max_iter: int
     parts = prepared.partitions
     state = cut_lineage(prepared.state0, partitions=parts)
     for _ in range(max_iter):
-        contrib = incoming(state, prepared)
-        rank = (F.lit(reset_probability)
-                + F.lit(1.0 - reset_probability) * F.coalesce(F.col("p"), F.lit(0.0)))
-        state = cut_lineage(_next_state(prepared, contrib, rank), partitions=parts)
+        def rank_sql(_view: str) -> str:
+            return (f"({_dbl(reset_probability)} + {_dbl(1.0 - reset_probability)}"
+                    f" * coalesce(c.p, 0D))")
+        state = cut_lineage(_next_state(prepared, state, rank_sql), partitions=parts)
     prepared.release()
     correction = F.lit(float(prepared.n)) / state.agg(F.sum("rank")).scalar()
     return state.select("id", (F.col("rank") * correction).alias("pagerank"))
