@@ -107,7 +107,11 @@ def prepare(graph: Graph, salt_chunk: int = DEFAULT_SALT_CHUNK,
     """
     spark = graph.edges.sparkSession
     level = StorageLevel.MEMORY_AND_DISK
-    edges = graph.edges.select("src", "dst", "cnt").persist(level)
+    # The raw edge table is cached with AQE allowed to coalesce its shuffle
+    # partitions by their real size (cached plans otherwise keep the session's
+    # partition count, e.g. 2 x 200 near-empty partitions for a small graph).
+    with _session_conf(spark, {"spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true"}):
+        edges = graph.edges.select("src", "dst", "cnt").persist(level)
     deg = out_degree(edges)
     # One pass over the source fills the edge cache and sizes the job.
     stats = deg.agg(F.coalesce(F.sum("n_targets"), F.lit(0)).alias("links"),
@@ -231,20 +235,28 @@ def step(state: DataFrame, prepared: PreparedGraph, alpha: float = 0.15,
 
 
 @contextmanager
-def _static_planning(spark: SparkSession, partitions: int | None):
-    """Plan with AQE off and, if given, ``partitions`` shuffle partitions, so
-    every exchange of a step lands on the loop's fixed partitioning."""
-    settings = {"spark.sql.adaptive.enabled": "false"}
-    if partitions:
-        settings["spark.sql.shuffle.partitions"] = str(partitions)
-    old = {k: spark.conf.get(k) for k in settings}
+def _session_conf(spark: SparkSession, settings: dict[str, str]):
+    """Apply SQL settings for the duration of a block, then restore them."""
+    old = {k: spark.conf.get(k, None) for k in settings}
     for k, v in settings.items():
         spark.conf.set(k, v)
     try:
         yield
     finally:
         for k, v in old.items():
-            spark.conf.set(k, v)
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def _static_planning(spark: SparkSession, partitions: int | None):
+    """Plan with AQE off and, if given, ``partitions`` shuffle partitions, so
+    every exchange of a step lands on the loop's fixed partitioning."""
+    settings = {"spark.sql.adaptive.enabled": "false"}
+    if partitions:
+        settings["spark.sql.shuffle.partitions"] = str(partitions)
+    return _session_conf(spark, settings)
 
 
 def cut_lineage(df: DataFrame, mode: str = "checkpoint", partitions: int | None = None) -> DataFrame:
