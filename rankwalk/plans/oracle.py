@@ -190,13 +190,22 @@ SELECT v.id, CAST(COALESCE(l.part, 0) AS BIGINT) AS part,
 FROM v LEFT JOIN lists l ON v.id = l.src""")
 
 
-def _histogram_sql(bins: int) -> str:
-    return with_graph("trade", f""",
-st AS (SELECT CAST(MIN(deg) AS DOUBLE) AS lo, CAST(MAX(deg) AS DOUBLE) AS hi FROM deg),
+def _histogram_sql(bins: int, sample: tuple[int, int] | None = None) -> str:
+    """Equal-width histogram of out-degrees; over the md5-ordered sample of
+    ``sample = (size, seed)`` rows if given, else over every source."""
+    source = "deg"
+    extra = ""
+    if sample is not None:
+        size, seed = sample
+        extra = f""",
+smp AS (SELECT src, deg FROM deg ORDER BY md5(src || '{seed}') LIMIT {size})"""
+        source = "smp"
+    return with_graph("trade", f"""{extra},
+st AS (SELECT CAST(MIN(deg) AS DOUBLE) AS lo, CAST(MAX(deg) AS DOUBLE) AS hi FROM {source}),
 b AS (SELECT CASE WHEN st.hi = st.lo THEN 0
                   ELSE LEAST(CAST(FLOOR((CAST(deg AS DOUBLE) - st.lo) / ((st.hi - st.lo) / {float(bins)!r})) AS BIGINT), {bins - 1})
              END AS bin
-      FROM deg, st),
+      FROM {source}, st),
 c AS (SELECT bin, COUNT(*) AS cnt FROM b GROUP BY bin)
 SELECT CAST(r.bin AS INTEGER) AS bin,
        {_r(f"st.lo + r.bin * ((st.hi - st.lo) / {float(bins)!r})", "lo")},
@@ -239,6 +248,7 @@ SELECT COUNT(*) AS records, CAST(SUM(deg) AS BIGINT) AS links, {_r('AVG(deg)', '
         "dangling_mass": f"SELECT step, {_r('dangling_mass', 'dangling_mass')} FROM ({metrics_sql('trade', iterations, alpha)}) x",
         "total_mass": f"SELECT step, {_r('total_mass', 'total_mass')} FROM ({metrics_sql('trade', iterations, alpha)}) x",
         "degree_histogram": _histogram_sql(bins),
+        "sample_histogram": _histogram_sql(bins, (sample_size, sample_seed)),
         "adjacency_list": _adjacency_list_sql(),
         "top_out_degree": trade(f"SELECT src AS id, deg AS out_degree FROM deg ORDER BY deg DESC, src LIMIT {top_degree}"),
         "degree_sample": trade(f"""SELECT src AS id, deg AS out_degree FROM deg
