@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import report_line
+from ..functions.exprs import REPORT_HEADER, report_line
 from ..session import scratch_path
 
 
@@ -37,6 +37,13 @@ def ranked_lines(titled: DataFrame, value: str = "rank") -> DataFrame:
                          report_line(F.col(value), F.col("id"), F.col("title")).alias("line"))
 
 
+def report_text(titled: DataFrame, k_max: int = 1000) -> str:
+    """Header, a rule of ``=`` and one line per ranked node, as printed text.
+    Only for a top-k frame: at most ``k_max`` lines come to the driver."""
+    rows = ranked_lines(titled).orderBy("position").limit(k_max).collect()
+    return "\n".join([REPORT_HEADER, "=" * 100] + [r["line"] for r in rows])
+
+
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 

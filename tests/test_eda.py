@@ -59,3 +59,12 @@ def test_approximate_node_count_is_close(spark):
     exact = eda.count_nodes(g).first()["nodes"]
     approx = eda.count_nodes(g, approx=True).first()["nodes"]
     assert abs(approx - exact) <= 0.06 * exact
+
+
+def test_report_text_has_header_rule_and_lines(spark):
+    top = spark.createDataFrame([("a", 0.5), ("b", 0.25)], "id string, rank double")
+    titles = spark.createDataFrame([("a", "Alpha"), ("b", "Beta")], "id string, title string")
+    text = report.report_text(report.with_titles(top, titles)).splitlines()
+    assert text[0] == "PageRank  \t| Page id   \t| Title"
+    assert text[1] == "=" * 100
+    assert text[2:] == ["0.500000\t|          a\t| Alpha", "0.250000\t|          b\t| Beta"]
