@@ -64,6 +64,7 @@ class PreparedGraph:
     state0: DataFrame             # vertices + rank
     n: int
     partitions: int               # P of every table and exchange of the loop
+    n_dangling: int = -1          # -1: unknown
     _persisted: list = field(default_factory=list)
     views: dict = field(default_factory=dict)   # temp-view names of the step's SQL
 
@@ -146,7 +147,9 @@ def prepare(graph: Graph, salt_chunk: int = DEFAULT_SALT_CHUNK,
                         F.coalesce("nsalt", F.lit(1)).alias("nsalt"),
                         F.coalesce("out_degree", F.lit(0)).cast("double").alias("out_degree"))
                 .repartition(parts, "id").persist(level))
-    n = vertices.count()
+    counts = vertices.agg(F.count(F.lit(1)).alias("n"),
+                          F.count(F.when(F.col("dangling"), 1)).alias("d")).first()
+    n, n_dangling = counts["n"], counts["d"]
     links.count()
     if hub_links is not None:
         hub_links.count()
@@ -154,7 +157,7 @@ def prepare(graph: Graph, salt_chunk: int = DEFAULT_SALT_CHUNK,
     start = F.lit(1.0 / n if n else 0.0) if initial == "uniform" else F.lit(1.0)
     state0 = vertices.withColumn("rank", start)
     kept = [links, vertices] + ([hub_links] if hub_links is not None else [])
-    return PreparedGraph(links, hub_links, vertices, state0, n, parts, kept)
+    return PreparedGraph(links, hub_links, vertices, state0, n, parts, n_dangling, kept)
 
 
 def _dbl(x: float) -> str:
@@ -224,7 +227,8 @@ def step(state: DataFrame, prepared: PreparedGraph, alpha: float = 0.15,
 
     def rank_sql(state_view: str) -> str:
         p = "coalesce(c.p, 0D)"
-        if redistribute:
+        if redistribute and prepared.n_dangling != 0:
+            # without dangling nodes m is 0 and its per-step job is skipped
             m = f"(SELECT coalesce(sum(rank) FILTER (WHERE dangling), 0D) FROM {state_view})"
             p = f"({m} / {_dbl(n)} + {p})"
         if teleport:
