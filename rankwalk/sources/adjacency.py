@@ -72,6 +72,15 @@ def read_adjacency(spark: SparkSession, path: str | list[str], mode: str = "FAIL
     return parse_adjacency(read_lines(spark, path), mode=mode).select("node", "links")
 
 
+def _dict_key(key) -> F.Column:
+    """A dict key as text: ``'id'`` like the source format, or - when the id
+    holds a quote, a backslash or a control character - a JSON-escaped
+    ``"id"``, which both this reader and a Python literal parser accept."""
+    plain = ~key.rlike(r"""['"\\\p{Cntrl}]""")
+    escaped = F.regexp_extract(F.to_json(F.array(key)), r"^\[(.*)\]$", 1)
+    return F.when(plain, F.concat(F.lit("'"), key, F.lit("'"))).otherwise(escaped)
+
+
 def render_adjacency(edges: DataFrame, max_per_line: int = 10_000) -> DataFrame:
     """Edge table (src, dst, cnt) -> adjacency lines (value STRING).
 
@@ -89,7 +98,7 @@ def render_adjacency(edges: DataFrame, max_per_line: int = 10_000) -> DataFrame:
              .select("src", md5_bucket(F.col("dst"), F.col("_parts")).alias("_part"),
                      F.struct("dst", "cnt").alias("_e"))
              .groupBy("src", "_part").agg(F.sort_array(F.collect_list("_e")).alias("_l")))
-    body = F.array_join(F.transform("_l", lambda e: F.concat(F.lit("'"), e["dst"], F.lit("': "),
+    body = F.array_join(F.transform("_l", lambda e: F.concat(_dict_key(e["dst"]), F.lit(": "),
                                                             e["cnt"].cast("string"))), ", ")
     return items.select(F.concat(F.col("src"), F.lit("\t{"), body, F.lit("}")).alias("value"))
 
@@ -97,6 +106,6 @@ def render_adjacency(edges: DataFrame, max_per_line: int = 10_000) -> DataFrame:
 def render_records(records: DataFrame) -> DataFrame:
     """(node, links map) -> lines; empty maps render as ``{}``."""
     body = F.array_join(F.transform(F.sort_array(F.map_entries("links")),
-                                    lambda e: F.concat(F.lit("'"), e["key"], F.lit("': "),
+                                    lambda e: F.concat(_dict_key(e["key"]), F.lit(": "),
                                                        e["value"].cast("string"))), ", ")
     return records.select(F.concat(F.col("node"), F.lit("\t{"), body, F.lit("}")).alias("value"))

@@ -95,3 +95,20 @@ def test_inventory_lists_parquet_tables(spark):
     assert {"lineitem.parquet", "orders.parquet"} <= names
     total = inventory.directory_size(files).first()
     assert total["files"] == len(names) and total["bytes"] > 0
+
+
+def test_render_escapes_awkward_ids_both_readers_agree(spark, tmp_dir):
+    import ast
+    rows = [("a", "it's", 1), ("a", 'say "hi"', 2), ("b", "back\\slash", 3), ("c", "plain", 1)]
+    edges = spark.createDataFrame(rows, "src string, dst string, cnt bigint")
+    lines = [r["value"] for r in adjacency.render_adjacency(edges).collect()]
+    assert "c\t{'plain': 1}" in lines                  # the source format where it can be
+    python_view = {}
+    for line in lines:
+        node, links = line.split("\t")
+        for k, v in ast.literal_eval(links).items():
+            python_view[(node, k)] = v
+    path = os.path.join(tmp_dir, "awkward")
+    adjacency.render_adjacency(edges).write.text(path)
+    _, spark_view = edges_of(spark, path)
+    assert spark_view == python_view == {(s, d): c for s, d, c in rows}
