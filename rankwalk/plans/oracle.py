@@ -261,5 +261,6 @@ ORDER BY md5(src || '{sample_seed}') LIMIT {sample_size}"""),
         "mass_trace": f"""SELECT step, {_r('total_mass', 'total_mass')}
 FROM ({metrics_sql('web', iterations, None, False, 'uniform', binary=True)}) x""",
         "pagerank": pagerank_sql("trade", iterations, alpha),
+        "pagerank_web": pagerank_sql("web", iterations, alpha),
         "pagerank_graphx_norm": graphx_sql("trade", iterations, alpha),
     }

@@ -176,6 +176,13 @@ def q_pagerank(spark, sf):
     return _trade_ranks(spark, sf)
 
 
+def q_pagerank_web(spark, sf):
+    """PageRank on the href graph of the pages: string ids, mostly sinks, and
+    pages kept as nodes even without links."""
+    ranks = pr.pagerank(graphs.web_graph(spark, sf), ALPHA, ITERATIONS)
+    return ranks.select("id", _round("rank"))
+
+
 def q_pagerank_step(spark, sf):
     ranks = pr.pagerank(graphs.trade_graph(spark, sf), ALPHA, 1)
     return ranks.select("id", _round("rank"))
@@ -259,6 +266,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "power_iteration_squaring": q_power_iteration_squaring,
     "mass_trace": q_mass_trace,
     "pagerank": q_pagerank,
+    "pagerank_web": q_pagerank_web,
     "pagerank_graphx_norm": q_pagerank_graphx_norm,
 }
 
