@@ -53,6 +53,11 @@ def consecutive_pairs(df: DataFrame, group: str, order: list[str], value: str,
 
     Equivalent to counting (value, lead(value)) over (partition by group order
     by order..., value) where the lead is not null.
+
+    The range split uses an explicit partition count (``partitions`` or the
+    session's shuffle partitions): the pair walk and the boundary table read
+    the same shuffle in two stages, and a fixed count guarantees both see the
+    same partitions (size-based coalescing could merge them differently).
     """
     spark = df.sparkSession
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
