@@ -159,3 +159,23 @@ def test_sink_free_graph_matches_dense_brute_force(spark):
         x = 0.15 / 5 + 0.85 * (x @ t)
     got = ranks(pr.pagerank(g, max_iter=12))
     assert max(abs(got[v] - x[idx[v]]) for v in nodes) < 1e-15
+
+
+def test_hub_with_a_third_of_all_links_is_spread_over_partitions(spark):
+    hub_links = [("h", f"t{i}", 1) for i in range(3000)]
+    other = [(f"s{i % 600}", f"t{(i * 7) % 3000}", 1 + i % 3) for i in range(6000)]
+    edges = spark.createDataFrame(hub_links + other, "src string, dst string, cnt bigint")
+    g = gr.graph_from_pairs(edges, "src", "dst", "cnt")
+    prep = pr.prepare(g, salt_chunk=500, partitions=8)
+    try:
+        assert prep.hub_links is not None
+        spread = (prep.hub_links.where(F.col("src") == "h")
+                  .select(F.spark_partition_id().alias("p")).distinct().count())
+        assert spread >= 4                               # 6 salts over 8 partitions
+        plain = prep.links.where(F.col("src") == "h").count()
+        assert plain == 0                                # the hub left the plain table
+    finally:
+        prep.release()
+    a = ranks(pr.pagerank(g, max_iter=5, salt_chunk=500, partitions=8))
+    b = ranks(pr.pagerank(g, max_iter=5))
+    assert max(abs(a[k] - b[k]) for k in a) < 1e-15
