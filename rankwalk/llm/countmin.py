@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import shuffle_files_dropped
 from .textkernel import mix
 
-FLUSH = 4 << 20
+FLUSH = 2 << 20
 _U = np.uint64
 _SALTS = np.array([0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0, 0x082EFA98EC4E6C89], dtype=np.uint64)
 SCHEMA = "row int, part int, blob binary"

@@ -12,7 +12,10 @@ of both hold k common ones, for any k.  Each document picks its own k, from 1
 to ``most``, at the least estimated cost: the postings it meets in that prefix
 plus the candidates to verify, of which there are at most postings / k.  Two
 documents are candidates when their prefixes share min(k, k') shingles and
-their sizes allow a link.
+their sizes and the places of the common shingles allow a link: what two
+ordered lists share is at most what they shared up to a common shingle and
+the shorter rest behind it, and of what stands before it only shingles that
+other prefixes hold can be shared.
 
 Links are found without listing all pairs of a group.  Two rounds compare each
 node with one other node of a prefix shingle (first the one with the most
@@ -40,7 +43,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import fresh, materialise, row_key
@@ -55,6 +58,8 @@ INVOLVED = Shape(depth=2, log2=24)
 MOST = 8
 VERIFY_COST, POSTING_COST = 20.0, 1.0
 ROUNDS = 2
+PAIRS_BROADCAST = 500_000
+BEFORE = 32
 
 
 def needed(n: int) -> int:
@@ -114,7 +119,10 @@ def prefixes(docs: DataFrame, most: int = MOST, frequency: Shape = FREQUENCY) ->
 
 
 def _postings(found: DataFrame, prefix: Shape) -> DataFrame:
-    """(token, node, n, k) of prefix shingles that stand in two nodes' prefixes."""
+    """(token, node, n, k, rest, upto, before) of prefix shingles that stand in two nodes'
+    prefixes; rest: the node's shingles behind this one in the global order,
+    upto: its shared prefix shingles up to this one; before: the last BEFORE of
+    those."""
     lists = lambda b: [b.column(0).flatten().to_numpy().view(np.uint64)]
     likely = Filter(found.sparkSession, prefix, sketch(found.where("node is not null").select("prefix"), lists, prefix, repeated_bits))
 
@@ -122,15 +130,20 @@ def _postings(found: DataFrame, prefix: Shape) -> DataFrame:
         passes = likely.open()
         for batch in batches:
             tokens = batch.column("prefix").flatten().to_numpy()
-            row = np.repeat(np.arange(batch.num_rows), batch.column("prefix").value_lengths().to_numpy())
+            lengths = batch.column("prefix").value_lengths().to_numpy().astype(np.int64)
+            row = np.repeat(np.arange(batch.num_rows), lengths)
+            pos = (np.arange(len(row)) - np.repeat(np.cumsum(lengths) - lengths, lengths)).astype(np.int32)
             hit = passes(tokens.view(np.uint64))
             rest = batch.select(["node", "n", "k"]).take(pa.array(row[hit]))
-            yield pa.RecordBatch.from_arrays([pa.array(tokens[hit]), *rest.columns], ["token", "node", "n", "k"])
+            yield pa.RecordBatch.from_arrays([pa.array(tokens[hit]), *rest.columns, pa.array(pos[hit])], ["token", "node", "n", "k", "pos"])
 
-    rows = found.where("node is not null").select("prefix", "node", "n", "k").mapInArrow(explode, "token long, node long, n long, k int")
+    rows = found.where("node is not null").select("prefix", "node", "n", "k").mapInArrow(explode, "token long, node long, n long, k int, pos int")
     rows = materialise(rows.distinct(), "postings")
     shared = materialise(rows.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token"), "shared-tokens")
-    return materialise(rows.join(shared, "token", "left_semi"), "shared-postings")
+    order = Window.partitionBy("node").orderBy("pos")
+    rows = (rows.join(shared, "token", "left_semi").withColumn("upto", F.row_number().over(order))
+            .withColumn("before", F.collect_list("token").over(order.rowsBetween(-BEFORE, -1))))
+    return materialise(rows.select("token", "node", "n", "k", (F.col("n") - F.col("pos") - 1).alias("rest"), "upto", "before"), "shared-postings")
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, postings: DataFrame, involved: Shape) -> DataFrame:
@@ -159,16 +172,34 @@ def _sets(docs: DataFrame, nodes: DataFrame, postings: DataFrame, involved: Shap
     return materialise(found.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"]), "sets")
 
 
+def _bounded(pairs: DataFrame) -> DataFrame:
+    """Pairs marked for broadcast while a count shows them few (16 bytes each)."""
+    return F.broadcast(pairs) if pairs.limit(PAIRS_BROADCAST + 1).count() <= PAIRS_BROADCAST else pairs
+
+
+def _together(pairs: DataFrame, nodes: DataFrame, column: str) -> DataFrame:
+    """(a, b, x, y): for each pair the array ``column`` of both its nodes.  Only
+    the arrays of the pairs' own nodes are moved, once a pair."""
+    few = _bounded(pairs)
+    side = lambda key, first: (nodes.join(few, nodes["node"] == few[key]).select(
+        "a", "b", F.when(F.lit(first), F.col(column)).alias("x"), F.when(F.lit(not first), F.col(column)).alias("y")))
+    return (side("a", True).unionByName(side("b", False)).groupBy("a", "b")
+            .agg(F.first("x", ignorenulls=True).alias("x"), F.first("y", ignorenulls=True).alias("y")))
+
+
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) that link."""
-    at = lambda c: sets.select(F.col("node").alias(c), F.col("shingles").alias(f"s{c}"))
-    both = F.size(F.array_intersect("sa", "sb"))
-    rows = pairs.join(at("a"), "a").join(at("b"), "b").select("a", "b", both.alias("both"), (F.size("sa") + F.size("sb")).alias("sizes"))
+    both = F.size(F.array_intersect("x", "y"))
+    rows = _together(pairs, sets, "shingles").select("a", "b", both.alias("both"), (F.size("x") + F.size("y")).alias("sizes"))
     return rows.where(100 * F.col("both") >= 80 * (F.col("sizes") - F.col("both"))).select("a", "b")
 
 
-def _fits(n: str, m: str) -> Column:
-    return (5 * F.col(n) >= 4 * F.col(m)) & (5 * F.col(m) >= 4 * F.col(n))
+def _possible(upto: Column, n: str, m: str, rest_n: str, rest_m: str) -> Column:
+    """Can sets of n and m shingles link that share at most ``upto`` up to a
+    common one and have rest_n and rest_m behind it?  (Linked: 9 * intersection
+    >= 4 * (n + m).)"""
+    rest = F.least(rest_n, rest_m)
+    return (9 * (upto + rest) >= 4 * (F.col(n) + F.col(m))) & (5 * F.col(n) >= 4 * F.col(m)) & (5 * F.col(m) >= 4 * F.col(n))
 
 
 def _star_pairs(postings: DataFrame, turn: int) -> DataFrame:
@@ -180,23 +211,47 @@ def _star_pairs(postings: DataFrame, turn: int) -> DataFrame:
     else:
         postings = postings.withColumn("weight", F.xxhash64("node", F.lit(turn)))
     chosen = materialise(postings.groupBy("token").agg(
-        F.max_by("node", "weight").alias("b"), F.max_by("n", "weight").alias("m"), F.max_by("root", "weight").alias("b_root")), "chosen")
-    met = (postings.join(chosen, "token").where((F.col("root") != F.col("b_root")) & _fits("n", "m"))
+        F.max_by("node", "weight").alias("b"), F.max_by("n", "weight").alias("m"), F.max_by("rest", "weight").alias("b_rest"), F.max_by("upto", "weight").alias("b_upto"),
+        F.max_by("root", "weight").alias("b_root")), "chosen")
+    met = (postings.join(chosen, "token").where((F.col("root") != F.col("b_root")) & _possible(F.least("upto", "b_upto"), "n", "m", "rest", "b_rest"))
            .groupBy(F.col("node").alias("a"), "b").agg(F.count(F.lit(1)).alias("c")))
     return met.groupBy("a").agg(F.max_by("b", "c").alias("b"))
 
 
 def _open_pairs(postings: DataFrame) -> DataFrame:
     """All candidates (a, b) between different components."""
-    split = postings.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("token")
-    rows = materialise(postings.join(materialise(split, "split-tokens"), "token", "left_semi"), "open-postings")
-    held = materialise(rows.select("token", "root").distinct(), "token-roots")
-    two = held.join(held.select("token", F.col("root").alias("root_b")), "token").where("root < root_b")
-    a = rows.select("token", "root", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("k").alias("k_a"))
-    b = rows.select("token", F.col("root").alias("root_b"), F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("k").alias("k_b"))
-    met = two.join(a, ["token", "root"]).join(b, ["token", "root_b"]).where(_fits("n_a", "n_b"))
-    met = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"), F.first(F.least("k_a", "k_b")).alias("k"))
-    return met.where("c >= k").select("a", "b")
+    # What a node can share caps its partner's size; without one as small among
+    # the shingle's nodes the posting is of no use.
+    largest = F.floor((9 * (F.col("upto") + F.col("rest")) - 4 * F.col("n")) / 4)
+    split = postings.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("n").alias("least_n"))
+    split = materialise(split.where("lo <> hi").select("token", "least_n"), "split-tokens")
+    rows = postings.join(split, "token").where(largest >= F.col("least_n")).drop("least_n")
+    rows = materialise(rows, "open-postings")
+    held = materialise(rows.groupBy("token", "root").agg(
+        F.min("n").alias("n0"), F.max("n").alias("n1"), F.max("upto").alias("upto"), F.max("rest").alias("rest")), "token-roots")
+    other = held.select("token", *[F.col(c).alias(f"{c}_b") for c in held.columns if c != "token"])
+    two = held.join(other, "token").where(
+        (F.col("root") < F.col("root_b")) & (9 * (F.least("upto", "upto_b") + F.least("rest", "rest_b")) >= 4 * (F.col("n0") + F.col("n0_b")))
+        & (5 * F.col("n1") >= 4 * F.col("n0_b")) & (5 * F.col("n1_b") >= 4 * F.col("n0")))
+    two = two.select("token", "root", "root_b", "n0_b", "n1_b", F.col("upto_b").alias("most_upto"), F.col("rest_b").alias("most_rest"))
+    side = lambda x, root: rows.select("token", F.col("root").alias(root), *[F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "rest", "upto", "before")])
+    # A member of the first component that can meet some member of the second.
+    some = ((9 * (F.least("upto_a", "most_upto") + F.least("rest_a", "most_rest")) >= 4 * (F.col("n_a") + F.col("n0_b")))
+            & (5 * F.col("n_a") >= 4 * F.col("n0_b")) & (5 * F.col("n1_b") >= 4 * F.col("n_a")))
+    # A pair is taken at the first shingle its nodes share (as far back as BEFORE tells).
+    first = ~F.arrays_overlap("before_a", "before_b")
+    met = two.join(side("a", "root"), ["token", "root"]).where(some).join(side("b", "root_b"), ["token", "root_b"])
+    met = met.where(_possible(F.least("upto_a", "upto_b"), "n_a", "n_b", "rest_a", "rest_b") & first)
+    pairs = materialise(met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct(), "met-pairs")
+    # Shared prefix shingles of each pair: at least min(k, k'), and enough to
+    # link with the longer of what lies behind the prefixes.
+    lists = materialise(rows.groupBy("node").agg(F.collect_list("token").alias("tokens"), F.first("n").alias("n"), F.first("k").alias("k")), "node-tokens")
+    lists = lists.select("node", F.concat(F.array(F.col("n"), F.col("k").cast("bigint")), "tokens").alias("tokens"))
+    tail = lambda c: F.slice(c, 3, F.size(c))
+    behind = lambda c: F.ceil(4 * F.col(c)[0] / 5) - F.col(c)[1]
+    counted = _together(pairs, lists, "tokens").withColumn("c", F.size(F.array_intersect(tail("x"), tail("y"))))
+    enough = 9 * (F.col("c") + F.greatest(behind("x"), behind("y"))) >= 4 * (F.col("x")[0] + F.col("y")[0])
+    return counted.where((F.col("c") >= F.least(F.col("x")[1], F.col("y")[1])) & enough).select("a", "b")
 
 
 def linked_components(docs: DataFrame, most: int = MOST, frequency: Shape = FREQUENCY, prefix: Shape = PREFIX,
