@@ -29,10 +29,9 @@ def sample_key(id_col: Column | str, seed: int) -> Column:
 
 def equal_width_bin(x: Column, lo: Column, hi: Column, bins: int) -> Column:
     """Index of ``x`` among ``bins`` equal-width bins over [lo, hi]; the last
-    bin is closed, a zero-width range puts everything in bin 0."""
+    bin is closed.  ``hi`` must be above ``lo``."""
     width = (hi - lo) / F.lit(float(bins))
-    raw = F.floor((x - lo) / width)
-    return F.when(hi == lo, F.lit(0)).otherwise(F.least(raw, F.lit(bins - 1))).cast("int")
+    return F.least(F.floor((x - lo) / width), F.lit(bins - 1)).cast("int")
 
 
 def report_line(rank: Column, id_col: Column, title: Column) -> Column:
@@ -41,4 +40,6 @@ def report_line(rank: Column, id_col: Column, title: Column) -> Column:
     return F.format_string("%f\t| %10s\t| %s", rank, id_col, F.coalesce(title, F.lit("")))
 
 
+# The report's printed header, its rule and (above) line layout.
+REPORT_RULE = "=" * 100
 REPORT_HEADER = "{:10s}\t| {:10s}\t| {}".format("PageRank", "Page id", "Title")

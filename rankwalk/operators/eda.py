@@ -26,10 +26,16 @@ def source_degrees(graph: Graph) -> DataFrame:
 
 
 def record_count(graph: Graph) -> DataFrame:
-    """One row: number of records, i.e. nodes that have an out-link list."""
+    """One row: number of nodes that have an out-link list with links."""
     return graph.edges.agg(F.countDistinct("src").alias("records"))
 
 
+def count_records(records: DataFrame) -> DataFrame:
+    """One row: number of parsed adjacency records (lines), those with an
+    empty map and those of one node on several lines included."""
+    return records.agg(F.count(F.lit(1)).alias("records"))
+
+
 def count_nodes(graph: Graph, approx: bool = False, rsd: float = 0.02) -> DataFrame:
     """One row: number of distinct node ids on either side of any link (plus
     ids of empty records).  ``approx`` trades exactness for a HyperLogLog
@@ -77,10 +83,13 @@ def sample_fixed(df: DataFrame, n: int = 1000, seed: int = 42) -> DataFrame:
 
 def histogram(df: DataFrame, value: str, bins: int = 10) -> DataFrame:
     """Equal-width histogram over [min, max] of ``value``: one row per bin
-    (bin, lo, hi, count), empty bins included.  min and max are scalar
-    subqueries; the counting is a partial + final aggregate."""
+    (bin, lo, hi, count), empty bins included; a range of one single value is
+    widened by 0.5 on each side.  min and max are scalar subqueries; the
+    counting is a partial + final aggregate."""
     spark = df.sparkSession
     stats = df.agg(F.min(value).cast("double").alias("lo"), F.max(value).cast("double").alias("hi"))
+    flat = F.when(F.col("lo") == F.col("hi"), 0.5).otherwise(0.0)
+    stats = stats.select((F.col("lo") - flat).alias("lo"), (F.col("hi") + flat).alias("hi"))
     lo, hi = stats.select("lo").scalar(), stats.select("hi").scalar()
     counts = (df.select(equal_width_bin(F.col(value).cast("double"), lo, hi, bins).alias("bin"))
                 .groupBy("bin").agg(F.count(F.lit(1)).alias("count")))

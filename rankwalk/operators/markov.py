@@ -45,7 +45,7 @@ def transition_matrix(graph: Graph, binary: bool = True) -> DataFrame:
 def _initial(prepared: pr.PreparedGraph, start: str) -> DataFrame:
     v = prepared.vertices
     if start == "uniform":
-        return v.withColumn("rank", F.lit(1.0 / prepared.n))
+        return v.withColumn("rank", F.lit(1.0 / max(prepared.n, 1)))
     if start == "first":
         first = v.agg(F.min("id")).scalar()
         return v.withColumn("rank", F.when(F.col("id") == first, F.lit(1.0)).otherwise(F.lit(0.0)))
@@ -61,9 +61,11 @@ def power_iteration(graph: Graph, steps: int, start: str = "first", binary: bool
     """
     g = binary_graph(graph) if binary else graph
     prepared = pr.prepare(g, salt_chunk)
-    prepared.state0 = _initial(prepared, start)
-    final = pr.iterate(prepared, steps, redistribute=False, teleport=False)
-    prepared.release()
+    try:
+        prepared.state0 = _initial(prepared, start)
+        final = pr.iterate(prepared, steps, redistribute=False, teleport=False)
+    finally:
+        prepared.release()
     return final.select("id", F.col("rank").alias("mass"))
 
 
@@ -73,9 +75,11 @@ def mass_trace(graph: Graph, steps: int, start: str = "uniform", binary: bool =
     stays 1 on a graph without sinks, leaks on one with sinks."""
     g = binary_graph(graph) if binary else graph
     prepared = pr.prepare(g, salt_chunk)
-    prepared.state0 = _initial(prepared, start)
-    _, states = pr.iterate(prepared, steps, redistribute=False, teleport=False, keep_states=True)
-    prepared.release()
+    try:
+        prepared.state0 = _initial(prepared, start)
+        _, states = pr.iterate(prepared, steps, redistribute=False, teleport=False, keep_states=True)
+    finally:
+        prepared.release()
     out = None
     for i, s in enumerate(states):
         row = s.agg(F.lit(i).alias("step"), F.coalesce(F.sum("rank"), F.lit(0.0)).alias("total_mass"))
@@ -111,8 +115,10 @@ def power_iteration_squaring(graph: Graph, squarings: int, start: str = "first",
     for _ in range(squarings):
         t = pr.cut_lineage(matrix_product(t, t), partitions=parts)
     v = g.vertices
+    if start not in ("first", "uniform"):
+        raise ValueError(f"unknown start {start!r}")
     if start == "uniform":
-        x = v.withColumn("mass", F.lit(1.0 / n))
+        x = v.withColumn("mass", F.lit(1.0 / max(n, 1)))
     else:
         first = v.agg(F.min("id")).scalar()
         x = v.withColumn("mass", F.when(F.col("id") == first, F.lit(1.0)).otherwise(F.lit(0.0)))

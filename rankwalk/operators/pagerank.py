@@ -223,7 +223,7 @@ def step(state: DataFrame, prepared: PreparedGraph, alpha: float = 0.15,
     With both off this is a plain vector x transition-matrix product, which
     leaks the mass of sinks.
     """
-    n = prepared.n
+    n = max(prepared.n, 1)      # an empty graph has no row to rank
 
     def rank_sql(state_view: str) -> str:
         p = "coalesce(c.p, 0D)"
@@ -343,8 +343,10 @@ def pagerank(graph: Graph, alpha: float = 0.15, max_iter: int = 10, tol: float |
     if prepared.n == 0:
         prepared.release()
         return graph.vertices.select("id", F.lit(0.0).alias("rank"))
-    final = iterate(prepared, max_iter, alpha, tol=tol, checkpoint_every=checkpoint_every)
-    prepared.release()
+    try:
+        final = iterate(prepared, max_iter, alpha, tol=tol, checkpoint_every=checkpoint_every)
+    finally:
+        prepared.release()
     return final.select("id", "rank")
 
 
@@ -359,8 +361,10 @@ def pagerank_metrics(graph: Graph, alpha: float = 0.15, max_iter: int = 10,
     partitioning on ``id``.
     """
     prepared = prepare(graph, salt_chunk)
-    _, states = iterate(prepared, max_iter, alpha, redistribute, teleport, keep_states=True)
-    prepared.release()
+    try:
+        _, states = iterate(prepared, max_iter, alpha, redistribute, teleport, keep_states=True)
+    finally:
+        prepared.release()
     frames = []
     for i, s in enumerate(states):
         agg = s.agg(F.coalesce(F.sum(F.when(F.col("dangling"), F.col("rank"))), F.lit(0.0)).alias("dangling_mass"),
@@ -391,12 +395,16 @@ def pagerank_graphx(graph: Graph, reset_probability: float = 0.15, max_iter: int
         prepared.release()
         return graph.vertices.select("id", F.lit(0.0).alias("pagerank"))
     parts = prepared.partitions
-    state = cut_lineage(prepared.state0, partitions=parts)
-    for _ in range(max_iter):
-        def rank_sql(_view: str) -> str:
-            return (f"({_dbl(reset_probability)} + {_dbl(1.0 - reset_probability)}"
-                    f" * coalesce(c.p, 0D))")
-        state = cut_lineage(_next_state(prepared, state, rank_sql), partitions=parts)
-    prepared.release()
+
+    def rank_sql(_view: str) -> str:
+        return (f"({_dbl(reset_probability)} + {_dbl(1.0 - reset_probability)}"
+                f" * coalesce(c.p, 0D))")
+
+    try:
+        state = cut_lineage(prepared.state0, partitions=parts)
+        for _ in range(max_iter):
+            state = cut_lineage(_next_state(prepared, state, rank_sql), partitions=parts)
+    finally:
+        prepared.release()
     correction = F.lit(float(prepared.n)) / state.agg(F.sum("rank")).scalar()
     return state.select("id", (F.col("rank") * correction).alias("pagerank"))

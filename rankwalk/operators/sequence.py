@@ -18,33 +18,45 @@ from typing import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark import cloudpickle
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 # The per-partition function travels to the Python workers by value, so the
 # executors need numpy/pandas only, not this package on their path.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+ROWS_PER_TASK = 4_000_000
+
+
 def _pairs_in_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    carry_g = carry_v = None
+    """Counted pairs (edge = 0), then one row (edge = 1) with the partition's
+    first and last group and value."""
+    pid = TaskContext.get().partitionId()
+    first = last = None
     for pdf in batches:
         if pdf.empty:
             continue
-        g = pdf["_g"].to_numpy()
-        v = pdf["_v"].to_numpy()
-        if carry_g is not None:
-            g = np.concatenate([[carry_g], g])
-            v = np.concatenate([[carry_v], v])
-        carry_g, carry_v = g[-1], v[-1]
-        same = g[:-1] == g[1:]
-        if not same.any():
-            continue
-        pairs = pd.DataFrame({"src": v[:-1][same], "dst": v[1:][same]})
-        counted = pairs.groupby(["src", "dst"], sort=False).size().reset_index(name="cnt")
-        counted["cnt"] = counted["cnt"].astype("int64")
-        yield counted
+        g, v = pdf["_g"].to_numpy(), pdf["_v"].to_numpy()
+        if first is None:
+            first = (g[0], v[0])
+        else:
+            g, v = np.concatenate([[last[0]], g]), np.concatenate([[last[1]], v])
+        last = (g[-1], v[-1])
+        src, dst = v[:-1], v[1:]
+        pairs = pd.DataFrame({"src": src, "dst": dst})[g[:-1] == g[1:]].dropna()
+        if len(pairs):
+            counted = pairs.groupby(["src", "dst"], sort=False).size().reset_index(name="cnt")
+            yield counted.assign(edge=0, pid=pid, g0=None, g1=None)[_WALK_COLUMNS]
+    if first is not None:
+        row = {"edge": 1, "pid": pid, "g0": first[0], "g1": last[0], "src": last[1], "dst": first[1], "cnt": 1}
+        yield pd.DataFrame([row], columns=_WALK_COLUMNS)
+
+
+_WALK_COLUMNS = ["edge", "pid", "g0", "g1", "src", "dst", "cnt"]
 
 
 def consecutive_pairs(df: DataFrame, group: str, order: list[str], value: str,
@@ -52,38 +64,32 @@ def consecutive_pairs(df: DataFrame, group: str, order: list[str], value: str,
     """(src, dst, cnt): how often ``value`` b directly follows a within a group.
 
     Equivalent to counting (value, lead(value)) over (partition by group order
-    by order..., value) where the lead is not null.
+    by order..., value) where neither is null: a row with a null value keeps
+    its place, so its neighbours do not become a pair.  Rows with a null group
+    are left out.
 
-    The range split uses an explicit partition count (``partitions`` or the
-    session's shuffle partitions): the pair walk and the boundary table read
-    the same shuffle in two stages, and a fixed count guarantees both see the
-    same partitions (size-based coalescing could merge them differently).
+    The range shuffle is evaluated once: the walk emits the counted pairs and
+    each partition's first and last row, and that small output is
+    checkpointed before the pairs straddling two partitions are read off it.
+    The number of partitions follows the number of rows.
     """
     spark = df.sparkSession
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ensure_checkpoint_dir(spark)
     rows = (df.select(F.col(group).alias("_g"), *[F.col(c) for c in order],
                       F.col(value).cast("string").alias("_v"))
-              .where(F.col("_g").isNotNull() & F.col("_v").isNotNull()))
+              .where(F.col("_g").isNotNull()))
+    parts = partitions or max(spark.sparkContext.defaultParallelism, -(-rows.count() // ROWS_PER_TASK))
     sort_key = ["_g", *order, "_v"]
-    ranged = rows.repartitionByRange(parts, *sort_key)
+    kind = rows.schema["_g"].dataType.simpleString()
+    walked = (rows.repartitionByRange(parts, *sort_key).sortWithinPartitions(*sort_key).select("_g", "_v")
+              .mapInPandas(_pairs_in_partition, f"edge int, pid int, g0 {kind}, g1 {kind}, src string, dst string, cnt long")
+              .checkpoint())
 
-    inner = (ranged.sortWithinPartitions(*sort_key).select("_g", "_v")
-                   .mapInPandas(_pairs_in_partition, "src string, dst string, cnt long"))
-
-    # First and last row of every partition: min/max of the sort key need no
-    # sorted input, so this branch reuses the range shuffle and skips the sort.
-    first_last = (ranged.withColumn("_pid", F.spark_partition_id())
-                  .groupBy("_pid")
-                  .agg(F.min(F.struct(*sort_key)).alias("_first"),
-                       F.max(F.struct(*sort_key)).alias("_last")))
     # P rows at most: ordering them needs no partitioning key.
-    nxt = Window.orderBy("_pid")
-    straddle = (first_last
-                .select(F.col("_last._g").alias("g0"), F.col("_last._v").alias("src"),
-                        F.lead(F.col("_first._g")).over(nxt).alias("g1"),
-                        F.lead(F.col("_first._v")).over(nxt).alias("dst"))
-                .where(F.col("g1").isNotNull() & (F.col("g0") == F.col("g1")))
+    nxt = Window.orderBy("pid")
+    straddle = (walked.where("edge = 1")
+                .select("g1", "src", F.lead("g0").over(nxt).alias("next_g"), F.lead("dst").over(nxt).alias("dst"))
+                .where("g1 = next_g and src is not null and dst is not null")
                 .select("src", "dst", F.lit(1).cast("long").alias("cnt")))
-
-    return (inner.unionByName(straddle)
-                 .groupBy("src", "dst").agg(F.sum("cnt").alias("cnt")))
+    inner = walked.where("edge = 0").select("src", "dst", "cnt")
+    return inner.unionByName(straddle).groupBy("src", "dst").agg(F.sum("cnt").alias("cnt"))

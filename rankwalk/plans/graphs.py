@@ -52,6 +52,18 @@ def trade_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cust_part.unionByName(part_supp)
 
 
+def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One adjacency record per order: (node = customer, links = part -> number
+    of line items).  An order without line items has an empty map, a customer
+    with several orders several records.  A map is bounded by its order."""
+    items = (table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_partkey").agg(F.count(F.lit(1)).alias("n"))
+             .groupBy("l_orderkey").agg(F.collect_list(F.struct(_prefixed("P", "l_partkey").alias("k"), "n")).alias("parts")))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    none = F.array().cast("array<struct<k:string,n:bigint>>")
+    return (orders.join(items, orders.o_orderkey == items.l_orderkey, "left")
+            .select(_prefixed("C", "o_custkey").alias("node"), F.map_from_entries(F.coalesce("parts", none)).alias("links")))
+
+
 def trade_graph(spark: SparkSession, sf_dir: str) -> Graph:
     return Graph(trade_edges(spark, sf_dir))
 

@@ -66,6 +66,11 @@ GRAPHS = {
 }
 
 
+# One record per order: its customer and number of line items (0 without any).
+ORDER_DEGREES = """SELECT 'C' || o.o_custkey AS id, COUNT(l.l_orderkey) AS out_degree
+FROM orders o LEFT JOIN lineitem l ON o.o_orderkey = l.l_orderkey GROUP BY o.o_orderkey, o.o_custkey"""
+
+
 def graph_ctes(graph: str, binary: bool = False) -> str:
     """CTEs e(src,dst,cnt), v(id), deg(src,deg,n_targets),
     vt(id,dangling,out_degree), w(src,dst,w), n(n) for a named graph.
@@ -134,7 +139,7 @@ ORDER BY rank DESC, id LIMIT {k}"""
 def titled_topk_sql(k: int, steps: int, alpha: float = 0.15) -> str:
     return f"""SELECT t.id, nm.title, t.rank
 FROM ({pagerank_topk_sql(k, steps, alpha)}) t
-LEFT JOIN ({TRADE_NAMES}) nm ON t.id = nm.id"""
+JOIN ({TRADE_NAMES}) nm ON t.id = nm.id"""
 
 
 def ranked_report_sql(k: int, steps: int, alpha: float = 0.15) -> str:
@@ -235,15 +240,15 @@ ORDER BY src, dst LIMIT 30""",
         "graph_init": trade(f"SELECT vt.id, vt.dangling, vt.out_degree, {_r('1.0 / n.n', 'rank')} FROM vt, n"),
         "topk_with_titles": titled_topk_sql(top_k, iterations, alpha),
         "pagerank_step": pagerank_sql("trade", 1, alpha),
-        "record_count": trade("SELECT COUNT(DISTINCT src) AS records FROM e"),
+        "record_count": "SELECT COUNT(*) AS records FROM orders",
         "count_nodes": trade("SELECT COUNT(*) AS nodes FROM v"),
         "dangling_count": with_graph("web", """
 SELECT COUNT(*) AS nodes, COUNT(*) FILTER (WHERE NOT dangling) AS records,
        COUNT(*) FILTER (WHERE dangling) AS dangling FROM vt"""),
-        "out_degree": trade("SELECT src AS id, deg AS out_degree FROM deg"),
+        "out_degree": ORDER_DEGREES,
         "in_degree": trade("SELECT dst AS id, CAST(SUM(cnt) AS BIGINT) AS in_degree FROM e GROUP BY dst"),
-        "avg_out_degree": trade(f"""
-SELECT COUNT(*) AS records, CAST(SUM(deg) AS BIGINT) AS links, {_r('AVG(deg)', 'avg_out_degree')} FROM deg"""),
+        "avg_out_degree": f"""
+SELECT COUNT(*) AS records, CAST(SUM(out_degree) AS BIGINT) AS links, {_r('AVG(out_degree)', 'avg_out_degree')} FROM ({ORDER_DEGREES}) d""",
         "transition_weights": trade("SELECT src, dst, w FROM w"),
         "dangling_mass": f"SELECT step, {_r('dangling_mass', 'dangling_mass')} FROM ({metrics_sql('trade', iterations, alpha)}) x",
         "total_mass": f"SELECT step, {_r('total_mass', 'total_mass')} FROM ({metrics_sql('trade', iterations, alpha)}) x",

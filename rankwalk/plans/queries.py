@@ -104,7 +104,7 @@ def q_adjacency_list(spark, sf):
 # ---------------------------------------------------------------- EDA
 
 def q_record_count(spark, sf):
-    return eda.record_count(graphs.trade_graph(spark, sf))
+    return eda.count_records(graphs.order_records(spark, sf))
 
 
 def q_count_nodes(spark, sf):
@@ -116,11 +116,11 @@ def q_dangling_count(spark, sf):
 
 
 def q_out_degree(spark, sf):
-    return eda.source_degrees(graphs.trade_graph(spark, sf))
+    return eda.record_degrees(graphs.order_records(spark, sf))
 
 
 def q_avg_out_degree(spark, sf):
-    avg = eda.average_degree(eda.source_degrees(graphs.trade_graph(spark, sf)))
+    avg = eda.average_degree(eda.record_degrees(graphs.order_records(spark, sf)))
     return avg.select("records", "links", _round("avg_out_degree"))
 
 

@@ -23,9 +23,8 @@ def rank_adjacency_text(spark: SparkSession, adjacency_path: str | list[str],
     top = report.topk(ranks, k)
     if index_path is None:
         names = spark.createDataFrame([], "id string, title string")
-    else:
-        names = titles(read_index(spark, index_path, mode=mode))
-    return report.with_titles(top, names)
+        return report.with_titles(top, names, how="left")
+    return report.with_titles(top, titles(read_index(spark, index_path, mode=mode)))
 
 
 def ranked_report_lines(titled: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-LINKS_TYPE = "map<string,int>"
+LINKS_TYPE = "map<string,bigint>"
 
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -20,7 +20,7 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def parse_adjacency(lines: DataFrame, column: str = "value", mode: str = "FAILFAST") -> DataFrame:
-    """Lines -> (node STRING, links MAP<STRING,INT>).
+    """Lines -> (node STRING, links MAP<STRING,BIGINT>).
 
     A line must split on tab into exactly two fields and the second must be
     a dict literal of int counts.  ``FAILFAST`` stops the job on the first

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-INDEX_SCHEMA = "title STRING, id STRING, in_degree INT, out_degree INT"
+INDEX_SCHEMA = "title STRING, id STRING, in_degree BIGINT, out_degree BIGINT"
 
 
 def read_index(spark: SparkSession, path: str | list[str], mode: str = "FAILFAST") -> DataFrame:
@@ -38,6 +38,7 @@ def render_index(names: DataFrame, in_deg: DataFrame | None = None,
         df = df.join(out_deg.select(F.col("src").alias("id"), "out_degree"), "id", "left")
     else:
         df = df.withColumn("out_degree", F.lit(0))
-    return df.select(F.concat_ws("\t", "title", "id",
+    # concat_ws skips NULLs: an empty field instead keeps the others in place.
+    return df.select(F.concat_ws("\t", F.coalesce("title", F.lit("")), F.coalesce("id", F.lit("")),
                                  F.coalesce(F.col("in_degree"), F.lit(0)).cast("string"),
                                  F.coalesce(F.col("out_degree"), F.lit(0)).cast("string")).alias("value"))

@@ -26,7 +26,7 @@ def test_histogram_bins_cover_all_values(spark):
     assert h[0]["lo"] == 1.0 and h[-1]["hi"] == 10.0
     flat = spark.createDataFrame([("a", 4), ("b", 4)], "id string, out_degree long")
     h = eda.histogram(flat, "out_degree", 5).collect()
-    assert sorted((r["bin"], r["count"]) for r in h) == [(0, 2), (1, 0), (2, 0), (3, 0), (4, 0)]
+    assert sorted((r["bin"], r["count"]) for r in h) == [(0, 0), (1, 0), (2, 2), (3, 0), (4, 0)]
 
 
 def test_fixed_size_sample_is_exact_and_repeatable(spark):
@@ -48,8 +48,9 @@ def test_web_graph_keeps_pages_without_links(spark):
 def test_titles_join_keeps_untitled_ranked_nodes(spark):
     top = spark.createDataFrame([("a", 0.5), ("zz", 0.3)], "id string, rank double")
     titles = spark.createDataFrame([("a", "Alpha"), ("b", "Beta")], "id string, title string")
-    out = [tuple(r) for r in report.with_titles(top, titles).collect()]
+    out = [tuple(r) for r in report.with_titles(top, titles, how="left").collect()]
     assert out == [("a", "Alpha", 0.5), ("zz", None, 0.3)]
+    assert [tuple(r) for r in report.with_titles(top, titles).collect()] == [("a", "Alpha", 0.5)]
     lines = [r["line"] for r in report.ranked_lines(report.with_titles(top, titles)).collect()]
     assert lines[0] == "0.500000\t|          a\t| Alpha"
 
@@ -68,3 +69,26 @@ def test_report_text_has_header_rule_and_lines(spark):
     assert text[0] == "PageRank  \t| Page id   \t| Title"
     assert text[1] == "=" * 100
     assert text[2:] == ["0.500000\t|          a\t| Alpha", "0.250000\t|          b\t| Beta"]
+
+
+def test_report_sink_has_every_line_and_join_is_inner(spark, tmp_dir):
+    ranks = spark.range(1500).select(F.col("id").cast("string").alias("id"), (1.0 / (1 + F.col("id"))).alias("rank"))
+    titles = ranks.where("id <> '3'").select("id", F.concat(F.lit("t"), "id").alias("title"))
+    titled = report.with_titles(ranks, titles)
+    assert titled.count() == 1499 and report.with_titles(ranks, titles, how="left").count() == 1500
+    report.write_report(titled, tmp_dir + "/report")
+    lines = [r["value"] for r in spark.read.text(tmp_dir + "/report").collect()]
+    assert len(lines) == 1501 and len(report.report_text(titled).splitlines()) == 1501
+
+
+def test_empty_graph_and_null_title(spark):
+    from rankwalk.operators import markov, pagerank
+    from rankwalk.operators.graph import Graph
+    from rankwalk.sources import index
+    empty = Graph(spark.createDataFrame([], "src string, dst string, cnt bigint"))
+    assert pagerank.pagerank_metrics(empty, 0.15, 1).count() == 2
+    assert markov.mass_trace(empty, 1).count() == 2
+    assert markov.power_iteration(empty, 1, start="uniform").count() == 0
+    assert markov.power_iteration_squaring(empty, 1, start="uniform").count() == 0
+    line = index.render_index(spark.createDataFrame([("1", None)], "id string, title string")).collect()[0]["value"]
+    assert line == "\t1\t0\t0"

@@ -10,8 +10,10 @@ import pytest
 import __spark_entry__ as entry
 from conftest import SF_SMALL
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+from rankwalk.plans.queries import QUERIES as OWN
+
+QUERIES = {name: f for name, f in entry.queries().items() if name in OWN}
+ORACLES = {name: sql for name, sql in entry.oracle_sql().items() if name in OWN}
 TABLES = ["customer", "supplier", "part", "orders", "lineitem", "events", "pages"]
 
 

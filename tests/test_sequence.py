@@ -39,3 +39,18 @@ def test_single_group_spread_over_all_partitions(spark):
            for r in consecutive_pairs(df, "g", ["o1", "o2"], "v", partitions=8).collect()}
     assert sum(got.values()) == 499
     assert got == dict(brute_force(rows))
+
+
+def test_null_values_keep_their_place_and_exchange_reuse_does_not_matter(spark):
+    rows = [(1, 1, 0, "a"), (1, 2, 0, None), (1, 3, 0, "b"), (1, 4, 0, "c"), (None, 1, 0, "x"), (None, 2, 0, "y")]
+    df = spark.createDataFrame(rows, "g long, o1 int, o2 int, v string")
+    many = spark.createDataFrame([(i // 500, i, 0, f"x{i % 3}") for i in range(4000)], "g long, o1 int, o2 int, v string")
+    for reuse in ("true", "false"):
+        spark.conf.set("spark.sql.exchange.reuse", reuse)
+        try:
+            for parts in (1, 3, 7):
+                got = consecutive_pairs(df, "g", ["o1", "o2"], "v", partitions=parts).collect()
+                assert [tuple(r) for r in got] == [("b", "c", 1)]
+                assert sum(r["cnt"] for r in consecutive_pairs(many, "g", ["o1", "o2"], "v", partitions=parts).collect()) == 4000 - 8
+        finally:
+            spark.conf.unset("spark.sql.exchange.reuse")

@@ -17,7 +17,7 @@ def edges_of(spark, path):
 def test_parse_roundtrip_and_types(spark, tmp_dir):
     path = write_lines(tmp_dir, ["5\t{'4': 3, '2': 1, '6': 1}"])
     rec = adjacency.read_adjacency(spark, path)
-    assert rec.schema.simpleString() == "struct<node:string,links:map<string,int>>"
+    assert rec.schema.simpleString() == "struct<node:string,links:map<string,bigint>>"
     assert rec.first()["links"] == {"4": 3, "2": 1, "6": 1}
 
 
