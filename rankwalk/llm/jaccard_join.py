@@ -59,7 +59,7 @@ MOST = 8
 VERIFY_COST, POSTING_COST = 20.0, 1.0
 ROUNDS = 2
 PAIRS_BROADCAST = 500_000
-BEFORE = 32
+BEFORE = 8
 
 
 def needed(n: int) -> int:
@@ -119,10 +119,9 @@ def prefixes(docs: DataFrame, most: int = MOST, frequency: Shape = FREQUENCY) ->
 
 
 def _postings(found: DataFrame, prefix: Shape) -> DataFrame:
-    """(token, node, n, k, rest, upto, before) of prefix shingles that stand in two nodes'
+    """(token, node, n, k, rest, upto) of prefix shingles that stand in two nodes'
     prefixes; rest: the node's shingles behind this one in the global order,
-    upto: its shared prefix shingles up to this one; before: the last BEFORE of
-    those."""
+    upto: its shared prefix shingles up to this one."""
     lists = lambda b: [b.column(0).flatten().to_numpy().view(np.uint64)]
     likely = Filter(found.sparkSession, prefix, sketch(found.where("node is not null").select("prefix"), lists, prefix, repeated_bits))
 
@@ -141,9 +140,8 @@ def _postings(found: DataFrame, prefix: Shape) -> DataFrame:
     rows = materialise(rows.distinct(), "postings")
     shared = materialise(rows.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token"), "shared-tokens")
     order = Window.partitionBy("node").orderBy("pos")
-    rows = (rows.join(shared, "token", "left_semi").withColumn("upto", F.row_number().over(order))
-            .withColumn("before", F.collect_list("token").over(order.rowsBetween(-BEFORE, -1))))
-    return materialise(rows.select("token", "node", "n", "k", (F.col("n") - F.col("pos") - 1).alias("rest"), "upto", "before"), "shared-postings")
+    rows = rows.join(shared, "token", "left_semi").withColumn("upto", F.row_number().over(order))
+    return materialise(rows.select("token", "node", "n", "k", (F.col("n") - F.col("pos") - 1).alias("rest"), "upto"), "shared-postings")
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, postings: DataFrame, involved: Shape) -> DataFrame:
@@ -228,17 +226,24 @@ def _open_pairs(postings: DataFrame) -> DataFrame:
     rows = postings.join(split, "token").where(largest >= F.col("least_n")).drop("least_n")
     rows = materialise(rows, "open-postings")
     held = materialise(rows.groupBy("token", "root").agg(
-        F.min("n").alias("n0"), F.max("n").alias("n1"), F.max("upto").alias("upto"), F.max("rest").alias("rest")), "token-roots")
+        F.count(F.lit(1)).alias("c"), F.min("n").alias("n0"), F.max("n").alias("n1"), F.max("upto").alias("upto"), F.max("rest").alias("rest")), "token-roots")
     other = held.select("token", *[F.col(c).alias(f"{c}_b") for c in held.columns if c != "token"])
+    # Each pair of components once, the one with fewer members at the shingle
+    # first: its members are listed, the other's only met with them.
     two = held.join(other, "token").where(
-        (F.col("root") < F.col("root_b")) & (9 * (F.least("upto", "upto_b") + F.least("rest", "rest_b")) >= 4 * (F.col("n0") + F.col("n0_b")))
+        (F.struct("c", "root") < F.struct("c_b", "root_b")) & (9 * (F.least("upto", "upto_b") + F.least("rest", "rest_b")) >= 4 * (F.col("n0") + F.col("n0_b")))
         & (5 * F.col("n1") >= 4 * F.col("n0_b")) & (5 * F.col("n1_b") >= 4 * F.col("n0")))
     two = two.select("token", "root", "root_b", "n0_b", "n1_b", F.col("upto_b").alias("most_upto"), F.col("rest_b").alias("most_rest"))
-    side = lambda x, root: rows.select("token", F.col("root").alias(root), *[F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "rest", "upto", "before")])
+    # The open shingles of a node just before this one, as far back as BEFORE tells.
+    earlier = Window.partitionBy("node").orderBy("upto").rowsBetween(-BEFORE, -1)
+    told = materialise(rows.withColumn("before", F.collect_list("token").over(earlier)), "told-postings")
+    side = lambda x, root: told.select("token", F.col("root").alias(root), *[F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "rest", "upto", "before")])
     # A member of the first component that can meet some member of the second.
     some = ((9 * (F.least("upto_a", "most_upto") + F.least("rest_a", "most_rest")) >= 4 * (F.col("n_a") + F.col("n0_b")))
             & (5 * F.col("n_a") >= 4 * F.col("n0_b")) & (5 * F.col("n1_b") >= 4 * F.col("n_a")))
-    # A pair is taken at the first shingle its nodes share (as far back as BEFORE tells).
+    # A pair is taken at the first open shingle its nodes share; one that lies
+    # further back than BEFORE only repeats the pair.  Linked nodes pass the
+    # bounds at each shingle they share, so at the first one too.
     first = ~F.arrays_overlap("before_a", "before_b")
     met = two.join(side("a", "root"), ["token", "root"]).where(some).join(side("b", "root_b"), ["token", "root_b"])
     met = met.where(_possible(F.least("upto_a", "upto_b"), "n_a", "n_b", "rest_a", "rest_b") & first)
