@@ -108,8 +108,9 @@ def transition_weights(edges: DataFrame) -> DataFrame:
     """(src, dst, w) with ``w = cnt / sum(cnt) over src``.
 
     Written as aggregate + equi-join rather than a window: the per-source
-    sum is combined map-side, and a hot source on the join is split by AQE's
-    skew-join handling instead of landing whole in one window task.
+    sum is combined map-side.  AQE does not split a hot source in this join
+    (an aggregate stands between the degree side's exchange and the join), so
+    above the broadcast threshold its edges meet in one task.
     """
     deg = edges.groupBy("src").agg(F.sum("cnt").alias("_deg"))
     return (edges.join(deg, "src")

@@ -167,11 +167,12 @@ def vector_sql(graph: str, steps: int, start: str, binary: bool = True) -> str:
 SELECT id, {_r("rank", "mass")} FROM r{steps}"""
 
 
-def graphx_sql(graph: str, steps: int, reset: float = 0.15) -> str:
+def graphx_sql(graph: str, steps: int, reset: float = 0.15, scale: str = "1.0") -> str:
+    """Ranks that sum to ``scale``."""
     return f"""WITH {graph_ctes(graph)},
 {rank_steps(steps, reset, False, "one", graphx=True)},
 tot AS (SELECT SUM(rank) AS s FROM r{steps})
-SELECT id, {_r("rank * (n.n / tot.s) / n.n", "pagerank")} FROM r{steps}, n, tot"""
+SELECT id, {_r(f"rank * ({scale} / tot.s)", "pagerank")} FROM r{steps}, n, tot"""
 
 
 def with_graph(graph: str, body: str, binary: bool = False) -> str:
@@ -261,11 +262,14 @@ ORDER BY md5(src || '{sample_seed}') LIMIT {sample_size}"""),
         "pagerank_topk": pagerank_topk_sql(top_k, iterations, alpha),
         "adjacency_matrix": with_graph("states", "SELECT DISTINCT src, dst, CAST(1 AS BIGINT) AS value FROM e"),
         "transition_matrix": with_graph("states", "SELECT src, dst, w AS prob FROM w", binary=True),
+        "adjacency_matrix_web": with_graph("web", "SELECT DISTINCT src, dst, CAST(1 AS BIGINT) AS value FROM e"),
+        "transition_matrix_web": with_graph("web", "SELECT src, dst, w AS prob FROM w", binary=True),
         "power_iteration": vector_sql("seq", iterations, "first"),
         "power_iteration_squaring": vector_sql("states", 2 ** 3, "first"),
         "mass_trace": f"""SELECT step, {_r('total_mass', 'total_mass')}
 FROM ({metrics_sql('web', iterations, None, False, 'uniform', binary=True)}) x""",
         "pagerank": pagerank_sql("trade", iterations, alpha),
         "pagerank_web": pagerank_sql("web", iterations, alpha),
+        "pagerank_graphx": graphx_sql("trade", iterations, alpha, "n.n"),
         "pagerank_graphx_norm": graphx_sql("trade", iterations, alpha),
     }

@@ -155,6 +155,17 @@ def q_transition_matrix(spark, sf):
     return markov.transition_matrix(graphs.states_graph(spark, sf))
 
 
+def q_adjacency_matrix_web(spark, sf):
+    """The same on the page links: a state for every page and link target."""
+    return markov.adjacency_matrix(graphs.web_graph(spark, sf)).select(
+        "src", "dst", F.col("value").cast("bigint").alias("value"))
+
+
+def q_transition_matrix_web(spark, sf):
+    """Page links, most targets being sinks: these have no row."""
+    return markov.transition_matrix(graphs.web_graph(spark, sf))
+
+
 def q_power_iteration(spark, sf):
     x = markov.power_iteration(graphs.seq_graph(spark, sf), ITERATIONS, start="first")
     return x.select("id", _round("mass"))
@@ -204,6 +215,12 @@ def q_pagerank_topk(spark, sf):
     return report.topk(_trade_ranks(spark, sf), TOP_K)
 
 
+def q_pagerank_graphx(spark, sf):
+    """GraphX-convention ranks on their own scale (sum N)."""
+    ranks = pr.pagerank_graphx(graphs.trade_graph(spark, sf), ALPHA, ITERATIONS)
+    return ranks.select("id", _round("pagerank"))
+
+
 def q_pagerank_graphx_norm(spark, sf):
     """GraphX-convention ranks (sum N) reported on the probability scale
     (divided by N), the scale every other rank query uses."""
@@ -262,11 +279,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pagerank_topk": q_pagerank_topk,
     "adjacency_matrix": q_adjacency_matrix,
     "transition_matrix": q_transition_matrix,
+    "adjacency_matrix_web": q_adjacency_matrix_web,
+    "transition_matrix_web": q_transition_matrix_web,
     "power_iteration": q_power_iteration,
     "power_iteration_squaring": q_power_iteration_squaring,
     "mass_trace": q_mass_trace,
     "pagerank": q_pagerank,
     "pagerank_web": q_pagerank_web,
+    "pagerank_graphx": q_pagerank_graphx,
     "pagerank_graphx_norm": q_pagerank_graphx_norm,
 }
 
