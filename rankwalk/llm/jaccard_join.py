@@ -58,7 +58,7 @@ INVOLVED = Shape(depth=2, log2=24)
 MOST = 8
 VERIFY_COST, POSTING_COST = 20.0, 1.0
 ROUNDS = 2
-PAIRS_BROADCAST = 500_000
+PAIRS_BROADCAST = 250_000
 BEFORE = 8
 
 
@@ -144,49 +144,46 @@ def _postings(found: DataFrame, prefix: Shape) -> DataFrame:
     return materialise(rows.select("token", "node", "n", "k", (F.col("n") - F.col("pos") - 1).alias("rest"), "upto"), "shared-postings")
 
 
-def _sets(docs: DataFrame, nodes: DataFrame, postings: DataFrame, involved: Shape) -> DataFrame:
-    """(node, shingles) of every node with postings, from one document each:
-    the texts are read again, and a membership filter of (node, doc_id) keeps
-    other documents' sets from being sent."""
-    wanted = materialise(nodes.join(postings.select("node").distinct(), "node", "left_semi"), "involved")
-    key = lambda node, ids: node ^ mix(ids.fill_null(0).to_numpy(zero_copy_only=False).view(np.uint64))
-    blobs = sketch(wanted.select("node", "doc_id"), lambda b: [key(b.column(0).to_numpy().view(np.uint64), b.column(1))], involved, seen_bits)
-    held = Filter(docs.sparkSession, involved, blobs)
+def _doc_ids(ids: pa.Array) -> np.ndarray:
+    return ids.fill_null(0).to_numpy(zero_copy_only=False).view(np.uint64)
+
+
+def _sets(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, involved: Shape) -> DataFrame:
+    """(node, shingles) of the pairs' nodes and a few others: the texts are read
+    again, those with the doc_id of such a node.  Nothing is kept or shuffled;
+    rows that share doc_id and text give equal rows."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = materialise(nodes.join(ends, "node", "left_semi").select("doc_id"), "involved")
+    held = Filter(docs.sparkSession, involved, sketch(wanted, lambda b: [mix(_doc_ids(b.column(0)))], involved, seen_bits))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         passes = held.open()
         for batch in batches:
-            for piece in pieces(batch.column("text")):
-                every = list(shingle_sets(piece, SHINGLE))
-                node = np.array([set_digest(s) for s in every], dtype=np.int64)
-                hit = passes(key(node.view(np.uint64), batch.column("doc_id").slice(piece.first, piece.n)))
-                hit &= np.array([len(s) > 0 for s in every])
-                kept = [every[i].view(np.int64) for i in np.flatnonzero(hit)]
+            hit = passes(mix(_doc_ids(batch.column("doc_id"))))
+            for piece in pieces(batch.column("text").filter(pa.array(hit))):
+                kept = [s for s in shingle_sets(piece, SHINGLE) if len(s)]
                 if kept:
-                    lists = pa.ListArray.from_arrays(np.cumsum([0, *map(len, kept)]).astype(np.int32), np.concatenate(kept))
-                    yield pa.RecordBatch.from_arrays([pa.array(node[hit]), lists], ["node", "shingles"])
-
-    found = _texts(docs).mapInArrow(sets, "node long, shingles array<long>")
-    return materialise(found.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"]), "sets")
-
+                    lists = pa.ListArray.from_arrays(np.cumsum([0, *map(len, kept)]).astype(np.int32), np.concatenate(kept).view(np.int64))
+                    yield pa.RecordBatch.from_arrays([pa.array([set_digest(s) for s in kept], pa.int64()), lists], ["node", "shingles"])
 
-def _bounded(pairs: DataFrame) -> DataFrame:
-    """Pairs marked for broadcast while a count shows them few (16 bytes each)."""
-    return F.broadcast(pairs) if pairs.limit(PAIRS_BROADCAST + 1).count() <= PAIRS_BROADCAST else pairs
+    return _texts(docs).mapInArrow(sets, "node long, shingles array<long>")
 
 
 def _together(pairs: DataFrame, nodes: DataFrame, column: str) -> DataFrame:
     """(a, b, x, y): for each pair the array ``column`` of both its nodes.  Only
-    the arrays of the pairs' own nodes are moved, once a pair."""
-    few = _bounded(pairs)
-    side = lambda key, first: (nodes.join(few, nodes["node"] == few[key]).select(
-        "a", "b", F.when(F.lit(first), F.col(column)).alias("x"), F.when(F.lit(not first), F.col(column)).alias("y")))
-    return (side("a", True).unionByName(side("b", False)).groupBy("a", "b")
-            .agg(F.first("x", ignorenulls=True).alias("x"), F.first("y", ignorenulls=True).alias("y")))
+    the arrays of the pairs' own nodes are moved, once a pair; ``nodes`` is read
+    once.  The pairs are broadcast while a count shows them few (50 bytes each)."""
+    end = lambda key, first: F.struct(F.col(key).alias("node"), "a", "b", F.lit(first).alias("is_a"))
+    ends = pairs.select(F.inline(F.array(end("a", True), end("b", False))))
+    if pairs.limit(PAIRS_BROADCAST + 1).count() <= PAIRS_BROADCAST:
+        ends = F.broadcast(ends)
+    side = nodes.join(ends, "node").select("a", "b", F.when(F.col("is_a"), F.col(column)).alias("x"), F.when(~F.col("is_a"), F.col(column)).alias("y"))
+    return side.groupBy("a", "b").agg(F.first("x", ignorenulls=True).alias("x"), F.first("y", ignorenulls=True).alias("y"))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _verified(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, involved: Shape) -> DataFrame:
     """The pairs (a, b) that link."""
+    sets = _sets(docs, pairs, nodes, involved)
     both = F.size(F.array_intersect("x", "y"))
     rows = _together(pairs, sets, "shingles").select("a", "b", both.alias("both"), (F.size("x") + F.size("y")).alias("sizes"))
     return rows.where(100 * F.col("both") >= 80 * (F.col("sizes") - F.col("both"))).select("a", "b")
@@ -267,14 +264,13 @@ def linked_components(docs: DataFrame, most: int = MOST, frequency: Shape = FREQ
     rows = found.select("row_key", "doc_id", "n", "node")
     nodes = materialise(rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "nodes")
     postings = _postings(found, prefix)
-    sets = _sets(docs, nodes, postings, involved)
     links, labels = None, None
     for turn in range(ROUNDS + 1):
         at = postings.withColumn("root", F.col("node")) if labels is None else (
             postings.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node")))
         at = materialise(at, "labelled-postings") if labels is not None else at
         pairs = _star_pairs(at, turn) if turn < ROUNDS else _open_pairs(at)
-        more = materialise(_verified(materialise(pairs, "pairs"), sets), "verified")
+        more = materialise(_verified(docs, materialise(pairs, "pairs"), nodes, involved), "verified")
         links = more if links is None else links.union(more)
         labels = components(links)
     ids = labels.join(nodes, "node").groupBy("root").agg(F.min("doc_id").alias("component_id"))
