@@ -35,6 +35,16 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of tables that ``materialise`` wrote and that nothing
+    reads any more: all that depends on them must be written itself."""
+    for table in tables:
+        context = table.sparkSession.sparkContext
+        for file in table.inputFiles()[:1]:
+            path = context._jvm.org.apache.hadoop.fs.Path(file).getParent()
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def text_tag() -> Column:
     """32 bits of the text: with doc_id it tells rows apart that share an id."""
     return F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")

@@ -43,10 +43,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import fresh, materialise, row_key
+from .common import discard, fresh, materialise, row_key
 from .components import components
 from .countmin import Filter, Shape, loaded, magnitude, repeated_bits, seen_bits, sketch
 from .textkernel import mix, pieces, shingle_sets
@@ -118,12 +118,35 @@ def prefixes(docs: DataFrame, most: int = MOST, frequency: Shape = FREQUENCY) ->
         choose, "row_key string, doc_id long, n long, node long, k int, prefix array<long>"), "prefixes")
 
 
-def _postings(found: DataFrame, prefix: Shape) -> DataFrame:
-    """(token, node, n, k, rest, upto) of prefix shingles that stand in two nodes'
+def _doc_ids(ids: pa.Array) -> np.ndarray:
+    return ids.fill_null(0).to_numpy(zero_copy_only=False).view(np.uint64)
+
+
+def _one_of_node(spark: SparkSession, nodes: DataFrame, involved: Shape):
+    """For mapInArrow: the rows whose (node, doc_id) is likely in ``nodes``, so
+    of documents with equal sets mostly one."""
+    key = lambda node, ids: node.to_numpy().view(np.uint64) ^ mix(_doc_ids(ids))
+    held = Filter(spark, involved, sketch(nodes.select("node", "doc_id"), lambda b: [key(b.column(0), b.column(1))], involved, seen_bits))
+
+    def only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        passes = held.open()
+        for batch in batches:
+            hit = passes(key(batch.column("node"), batch.column("doc_id")))
+            yield batch.select(["node", "n", "k", "prefix"]).filter(pa.array(hit))
+
+    return only
+
+
+def _postings(found: DataFrame, nodes: DataFrame, prefix: Shape, involved: Shape) -> DataFrame:
+    """(token, node, n, k, rest, upto, weight) of prefix shingles that stand in two nodes'
     prefixes; rest: the node's shingles behind this one in the global order,
-    upto: its shared prefix shingles up to this one."""
+    upto: its shared prefix shingles up to this one; weight: all of them.  The
+    filters only thin out: a document passes for its node and a shingle for
+    repeated too often at most, and both are settled exactly behind them."""
+    originals = found.where("node is not null").select("node", "doc_id", "n", "k", "prefix").mapInArrow(
+        _one_of_node(found.sparkSession, nodes, involved), "node long, n long, k int, prefix array<long>")
     lists = lambda b: [b.column(0).flatten().to_numpy().view(np.uint64)]
-    likely = Filter(found.sparkSession, prefix, sketch(found.where("node is not null").select("prefix"), lists, prefix, repeated_bits))
+    likely = Filter(found.sparkSession, prefix, sketch(originals.select("prefix"), lists, prefix, repeated_bits))
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         passes = likely.open()
@@ -136,16 +159,15 @@ def _postings(found: DataFrame, prefix: Shape) -> DataFrame:
             rest = batch.select(["node", "n", "k"]).take(pa.array(row[hit]))
             yield pa.RecordBatch.from_arrays([pa.array(tokens[hit]), *rest.columns, pa.array(pos[hit])], ["token", "node", "n", "k", "pos"])
 
-    rows = found.where("node is not null").select("prefix", "node", "n", "k").mapInArrow(explode, "token long, node long, n long, k int, pos int")
-    rows = materialise(rows.distinct(), "postings")
+    rows = originals.mapInArrow(explode, "token long, node long, n long, k int, pos int")
+    every = rows = materialise(rows.distinct(), "postings")
     shared = materialise(rows.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token"), "shared-tokens")
     order = Window.partitionBy("node").orderBy("pos")
     rows = rows.join(shared, "token", "left_semi").withColumn("upto", F.row_number().over(order))
-    return materialise(rows.select("token", "node", "n", "k", (F.col("n") - F.col("pos") - 1).alias("rest"), "upto"), "shared-postings")
-
-
-def _doc_ids(ids: pa.Array) -> np.ndarray:
-    return ids.fill_null(0).to_numpy(zero_copy_only=False).view(np.uint64)
+    rows = rows.withColumn("weight", F.count(F.lit(1)).over(Window.partitionBy("node")))
+    rows = materialise(rows.select("token", "node", "n", "k", (F.col("n") - F.col("pos") - 1).alias("rest"), "upto", "weight"), "shared-postings")
+    discard(every, shared)
+    return rows
 
 
 def _sets(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, involved: Shape) -> DataFrame:
@@ -200,10 +222,7 @@ def _possible(upto: Column, n: str, m: str, rest_n: str, rest_m: str) -> Column:
 def _star_pairs(postings: DataFrame, turn: int) -> DataFrame:
     """One partner (a, b) at most for each node: of the nodes chosen by its
     shingles (one each), the one that most of them chose."""
-    if turn == 0:
-        weight = materialise(postings.groupBy("node").agg(F.count(F.lit(1)).alias("weight")), "weights")
-        postings = postings.join(weight, "node")
-    else:
+    if turn:
         postings = postings.withColumn("weight", F.xxhash64("node", F.lit(turn)))
     chosen = materialise(postings.groupBy("token").agg(
         F.max_by("node", "weight").alias("b"), F.max_by("n", "weight").alias("m"), F.max_by("rest", "weight").alias("b_rest"), F.max_by("upto", "weight").alias("b_upto"),
@@ -220,7 +239,7 @@ def _open_pairs(postings: DataFrame) -> DataFrame:
     largest = F.floor((9 * (F.col("upto") + F.col("rest")) - 4 * F.col("n")) / 4)
     split = postings.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("n").alias("least_n"))
     split = materialise(split.where("lo <> hi").select("token", "least_n"), "split-tokens")
-    rows = postings.join(split, "token").where(largest >= F.col("least_n")).drop("least_n")
+    rows = postings.join(split, "token").where(largest >= F.col("least_n")).drop("least_n", "weight")
     rows = materialise(rows, "open-postings")
     held = materialise(rows.groupBy("token", "root").agg(
         F.count(F.lit(1)).alias("c"), F.min("n").alias("n0"), F.max("n").alias("n1"), F.max("upto").alias("upto"), F.max("rest").alias("rest")), "token-roots")
@@ -261,16 +280,19 @@ def linked_components(docs: DataFrame, most: int = MOST, frequency: Shape = FREQ
     """(row_key, doc_id, n, root, component_id) of every row; root: the
     component's node, null for an empty set."""
     found = prefixes(docs, most, frequency)
-    rows = found.select("row_key", "doc_id", "n", "node")
+    rows = materialise(found.select("row_key", "doc_id", "n", "node"), "rows")
     nodes = materialise(rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "nodes")
-    postings = _postings(found, prefix)
+    postings = _postings(found, nodes, prefix, involved)
+    discard(found)
     links, labels = None, None
     for turn in range(ROUNDS + 1):
         at = postings.withColumn("root", F.col("node")) if labels is None else (
             postings.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node")))
         at = materialise(at, "labelled-postings") if labels is not None else at
-        pairs = _star_pairs(at, turn) if turn < ROUNDS else _open_pairs(at)
-        more = materialise(_verified(docs, materialise(pairs, "pairs"), nodes, involved), "verified")
+        pairs = materialise(_star_pairs(at, turn) if turn < ROUNDS else _open_pairs(at), "pairs")
+        if labels is not None:
+            discard(at)
+        more = materialise(_verified(docs, pairs, nodes, involved), "verified")
         links = more if links is None else links.union(more)
         labels = components(links)
     ids = labels.join(nodes, "node").groupBy("root").agg(F.min("doc_id").alias("component_id"))
