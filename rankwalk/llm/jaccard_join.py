@@ -221,14 +221,15 @@ def _possible(upto: Column, n: str, m: str, rest_n: str, rest_m: str) -> Column:
 
 def _star_pairs(postings: DataFrame, turn: int) -> DataFrame:
     """One partner (a, b) at most for each node: of the nodes chosen by its
-    shingles (one each), the one that most of them chose."""
+    shingles (one each), the one that most of them chose, if at least k did:
+    fewer seldom make a link, and what is left out here is met later."""
     if turn:
         postings = postings.withColumn("weight", F.xxhash64("node", F.lit(turn)))
     chosen = materialise(postings.groupBy("token").agg(
         F.max_by("node", "weight").alias("b"), F.max_by("n", "weight").alias("m"), F.max_by("rest", "weight").alias("b_rest"), F.max_by("upto", "weight").alias("b_upto"),
         F.max_by("root", "weight").alias("b_root")), "chosen")
     met = (postings.join(chosen, "token").where((F.col("root") != F.col("b_root")) & _possible(F.least("upto", "b_upto"), "n", "m", "rest", "b_rest"))
-           .groupBy(F.col("node").alias("a"), "b").agg(F.count(F.lit(1)).alias("c")))
+           .groupBy(F.col("node").alias("a"), "b", "k").agg(F.count(F.lit(1)).alias("c")).where("c >= k"))
     return met.groupBy("a").agg(F.max_by("b", "c").alias("b"))
 
 
