@@ -10,18 +10,23 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
-CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# Shuffle files go as each query ends; Arrow batches stay small, since a task
+# holds a batch several times over (its texts are cut into pieces anyway).
+RUN_CONF = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+            "spark.sql.execution.arrow.maxRecordsPerBatch": "2000"}
 
 
 @contextmanager
-def shuffle_files_dropped(spark: SparkSession):
-    """Spark deletes the shuffle files of the queries run inside as each ends."""
-    before = spark.conf.get(CLEANUP_CONF, "false")
-    spark.conf.set(CLEANUP_CONF, "true")
+def lean_run(spark: SparkSession):
+    """The queries run inside have ``RUN_CONF``."""
+    before = {k: spark.conf.get(k, None) for k in RUN_CONF}
+    for k, v in RUN_CONF.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(CLEANUP_CONF, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
@@ -30,7 +35,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     the shuffle files behind it, and gives later joins the true size."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    with shuffle_files_dropped(spark):
+    with lean_run(spark):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

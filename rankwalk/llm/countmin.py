@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import shuffle_files_dropped
+from .common import lean_run
 from .textkernel import mix
 
 FLUSH = 2 << 20
@@ -121,12 +121,12 @@ def sketch(source: DataFrame, hashes: Callable[[pa.RecordBatch], Iterable[np.nda
               .repartition(max(1, min(2 * shape.parts, int(source.sparkSession.conf.get("spark.sql.shuffle.partitions")))),
                            "row", "part")
               .sortWithinPartitions("row", "part").mapInArrow(merge, SCHEMA))
-    with shuffle_files_dropped(source.sparkSession):
+    with lean_run(source.sparkSession):
         return [(r["row"], r["part"], bytes(r["blob"])) for r in merged.collect()]
 
 
 def loaded(shape: Shape, blobs: list[tuple[int, int, bytes]], bits: int) -> list[np.ndarray]:
-    """The rows of a merged sketch as uint8 arrays; bits: 1 or 8 a cell."""
+    """The rows of a merged sketch as uint8 arrays; bits: 1 or 4 a cell."""
     size = shape.part_cells * bits // 8
     rows = [np.zeros(max(1, (1 << shape.log2) * bits // 8), dtype=np.uint8) for _ in range(shape.depth)]
     for row, part, blob in blobs:
@@ -146,8 +146,15 @@ def seen_bits(counts: np.ndarray) -> np.ndarray:
 
 
 def magnitude(counts: np.ndarray) -> np.ndarray:
-    """One byte a cell: the number of binary digits of the count."""
-    return np.ceil(np.log2(counts.astype(np.float64) + 1)).astype(np.uint8)
+    """Four bits a cell: the number of binary digits of the count; 15 stands
+    for all longer ones too."""
+    digits = np.minimum(np.ceil(np.log2(counts.astype(np.float64) + 1)), 15).astype(np.uint8)
+    return digits[0::2] | digits[1::2] << 4
+
+
+def magnitudes_at(table: np.ndarray, cells: np.ndarray) -> np.ndarray:
+    """The digits that ``magnitude`` kept of these cells."""
+    return table[cells >> np.uint32(1)] >> (cells & np.uint32(1)).astype(np.uint8) * np.uint8(4) & np.uint8(15)
 
 
 class Filter:

@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 
 from .common import discard, fresh, materialise, row_key
 from .components import components
-from .countmin import Filter, Shape, loaded, magnitude, repeated_bits, seen_bits, sketch
+from .countmin import Filter, Shape, loaded, magnitude, magnitudes_at, repeated_bits, seen_bits, sketch
 from .textkernel import mix, pieces, shingle_sets
 
 SHINGLE = 5
@@ -98,14 +98,14 @@ def prefixes(docs: DataFrame, most: int = MOST, frequency: Shape = FREQUENCY) ->
     counts = docs.sparkSession.sparkContext.broadcast(sketch(docs.select("text"), hashes, frequency, magnitude))
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = loaded(frequency, counts.value, 8)[0]
+        table = loaded(frequency, counts.value, 4)[0]
         for batch in batches:
             for piece in pieces(batch.column("text")):
                 n, node, level, kept = [], [], [], []
                 for s in shingle_sets(piece, SHINGLE):
                     n.append(len(s))
                     node.append(set_digest(s) if len(s) else None)
-                    k, prefix = prefix_of(s, table[frequency.cells(s, 0)], most) if len(s) else (0, s)
+                    k, prefix = prefix_of(s, magnitudes_at(table, frequency.cells(s, 0)), most) if len(s) else (0, s)
                     level.append(k)
                     kept.append(prefix.view(np.int64))
                 rows = batch.slice(piece.first, piece.n)
