@@ -18,10 +18,15 @@ and sketches are written tables: a hash that a third of the documents share
 meets a small item table that Spark broadcasts, or is split in a join of plain
 shuffles.
 
+An item is known by a digest of its text until its item_ids are joined at the
+end, so ids need not be unique: shingles are counted once for each text.
+
 Cases: null and empty texts of documents or items have no shingles and never
-match; items with equal texts match alike; rows with equal doc_id and text are
-one document; a null item_id or doc_id is carried as null; empty tables give
-an empty result; other columns are not looked at.
+match; items with equal texts match alike, and each of their rows gives a
+result; items with equal or null ids but other texts are counted apart; rows
+with equal doc_id and text are one document; a null item_id or doc_id is
+carried as null; empty tables give an empty result; other columns are not
+looked at.
 """
 
 from __future__ import annotations
@@ -30,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import fresh, materialise, row_key
@@ -42,27 +47,31 @@ FILTER = Shape(depth=2, log2=24)
 NEEDED, OF = 4, 5      # containment of at least 4/5
 
 
+def item_key() -> Column:
+    """128-bit identity of an item's text."""
+    return F.md5(F.col("text").cast("binary"))
+
+
 def item_shingles(items: DataFrame) -> DataFrame:
-    """(item, item_id, hash, q, class, sketch): every shingle of every item;
-    sketch marks the item's smallest q - ceil(4q/5) + 1 hashes."""
+    """(item, hash, q, class, sketch): every shingle of every distinct item
+    text; sketch marks the item's smallest q - ceil(4q/5) + 1 hashes."""
 
     def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("item_id").to_pylist()
+            keys = batch.column("item").to_pylist()
             out: list[tuple] = []
             for piece in pieces(batch.column("text")):
                 for i, hashes in enumerate(shingle_sets(piece, SHINGLE), piece.first):
                     q = len(hashes)
                     small = q - -(-NEEDED * q // OF) + 1
                     ranked = hashes.view(np.int64)
-                    out += [(ids[i], h, q, q.bit_length(), k < small) for k, h in enumerate(ranked.tolist())]
+                    out += [(keys[i], h, q, q.bit_length(), k < small) for k, h in enumerate(ranked.tolist())]
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_()))],
-                                                 ["item_id", "hash", "q", "class", "sketch"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.bool_()))],
+                                                 ["item", "hash", "q", "class", "sketch"])
 
-    rows = items.select(F.col("item_id").cast("long").alias("item_id"), "text").mapInArrow(
-        shingles, "item_id long, hash long, q int, class int, sketch boolean")
-    return rows
+    return items.select("text").distinct().select(item_key().alias("item"), "text").mapInArrow(
+        shingles, "item string, hash long, q int, class int, sketch boolean")
 
 
 def _hits(docs: DataFrame, held: Filter) -> DataFrame:
@@ -84,9 +93,9 @@ def _hits(docs: DataFrame, held: Filter) -> DataFrame:
         hits, "row_key string, doc_id long, hash long")
 
 
-def contained_items(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """(row_key, doc_id, item_id, n_shared, n_item_shingles), one row per
-    document and item held; n_shared >= 4/5 n_item_shingles."""
+def _contained(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """(row_key, doc_id, item, n_shared, q), one row per document and item text
+    held; n_shared >= 4/5 q."""
     shingles = materialise(item_shingles(items), "item-shingles")
     blobs = sketch(shingles.select("hash"), lambda b: [b.column(0).to_numpy().view(np.uint64)], FILTER, seen_bits)
     hits = materialise(_hits(docs, Filter(docs.sparkSession, FILTER, blobs)).distinct(), "shingle-hits")
@@ -94,12 +103,18 @@ def contained_items(docs: DataFrame, items: DataFrame) -> DataFrame:
     unsigned = lambda c: F.col(c).bitwiseXOR(F.lit(-(2**63)))  # noqa: E731  unsigned order on signed longs
     cuts = shingles.where("sketch").groupBy("class").agg(F.max(unsigned("hash")).alias("cut"))
     sketches = shingles.where("sketch").join(F.broadcast(cuts), "class").where(unsigned("hash") <= F.col("cut"))
-    candidates = (hits.join(sketches.select("hash", "item_id"), "hash").select("row_key", "item_id").distinct())
+    candidates = hits.join(sketches.select("hash", "item"), "hash").select("row_key", "item").distinct()
     candidates = materialise(candidates, "contained-candidates")
-    shared = (hits.join(shingles.select("hash", "item_id", "q"), "hash")
-              .groupBy("row_key", "item_id").agg(F.count(F.lit(1)).alias("n_shared"), F.first("q").alias("q"), F.first("doc_id").alias("doc_id")))
-    return (shared.where(OF * F.col("n_shared") >= NEEDED * F.col("q"))
-            .join(candidates, (shared["row_key"] == candidates["row_key"]) & shared["item_id"].eqNullSafe(candidates["item_id"]), "left_semi")
+    shared = (hits.join(shingles.select("hash", "item", "q"), "hash")
+              .groupBy("row_key", "item").agg(F.count(F.lit(1)).alias("n_shared"), F.first("q").alias("q"), F.first("doc_id").alias("doc_id")))
+    return shared.where(OF * F.col("n_shared") >= NEEDED * F.col("q")).join(candidates, ["row_key", "item"], "left_semi")
+
+
+def contained_items(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """(row_key, doc_id, item_id, n_shared, n_item_shingles), one row per
+    document and row of items held; n_shared >= 4/5 n_item_shingles."""
+    ids = items.select(item_key().alias("item"), F.col("item_id").cast("long").alias("item_id"))
+    return (_contained(docs, items).join(ids, "item")
             .select("row_key", "doc_id", "item_id", "n_shared", F.col("q").cast("bigint").alias("n_item_shingles")))
 
 
@@ -111,6 +126,6 @@ def benchmark_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def decontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` without the documents that hold an item."""
-    leaks = materialise(contained_items(docs, items).select("row_key").distinct(), "leaks")
+    leaks = materialise(_contained(docs, items).select("row_key").distinct(), "leaks")
     key = fresh(docs, "row_key_")
     return docs.withColumn(key, row_key()).join(leaks.withColumnRenamed("row_key", key), key, "left_anti").select(*docs.columns)

@@ -65,6 +65,27 @@ def test_url_rules(spark):
     assert {r["verdict"] for r in url_filter.url_filter(pages, []).collect()} == {"allow"}
 
 
+def test_leaks_count_item_rows_apart(spark):
+    """Repeated item rows, one id for two texts, and several null ids."""
+    import duckdb
+    import pandas as pd
+    words = lambda a, b: " ".join(f"{a}{i}" for i in range(b))
+    items = [(1, words("r", 14)), (1, words("r", 14)), (2, words("s", 14)), (2, words("t", 24)), (None, words("u", 14)), (None, words("v", 14)), (3, words("s", 14))]
+    # Document 1 holds 4 of 10 shingles of item 1; 3 holds 6 and 6 of items 2; 5 holds 5 and 5 of the null items.
+    docs = [(1, words("r", 8) + " x"), (2, "y " + words("r", 14)), (3, words("s", 10) + " x " + words("t", 10)), (4, words("s", 14) + " x " + words("t", 24)),
+            (5, words("u", 9) + " x " + words("v", 9)), (6, words("v", 13))]
+    d, i = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame(docs, columns=["doc_id", "text"]))
+    con.register("benchmark", pd.DataFrame(items, columns=["item_id", "text"]).astype({"item_id": "Int64"}))
+    out = decontamination.benchmark_leaks(d, i)
+    found = con.execute(oracle.benchmark_leaks())
+    assert canon(out.columns, out.collect()) == canon([c[0] for c in found.description], found.fetchall())
+    assert sorted((r["doc_id"], r["item_id"] or 0, r["n_shared"]) for r in out.collect()) == [
+        (2, 1, 10), (2, 1, 10), (4, 2, 10), (4, 2, 20), (4, 3, 10), (6, 0, 9)]
+    assert sorted(r["doc_id"] for r in decontamination.decontaminated(d, i).collect()) == [1, 3, 5]
+
+
 def test_licence_spellings(spark):
     texts = ["RELEASED under the MIT licence", "copyright (c) me\n" + dict(licenses.KNOWN)["ISC"], "Licensed under CC-BY-NC-4.0", "Released under the MIT License, kind of"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
