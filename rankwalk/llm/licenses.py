@@ -7,8 +7,8 @@ spellings replaced by one.  The MD5 of the canonical form of an entire text,
 and of each of its lines (licence notices and SPDX tags are texts of one
 line), is looked up among the digests of the known texts.
 
-The lookup is a hash join with a table of a few dozen rows whose size is fixed
-by the caller's list, so Spark broadcasts it; only matches move.  Common lines
+The lookup is a hash join with a table of some hundred rows whose size is fixed
+by the caller's lists, so Spark broadcasts it; only matches move.  Common lines
 or whole texts shared by a third of all documents therefore need no shuffle.
 
 Cases: null and empty texts (and lines without letters or digits) match
@@ -64,6 +64,37 @@ KNOWN = [
     ("BSD-2-Clause", "Licensed under the BSD 2-Clause License."), ("BSD-2-Clause", "SPDX-License-Identifier: BSD-2-Clause"),
 ]
 
+# Fixed values: (license_id, first word, MD5s of the canonical form) of entire
+# licences too long to be held here: each edition with its lines as published,
+# with a line for each paragraph and on a single line; also ended at "END OF
+# TERMS AND CONDITIONS", the BSD ones also with a title or stars for numbers.
+DIGESTS = [
+    ("Apache-2.0", "apache", "0ebb6ddd08e5376e45c60aa2e57defa6 2f51ee88af832fe2f04efc90173d249b 468b3b1a52142ad8b0dc850ec677c6bb 47c44b4785fba4497366731bb81ead0b "
+     "8f22630028e8d0ae80812c0e3c92ef2d c582f81a312f86e9d6c32c064bb3f2dc"),
+    ("Artistic-1.0-Perl", "the", "1b50375157aa8fd583048ea2d79fcfc6 2610359a5c75335b8c5eaea69bca6625 b12e4acbe06ab85dd42a6fa03a228fbd"),
+    ("BSD-2-Clause", "bsd", "1861aa5e650030a606b82b2f8d390297 7156097767f5afef1724228b3dfb48fe"),
+    ("BSD-2-Clause", "redistribution", "8c19b192342f336853fe3904a8a03dc0 b0538ec125cafeeb58bf11083985630b"),
+    ("BSD-3-Clause", "bsd", "c245a9d439da9a8ea626ab19c280d998 d4cef4d9ad8054ea8d2cc83477a6f637"),
+    ("BSD-3-Clause", "redistribution", "ddcd765ed0a3236bf96e15f76c36983a dfd9463b7bcad50bb1270be3d6bf0c2a e82046f0b7f72505ecac75064a0d3ab0"),
+    ("CC0-1.0", "creative", "75ab50d1b17fa1766bf6b4bf801145c3"),
+    ("GFDL-1.2", "gnu", "00f192429e663f20427d98c1000ee07c 19a2b0d3abf030b6a79c2b6490a55add 390010a516dda1aabba57f00d67e8094"),
+    ("GFDL-1.3", "gnu", "02833943d04f946b7ec2517544566855 3d4ca42ff600eda8285f09f332dccd56 8ac903fb7543b34e81e37f1a1ccd192c"),
+    ("GPL-1.0", "gnu", "24cc4db6a6a9e65fba0e3b14791121a2 50c1df338e1bcea44e53744f24ce569f 52ac61b51cb7d8e3e68f07e883710eeb 5c2e1cb363d038850fe1e395dcf481d5 "
+     "6f7c6cc0672cfb042c7b0edbc461e7db cba2027f47934e49dc154c0405f6934b"),
+    ("GPL-2.0", "gnu", "100f83dc09b4cd964d7178efeaca3090 27ba173578dca61be486728c2707ed2e 335d2766377bebfe119ffe209b55f30b 6c89f53cc31cc701d3030ee45cffdb7b "
+     "7b1e2dc7a90d73bd11b05691db45ee17 c90461b432da19a2d8894642c9cb6355"),
+    ("GPL-3.0", "gnu", "096789ff9b2ee951fa82247e27018c31 13e96d2562456a1f8c706f04825e4146 411db80e75e1a21953a6ab75a702f92a 634a5ca45b09376b9505edcecb601236 "
+     "67a503666761ee1b45df8abb13244da5 d92fbea74cdd50d66745271bedea9b30"),
+    ("LGPL-2.0", "gnu", "0c6893733fcc058f895865664cc34f2e 32aca764ae77ac637d0ee7c17ebe02cc 363fe38f809c0b6ee28f230925923ec2 3dffcca0aa0be6aae73d4ab6a32af652 "
+     "a4c8b77a5176ba24e67bb9afb5f91892 ac9763b143cc33779fc9a4773ba7b83e"),
+    ("LGPL-2.1", "gnu", "3c1fdf54a0398aea1b0939d2cc1d6648 64366e4adfb0c115d2431502795591e9 a510ebe760c12d0b005fcd26e3e99296 d3d8cd9e750891c68a0d94405d2e5810 "
+     "e6695b723fd6f6ba9d401b033d89bf16 f213dc82f2742fb1390362eddbef3b55"),
+    ("LGPL-3.0", "gnu", "27506ae5db3b467e0ff42c7b5043b784 5a89eae83aa7c3d42e71801ba59db5ee 6450214b60b9d164e97e3c0cbc530742"),
+    ("MPL-1.1", "mozilla", "0c9b706781bbdbfce8b949875cf7cdca 4585186d5730464ae109120f7ef6184f 83be7dc04868cd87c8f372cbdf3dc917"),
+    ("MPL-2.0", "mozilla", "4a87c0cb05be8eaa7855f6fa62e0525c 6895897873d94fbcca1a4f00ff69ebf0 e4af658e411a2e80ff988134536caeaf"),
+    ("Unlicense", "this", "623ba9db93eda8991a1484472514bff3"),
+]
+
 
 def without_copyright(text: Column) -> Column:
     """The text with its copyright lines emptied; line breaks stay."""
@@ -93,27 +124,28 @@ def leads(digests: DataFrame) -> DataFrame:
     return digests.select("lead").union(digests.sparkSession.createDataFrame([(x,) for x in spelled], "lead string")).distinct()
 
 
-def known_digests(spark: SparkSession, known: list[tuple[str, str]]) -> DataFrame:
+def known_digests(spark: SparkSession, known: list[tuple[str, str]], digests: list[tuple[str, str, str]] = DIGESTS) -> DataFrame:
     """(digest, license_id, lead), one row per digest: the bounded lookup table."""
     texts = spark.createDataFrame(known or [], "license_id string, text string")
     form = canonical(without_copyright(F.col("text")))
-    return (texts.select("license_id", form.alias("form")).where("form <> ''")
-            .groupBy(F.md5(F.col("form").cast("binary")).alias("digest"))
-            .agg(F.min("license_id").alias("license_id"), F.min(F.substring_index("form", " ", 1)).alias("lead")))
+    made = (texts.select("license_id", form.alias("form")).where("form <> ''")
+            .select(F.md5(F.col("form").cast("binary")).alias("digest"), "license_id", F.substring_index("form", " ", 1).alias("lead")))
+    held = spark.createDataFrame([(d, i, lead) for i, lead, ds in digests for d in ds.split()], "digest string, license_id string, lead string")
+    return made.union(held).groupBy("digest").agg(F.min("license_id").alias("license_id"), F.min("lead").alias("lead"))
 
 
-def license_scan(docs: DataFrame, known: list[tuple[str, str]] = KNOWN) -> DataFrame:
+def license_scan(docs: DataFrame, known: list[tuple[str, str]] = KNOWN, digests: list[tuple[str, str, str]] = DIGESTS) -> DataFrame:
     """Per match: doc_id, unit ('text' or 'line'), line_no (from 0; null for
     the entire text), license_id, digest.
 
     The first word is looked up before the canonical form is made: a text whose
     first word can begin no known text equals none."""
-    digests = known_digests(docs.sparkSession, known)
+    lookup = known_digests(docs.sparkSession, known, digests)
     texts = docs.select("doc_id", without_copyright(F.coalesce(F.col("text"), F.lit(""))).alias("body"))
     entire = F.array(F.struct(F.lit("text").alias("unit"), F.lit(None).cast("int").alias("line_no"), F.col("body")))
     single = F.transform(F.split("body", "\n", -1), lambda x, i: F.struct(F.lit("line").alias("unit"), i.alias("line_no"), x.alias("body")))
     units = texts.select("doc_id", F.explode(F.when(F.instr("body", "\n") > 0, F.concat(entire, single)).otherwise(entire)).alias("_"))
     units = units.select("doc_id", "_.unit", "_.line_no", "_.body", first_word(F.col("_.body")).alias("lead"))
-    likely = units.join(F.broadcast(leads(digests)), "lead", "left_semi")
+    likely = units.join(F.broadcast(leads(lookup)), "lead", "left_semi")
     likely = likely.select("doc_id", "unit", "line_no", F.md5(canonical(F.col("body")).cast("binary")).alias("digest"))
-    return likely.join(F.broadcast(digests.select("digest", "license_id")), "digest").select("doc_id", "unit", "line_no", "license_id", "digest")
+    return likely.join(F.broadcast(lookup.select("digest", "license_id")), "digest").select("doc_id", "unit", "line_no", "license_id", "digest")

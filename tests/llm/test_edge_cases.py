@@ -93,6 +93,50 @@ def test_licence_spellings(spark):
     assert not [r for r in licenses.license_scan(docs).collect() if r["doc_id"] == 3]
 
 
+BSD3 = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE
+FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER
+CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY,
+OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE
+OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.
+"""
+
+
+def test_entire_licences(spark):
+    from pathlib import Path
+    from pyspark.sql import functions as F
+    numbers, head = BSD3.split("3. "), "BSD 3-Clause License\n\nCopyright (c) 2020, Some One\nAll rights reserved.\n\n"
+    bsd2 = numbers[0] + numbers[1][numbers[1].index("THIS SOFTWARE"):]
+    texts = [("BSD-3-Clause", head + BSD3), ("BSD-2-Clause", bsd2), ("BSD-3-Clause", "\n\n".join(p.replace("\n", " ") for p in BSD3.split("\n\n")))]
+    held = Path("/usr/share/common-licenses")
+    files = {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0"}
+    texts += [(i, (held / f).read_text()) for f, i in files.items() if (held / f).exists()]
+    texts += [(None, BSD3.replace("THIS SOFTWARE", "THIS PROGRAM")), (None, "Copyright 2020 Someone")]
+    docs = spark.createDataFrame([(n, t) for n, (_, t) in enumerate(texts)], "doc_id long, text string")
+    found = licenses.license_scan(docs)
+    assert {(r["doc_id"], r["license_id"]) for r in found.where("unit = 'text'").collect()} == {(n, i) for n, (i, _) in enumerate(texts) if i}
+    rows = licenses.known_digests(spark, licenses.KNOWN)
+    assert rows.count() == rows.select("digest").distinct().count() and rows.where(F.col("digest") == F.md5(F.lit("").cast("binary"))).count() == 0
+
+
 def test_classifier_holds_out_and_separates(spark):
     base = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{base}/documents.parquet"), spark.read.parquet(f"{base}/labels.parquet")
