@@ -10,15 +10,16 @@ sample of labelled documents: the latent-semantic vectors.
 The labelled vectors (at most ``max_labelled`` rows, the ones with the
 smallest hash of their doc_id, times ``dims``) are broadcast; every document
 is compared with all of them in exact blocks of cosine products; the
-``neighbours`` nearest vote with their labels, weighted by similarity.  The
+``neighbours`` nearest, and all that are as near as the last of them, vote with
+their labels, weighted by similarity.  The
 score is the share of label 1 among the votes, each class weighted to even
 priors, so that a rare class is heard.
 
 Learned only from labelled rows whose crc32(doc_id as text) mod 5 is not 0;
 features are functions of the text alone.
 
-Cases: a null or empty text has a zero vector, is equally near to all and
-scores the prior share 0.5 unless labelled ones like it are known; a null
+Cases: a null or empty text (or one without trigrams) has a zero vector, is
+equally near to all and scores the prior share 0.5; a null
 doc_id is neither held out nor learned from; null labels and repeated label
 rows of one document count once with the smaller label; without any usable
 label every score is 0.5; repeated rows score alike; an empty table gives an
@@ -41,6 +42,7 @@ from .textkernel import Piece, pieces
 
 SHAPE_BINS, CHAR_BINS = 512, 512
 EXTRA = 2
+TIE = np.float32(1e-6)      # cosines this close are equal but for rounding
 BINS = SHAPE_BINS + CHAR_BINS + EXTRA
 _SHAPE = np.arange(256, dtype=np.uint32)
 _SHAPE[97:123] = _SHAPE[128:] = 97
@@ -102,17 +104,19 @@ class Model:
     def project(self, raw: np.ndarray) -> np.ndarray:
         return _unit(_unit(raw * self.weights) @ self.axes)
 
-    def scores(self, raw: np.ndarray, settings: Settings, block: int = 1024) -> np.ndarray:
+    def scores(self, raw: np.ndarray, settings: Settings, block: int = 512) -> np.ndarray:
         if not len(self.vectors):
             return np.full(len(raw), 0.5)
         near = min(settings.neighbours, len(self.vectors))
         out = []
         for i in range(0, len(raw), block):
-            cosine = self.project(raw[i:i + block]) @ self.vectors.T
-            top = np.argpartition(-cosine, near - 1, axis=1)[:, :near]
-            weight = np.exp(settings.sharpness * (np.take_along_axis(cosine, top, axis=1) - 1.0)).astype(np.float64)
-            votes = (weight[:, :, None] * self.votes[top]).sum(axis=1)
-            out.append(votes[:, 1] / votes.sum(axis=1))
+            found = self.project(raw[i:i + block])
+            cosine = found @ self.vectors.T
+            last = np.partition(cosine, -near, axis=1)[:, -near]
+            voters = cosine >= last[:, None] - TIE
+            weight = np.where(voters, np.exp(settings.sharpness * (cosine - 1.0)), 0).astype(np.float64)
+            votes = weight @ self.votes
+            out.append(np.where(found.any(axis=1), votes[:, 1] / votes.sum(axis=1), 0.5))
         return np.clip(np.concatenate(out), 0.0, 1.0)
 
 

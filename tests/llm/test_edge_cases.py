@@ -146,3 +146,19 @@ def test_classifier_holds_out_and_separates(spark):
     assert [r["score"] for r in none] == [0.5] * 3
     odd = spark.createDataFrame([(None, None), (1, ""), (1, "")], "doc_id long, text string")
     assert all(0 <= r["score"] <= 1 for r in quality_classifier.quality_scores(odd, labels).collect())
+
+
+def test_classifier_lets_all_equal_neighbours_vote():
+    """Zero vectors score 0.5; the order of equal copies among the voters does not matter."""
+    import numpy as np
+    rng = np.random.default_rng(1)
+    hot = rng.random(quality_classifier.BINS).astype(np.float32)
+    raw = np.concatenate([np.tile(hot, (90, 1)), rng.random((110, quality_classifier.BINS)).astype(np.float32)])
+    labels = np.array([1] * 30 + [0] * 60 + [0, 1] * 55)
+    asked = np.stack([np.zeros_like(hot), hot])
+    settings, found = quality_classifier.Settings(), []
+    for order in (np.arange(200), np.arange(200)[::-1], rng.permutation(200)):
+        found.append(quality_classifier.train(raw[order], labels[order], settings.dims).scores(asked, settings))
+    one, none = 30 / (labels == 1).sum(), 60 / (labels == 0).sum()
+    assert [f[0] for f in found] == [0.5] * 3
+    assert np.allclose([f[1] for f in found], one / (one + none), atol=1e-3)
