@@ -161,6 +161,45 @@ def jaccard_components(docs: str = "documents") -> str:
 SELECT doc_id, len(sh)::BIGINT AS n_shingles, component_id FROM j_rows JOIN j_comp USING (rid)"""
 
 
+def near_duplicates(docs: str = "documents") -> str:
+    links = _components(docs).replace("100 * c >= 80 *", "100 * c >= 85 *")
+    return f"""WITH RECURSIVE {links}
+SELECT doc_id, len(sh)::BIGINT AS n_shingles, component_id, doc_id IS NOT DISTINCT FROM component_id AS kept FROM j_rows JOIN j_comp USING (rid)"""
+
+
+def _field(column: str) -> str:
+    return f"CASE WHEN {column} IS NULL THEN '-' ELSE strlen({column}::VARCHAR) || ':' || {column}::VARCHAR END"
+
+
+def merkle_manifest(docs: str = "documents") -> str:
+    leaf = lambda n: f"sha256({' || '.join(map(_field, ('doc_id', 'source', 'lang', n, 'text')))})"
+    def levels(name: str, source: str) -> str:
+        return f"""
+{name} AS (SELECT tree, 0 AS level, idx, h, n FROM {source}
+  UNION ALL SELECT tree, level + 1, idx // 2, sha256(string_agg(h, '' ORDER BY idx)), (n + 1) // 2 FROM {name} WHERE n > 1 GROUP BY tree, level, n, idx // 2)"""
+    def climb(name: str, start: str, tree: str) -> str:
+        return f"""
+{name} AS ({start}
+  UNION ALL SELECT c.rid, c.tree, c.level + 1, c.idx // 2, c.n // 2 + c.n % 2,
+    sha256(CASE WHEN s.h IS NULL THEN c.folded WHEN c.idx % 2 = 1 THEN s.h || c.folded ELSE c.folded || s.h END), c.proof || coalesce(s.h, '')
+  FROM {name} c LEFT JOIN {tree} s ON s.tree = c.tree AND s.level = c.level AND s.idx = xor(c.idx, 1) WHERE c.n > 1)"""
+    return f"""WITH RECURSIVE b_table AS (SELECT list(list_reduce(range(0, 9), lambda c, k: CASE WHEN k = 0 THEN c WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, i) ORDER BY i) AS t FROM range(0, 256) r(i)),
+m_rows AS MATERIALIZED (SELECT doc_id, CASE WHEN lang IS NULL THEN '-' ELSE '=' || lang END AS tree, {leaf('n_chars')} AS leaf, {leaf('(n_chars::HUGEINT + 1)')} AS other,
+  xor(list_reduce(list_transform(regexp_extract_all(hex(encode(doc_id::VARCHAR)), '..'), lambda h: ('0x' || h)::BIGINT), lambda c, b: xor(c // 256, t[xor(c, b) % 256 + 1]), 4294967295), 4294967295) % 7 AS chosen,
+  row_number() OVER () AS rid FROM {docs}, b_table),
+m_leaves AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS LAST, leaf, rid) - 1 AS idx, leaf AS h, count(*) OVER (PARTITION BY tree) AS n FROM m_rows),
+{levels('m_nodes', 'm_leaves')},
+m_tree AS MATERIALIZED (SELECT * FROM m_nodes),
+m_tops AS MATERIALIZED (SELECT '' AS tree, tree AS lang, row_number() OVER (ORDER BY tree) - 1 AS idx, h, count(*) OVER () AS n FROM m_tree WHERE n = 1),
+{levels('m_upper', 'm_tops')},
+m_above AS MATERIALIZED (SELECT * FROM m_upper),
+{climb('m_climb', "SELECT rid, tree, 0 AS level, idx, n, CASE WHEN chosen = 0 THEN other ELSE leaf END AS folded, '' AS proof FROM m_leaves", 'm_tree')},
+m_half AS MATERIALIZED (SELECT * FROM m_climb WHERE n = 1),
+{climb('m_rest', "SELECT m.rid, '' AS tree, 0 AS level, t.idx, t.n, m.folded, m.proof FROM m_half m JOIN m_tops t ON t.lang = m.tree", 'm_above')}
+SELECT l.doc_id, l.leaf, t.h AS subroot, r.h AS root, sha256(m.proof) AS proof_sha256, m.folded AS folded_root, m.folded = r.h AS verified
+FROM m_rest m JOIN m_leaves l USING (rid) JOIN m_tops t ON t.lang = l.tree JOIN m_above r ON r.n = 1 WHERE m.n = 1"""
+
+
 def one_of_each(docs: str) -> str:
     return f"""WITH RECURSIVE {_components(docs)}
 SELECT doc_id, text, lang, source, n_chars FROM j_rows JOIN j_comp USING (rid)

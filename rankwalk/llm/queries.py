@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (decontamination, jaccard_join, licenses, line_dedup, oracle, packing, quality_classifier,
-               quality_rules, sharding, substring_dedup, url_filter)
+from . import (decontamination, jaccard_join, licenses, line_dedup, manifest, near_dedup, oracle, packing, quality_classifier,
+               quality_rules, sharding, substring_dedup, url_filter, whitening)
 
 # The rules of op9, in the order (verdict, host, path).
 URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
@@ -58,9 +58,21 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(_table(spark, sf_dir, "documents"))
 
 
+def op11_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.merkle_manifest(_table(spark, sf_dir, "documents"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_quality_rules, op2_line_dedup, op3_quality_classifier, op4_license_scan, op5_substring_dedup, op6_jaccard_join, op7_sharding, op8_decontamination,
-    op9_url_filter, op10_packing)}
+    op9_url_filter, op10_packing, op11_minhash_near_dedup, op12_merkle_manifest, op13_embedding_whitening)}
 
 
 def oracles() -> dict[str, str]:
@@ -69,4 +81,5 @@ def oracles() -> dict[str, str]:
         "op4_license_scan": oracle.license_scan(), "op5_substring_dedup": oracle.substring_dedup(),
         "op6_jaccard_join": oracle.jaccard_components(), "op7_sharding": oracle.balanced_shards(), "op8_decontamination": oracle.benchmark_leaks(),
         "op9_url_filter": oracle.url_filter(URL_RULES), "op10_packing": oracle.packed(),
+        "op11_minhash_near_dedup": oracle.near_duplicates(), "op12_merkle_manifest": oracle.merkle_manifest(),
     }
