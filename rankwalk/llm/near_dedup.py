@@ -10,15 +10,19 @@ set if it has fewer).  Of two nodes, the K smallest of both sketches together
 are the sketch of their union, an even sample of it: for a linked pair the
 number of shared values among them is at least binomial(K, 0.85).  ``LEAST`` is
 the count that such a sample stays below with a chance of at most ``MISS`` a
-pair, and ceil(0.85 * n) below the sizes at which sketches are whole sets.
-
-Candidates.  Inverted lists hold the values that two nodes' sketches retain.
-Nodes with at least ``r`` values in common (r: as above, by the node's size)
-share ``m`` of them among the S - r + m rarest of their S listed values, so
-each node enters only these lists, and those with S < r none.  A list's
-common places bound what two nodes can share at all.  Pairs that meet in m
-lists are estimated by the union's sketch, and those that pass are verified by
-the exact Jaccard similarity of their full sets.
+pair; sketches that are whole sets share exactly what the sets share.
+
+Candidates.  A node that has fewer values in common with all others together
+than a link needs drops out first, by a merged count-min sketch of the values.
+Of the few nodes that are left the full sets are written, and the rest uses
+their ``WIDE`` smallest hashes.  Inverted lists hold the values that two wide
+sketches retain.  Nodes that must share r values share ``m`` of them among the
+S - r + m rarest of their S listed ones, so each node enters only these lists,
+and those with S < r none; r is larger for the smaller of two nodes, and only
+pairs of a smaller and a larger one are made.  A list's common places and the
+sizes bound what two nodes can share at all.  Pairs that meet in m lists are
+estimated by the union's sketch, and those that pass are verified by the exact
+Jaccard similarity of their full sets.
 
 No group is expanded into all its pairs.  Two rounds compare a node with one
 other node of its lists (first the one with the most listed values, as an
@@ -26,10 +30,10 @@ original among its copies; then one at random), linear in the lists; the last
 round takes pairs only between different components of the links found so far,
 and all of them.  A link inside a component cannot change it.
 
-Scale: no fixed-size table, so the work grows with the documents at any size;
-value counts, lists and pairs are shuffled on even keys, hot lists meet written
-tables only (so that Spark can split them), and only full sets of nodes that
-stand in some list are written.
+Scale: value counts, lists and pairs are shuffled on even keys, hot lists meet
+written tables only (so that Spark can split them), and only full sets of nodes
+that stand in some list are written.  The count-min sketch and the filters have
+fixed sizes; beyond them more nodes reach the exact counts (raise ``log2``).
 
 Cases: null and empty texts have empty sets and link with nothing (their
 component is their own doc_id, and they are kept); a text of fewer than five
@@ -52,12 +56,13 @@ from pyspark.sql import functions as F
 
 from .common import discard, materialise
 from .components import components
-from .countmin import Filter, Shape, seen_bits, sketch
+from .countmin import Filter, Shape, repeated_bits, seen_bits, sketch
 from .textkernel import mix, pieces, shingle_sets
 
 SHINGLE, SHARE = 5, 85
-K, MEET, MISS = 64, 4, 1e-12
+K, WIDE, MEET, MISS = 128, 512, 8, 1e-12
 ROUNDS = 2
+RETAINED = Shape(depth=2, log2=27)
 INVOLVED = Shape(depth=2, log2=24)
 
 
@@ -71,7 +76,7 @@ def least_shared(k: int, miss: float) -> int:
     return k
 
 
-LEAST = least_shared(K, MISS)
+LEAST, LEAST_WIDE = least_shared(K, MISS), least_shared(WIDE, MISS)
 
 
 def set_digest(hashes: np.ndarray) -> bytes:
@@ -83,9 +88,13 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.LargeListArray.from_arrays(np.cumsum([0, *map(len, arrays)]), np.concatenate([np.zeros(0, np.int64), *arrays])).cast(pa.list_(pa.int64()))
 
 
+def _signed(hashes: np.ndarray) -> np.ndarray:
+    """Moved so that the order as signed numbers is that of the hashes."""
+    return (hashes ^ np.uint64(1 << 63)).view(np.int64)
+
+
 def sketches(docs: DataFrame) -> DataFrame:
-    """(doc_id, nr, n, digest, sketch) of every row, written; nr is unique.  A
-    sketch's values are moved so that their order as longs is that of the hashes."""
+    """(doc_id, nr, n, digest, sketch) of every row, written; nr is unique."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -93,7 +102,7 @@ def sketches(docs: DataFrame) -> DataFrame:
                 sets = list(shingle_sets(piece, SHINGLE))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(piece.first, piece.n), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array([set_digest(s) for s in sets], pa.binary()), _lists([(s[:K] ^ np.uint64(1 << 63)).view(np.int64) for s in sets])],
+                     pa.array([set_digest(s) for s in sets], pa.binary()), _lists([_signed(s[:K]) for s in sets])],
                     ["doc_id", "n", "digest", "sketch"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
@@ -101,23 +110,60 @@ def sketches(docs: DataFrame) -> DataFrame:
     return materialise(rows.withColumn("nr", F.monotonically_increasing_id()), "sketches")
 
 
-def required(n: Column) -> Column:
-    """Sketch values that a node of n shingles shares at least with a linked one."""
-    whole = K * SHARE // 100            # up to here a linked node's sketch is its whole set
-    return F.when(n <= whole, F.ceil(n * SHARE / 100)).otherwise(F.lit(LEAST)).cast("int")
+def as_larger(n: Column) -> Column:
+    """Wide sketch values that a node of n shingles shares at least with a
+    linked node that is not larger: of whole sets SHARE % of it."""
+    return F.when(n <= WIDE, F.ceil(n * SHARE / 100)).otherwise(F.lit(LEAST_WIDE)).cast("int")
+
+
+def as_smaller(n: Column) -> Column:
+    """The same with a linked node that is not smaller (intersection >= 85/185
+    of both sizes together, if that one's sketch is a whole set too)."""
+    return F.when(n <= WIDE * SHARE // 100, F.ceil(2 * SHARE * n / (100 + SHARE))).otherwise(F.lit(LEAST_WIDE)).cast("int")
+
+
+def survivors(rows: DataFrame, ids: DataFrame, retained: Shape, involved: Shape) -> DataFrame:
+    """(node, n, doc_id, digest) of the nodes that may hold r values which other nodes
+    retain too, by a merged count-min sketch of the values; written.  Both
+    filters only thin out: a row passes as the node's own or a value as
+    repeated too often at most, and both are settled exactly behind them."""
+    spark, least = rows.sparkSession, LEAST
+    own = lambda column: mix(column.to_numpy().view(np.uint64))
+    held = Filter(spark, involved, sketch(ids.select("node"), lambda b: [own(b.column(0))], involved, seen_bits))
+
+    def owners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        passes = held.open()
+        for batch in batches:
+            yield batch.filter(pa.array(passes(own(batch.column("node")))))
+
+    values = lambda column: column.flatten().to_numpy().view(np.uint64)
+    first = rows.where("n > 0").select(F.col("nr").alias("node"), "n", "sketch").mapInArrow(owners, "node long, n long, sketch array<long>")
+    likely = Filter(spark, retained, sketch(first.select("sketch"), lambda b: [values(b.column(0))], retained, repeated_bits))
+
+    def enough(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        passes, whole = likely.open(), K * SHARE // 100
+        for batch in batches:
+            n = batch.column("n").to_numpy()
+            row = np.repeat(np.arange(len(n)), batch.column("sketch").value_lengths().to_numpy())
+            found = np.bincount(row, weights=passes(values(batch.column("sketch"))), minlength=len(n))
+            yield batch.filter(pa.array(found >= np.where(n <= whole, -(-n * SHARE // 100), least)))
+
+    kept = first.mapInArrow(enough, "node long, n long, sketch array<long>").select("node", "n")
+    return materialise(kept.join(ids, "node"), "survivors")
 
 
-def listed(nodes: DataFrame) -> DataFrame:
-    """The inverted lists: (value, node, n, r, m, place, size); place: 1 for the
-    rarest of the node's ``size`` values that other nodes retain too."""
-    values = nodes.select("node", "n", F.explode("sketch").alias("value"))
+def listed(sets: DataFrame) -> DataFrame:
+    """The inverted lists of the sets' wide sketches: (value, node, n, r, rs, m,
+    place, size); place: 1 for the rarest of the node's ``size`` values that
+    other nodes retain too; r, rs: how many a link needs as the larger or
+    smaller of two."""
+    values = sets.select("node", "n", F.explode(F.slice("shingles", 1, WIDE)).alias("value"))
     shared = materialise(values.groupBy("value").agg(F.count(F.lit(1)).alias("held")).where("held > 1"), "shared-values")
-    rows = values.join(shared, "value").withColumn("r", required(F.col("n")))
+    rows = values.join(shared, "value").withColumns({"r": as_larger(F.col("n")), "rs": as_smaller(F.col("n"))})
     mine = Window.partitionBy("node")
-    rows = rows.withColumns({"place": F.row_number().over(mine.orderBy("held", "value")), "size": F.count(F.lit(1)).over(mine),
-                             "m": F.least(F.lit(MEET), "r")})
-    found = materialise(rows.where("place <= size - r + m").select(
-        "value", "node", "n", "r", "m", "place", F.col("size").cast("int").alias("size")), "lists")
+    rows = rows.withColumns({"place": F.row_number().over(mine.orderBy("held", "value")), "size": F.count(F.lit(1)).over(mine).cast("int"),
+                             "m": F.least(F.lit(MEET), "r", "rs")})
+    found = materialise(rows.where("place <= size - least(r, rs) + m and size >= least(r, rs)").drop("held"), "lists")
     discard(shared)
     return found
 
@@ -126,8 +172,9 @@ def _possible(a: str, b: str) -> Column:
     """Can the nodes of two entries (columns with suffix a and b) of a list link?"""
     c = lambda name, side: F.col(name + side)
     most = F.least(c("place", a), c("place", b)) + F.least(c("size", a) - c("place", a), c("size", b) - c("place", b))
-    return ((100 * c("n", a) >= SHARE * c("n", b)) & (100 * c("n", b) >= SHARE * c("n", a))
-            & (most >= F.greatest(c("r", a), c("r", b))) & (c("root", a) != c("root", b)))
+    whole = F.greatest(c("n", a), c("n", b)) <= WIDE
+    return ((100 * c("n", a) >= SHARE * c("n", b)) & (100 * c("n", b) >= SHARE * c("n", a)) & (c("root", a) != c("root", b))
+            & (most >= F.when(whole, F.ceil(SHARE * (c("n", a) + c("n", b)) / (100 + SHARE))).otherwise(LEAST_WIDE)))
 
 
 def _met(entries: DataFrame) -> DataFrame:
@@ -143,7 +190,7 @@ def _star_pairs(lists: DataFrame, turn: int) -> DataFrame:
     if not turn:
         weight = F.shiftleft(F.col("size").cast("long"), 48) + F.shiftrightunsigned(weight, 16)
     chosen = lists.withColumn("w", weight).groupBy("value").agg(
-        *[F.max_by(c, "w").alias(f"{c}_b") for c in ("node", "n", "r", "m", "place", "size", "root")])
+        *[F.max_by(c, "w").alias(f"{c}_b") for c in ("node", "n", "m", "place", "size", "root")])
     entries = lists.join(materialise(chosen, "chosen"), "value").where(_possible("", "_b"))
     met = _met(entries.select(F.col("node").alias("a"), F.col("node_b").alias("b"), F.least("m", "m_b").alias("enough")))
     return met.groupBy("a").agg(F.max_by("b", "met").alias("b"))
@@ -153,35 +200,37 @@ def _open_pairs(lists: DataFrame) -> DataFrame:
     """All candidates between different components."""
     split = lists.groupBy("value").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("value")
     rows = materialise(lists.join(materialise(split, "open-values"), "value"), "open-lists")
-    side = lambda x: rows.select("value", *[F.col(c).alias(c + x) for c in rows.columns if c != "value"])
-    entries = side("_a").join(side("_b"), "value").where((F.col("node_a") < F.col("node_b")) & _possible("_a", "_b"))
+    side = lambda x, need: rows.where(f"place <= size - {need} + m and size >= {need}").select(
+        "value", *[F.col(c).alias(c + x) for c in rows.columns if c != "value"])
+    smaller = F.struct("n_a", "node_a") < F.struct("n_b", "node_b")
+    entries = side("_a", "rs").join(side("_b", "r"), "value").where(smaller & _possible("_a", "_b"))
     return _met(entries.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"), F.least("m_a", "m_b").alias("enough"))).select("a", "b")
 
 
-def _beside(pairs: DataFrame, arrays: DataFrame, column: str) -> DataFrame:
+def _beside(pairs: DataFrame, arrays: DataFrame, column: Column) -> DataFrame:
     """(a, b, x, y): for each pair the array of both its nodes, each moved once."""
     ends = pairs.select("a", "b", F.posexplode(F.array("a", "b")).alias("end", "node"))
-    held = arrays.select("node", F.col(column).alias("array")).join(ends, "node")
+    held = arrays.select("node", column.alias("array")).join(ends, "node")
     at = lambda end, name: F.first(F.when(F.col("end") == end, F.col("array")), ignorenulls=True).alias(name)
     return held.groupBy("a", "b").agg(at(0, "x"), at(1, "y"))
 
 
-def estimated(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs whose union's sketch allows a link."""
-    rows = _beside(pairs, nodes, "sketch").withColumn("union", F.slice(F.array_sort(F.array_union("x", "y")), 1, K))
+def estimated(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs whose union's wide sketch allows a link."""
+    rows = _beside(pairs, sets, F.slice("shingles", 1, WIDE)).withColumn("union", F.slice(F.array_sort(F.array_union("x", "y")), 1, WIDE))
     shared = F.size(F.array_intersect("union", F.array_intersect("x", "y")))
-    return rows.where(F.when(F.size("union") < K, 100 * shared >= SHARE * F.size("union")).otherwise(shared >= LEAST)).select("a", "b")
+    return rows.where(F.when(F.size("union") < WIDE, 100 * shared >= SHARE * F.size("union")).otherwise(shared >= LEAST_WIDE)).select("a", "b")
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs that link by their full sets."""
     both = F.size(F.array_intersect("x", "y"))
-    rows = _beside(pairs, sets, "shingles").select("a", "b", both.alias("both"), (F.size("x") + F.size("y")).alias("sizes"))
+    rows = _beside(pairs, sets, F.col("shingles")).select("a", "b", both.alias("both"), (F.size("x") + F.size("y")).alias("sizes"))
     return rows.where(100 * F.col("both") >= SHARE * (F.col("sizes") - F.col("both"))).select("a", "b")
 
 
 def full_sets(docs: DataFrame, nodes: DataFrame, involved: Shape) -> DataFrame:
-    """(node, shingles) of the nodes (node, doc_id, digest): the texts with
+    """(node, n, shingles) of the nodes (node, n, doc_id, digest), the shingles in order: the texts with
     their doc_ids are read again.  The filter only thins out; the join decides."""
     ids = lambda column: mix(column.fill_null(0).to_numpy(zero_copy_only=False).view(np.uint64))
     held = Filter(docs.sparkSession, involved, sketch(nodes.select("doc_id"), lambda b: [ids(b.column(0))], involved, seen_bits))
@@ -191,28 +240,27 @@ def full_sets(docs: DataFrame, nodes: DataFrame, involved: Shape) -> DataFrame:
         for batch in batches:
             for piece in pieces(batch.column("text").filter(pa.array(passes(ids(batch.column("doc_id")))))):
                 sets = list(shingle_sets(piece, SHINGLE))
-                yield pa.RecordBatch.from_arrays([pa.array([set_digest(s) for s in sets], pa.binary()), _lists([s.view(np.int64) for s in sets])],
+                yield pa.RecordBatch.from_arrays([pa.array([set_digest(s) for s in sets], pa.binary()), _lists([_signed(s) for s in sets])],
                                                  ["digest", "shingles"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(build, "digest binary, shingles array<long>")
-    return materialise(rows.join(nodes.select("digest", "node"), "digest").select("node", "shingles").dropDuplicates(["node"]), "sets")
+    return materialise(rows.join(nodes.select("digest", "node", "n"), "digest").select("node", "n", "shingles").dropDuplicates(["node"]), "sets")
 
 
-def near_duplicates(docs: DataFrame, involved: Shape = INVOLVED) -> DataFrame:
+def near_duplicates(docs: DataFrame, retained: Shape = RETAINED, involved: Shape = INVOLVED) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id, kept."""
     rows = sketches(docs)
     ids = materialise(rows.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.min("nr").alias("node")), "nodes")
-    nodes = materialise(rows.join(ids.select(F.col("node").alias("nr")), "nr", "left_semi").select(F.col("nr").alias("node"), "n", "sketch"), "node-sketches")
-    lists = listed(nodes)
-    inside = materialise(ids.join(lists.select("node").distinct(), "node", "left_semi"), "listed-nodes")
-    sets = full_sets(docs, inside, involved)
+    nodes = survivors(rows, ids, retained, involved)
+    sets = full_sets(docs, nodes, involved)
+    lists = listed(sets)
     links, labels = None, None
     for turn in range(ROUNDS + 1):
         at = lists.withColumn("root", F.col("node"))
         if labels is not None:
             at = materialise(lists.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node")), "labelled-lists")
         pairs = materialise(_star_pairs(at, turn) if turn < ROUNDS else _open_pairs(at), "pairs")
-        pairs = materialise(estimated(pairs, nodes), "candidates")
+        pairs = materialise(estimated(pairs, sets), "candidates")
         more = materialise(verified(pairs, sets), "links-found")
         links = more if links is None else links.union(more)
         labels = components(links)
