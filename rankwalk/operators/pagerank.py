@@ -106,13 +106,28 @@ def prepare(graph: Graph, salt_chunk: int = DEFAULT_SALT_CHUNK,
     ``"one"`` gives 1.0 (the GraphX start).  ``partitions`` overrides the
     data-sized partition count of the loop.
     """
+    held: list[DataFrame] = []
+    try:
+        return _prepare(graph, salt_chunk, initial, partitions, held)
+    except BaseException:
+        for df in held:
+            df.unpersist()
+        raise
+
+
+def _prepare(graph: Graph, salt_chunk: int, initial: str, partitions: int | None, held: list[DataFrame]) -> PreparedGraph:
+    """``held`` gets every frame as it is persisted."""
     spark = graph.edges.sparkSession
     level = StorageLevel.MEMORY_AND_DISK
+
+    def persisted(df: DataFrame) -> DataFrame:
+        held.append(df.persist(level))
+        return df
     # The raw edge table is cached with AQE allowed to coalesce its shuffle
     # partitions by their real size (cached plans otherwise keep the session's
     # partition count, e.g. 2 x 200 near-empty partitions for a small graph).
     with _session_conf(spark, {"spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true"}):
-        edges = graph.edges.select("src", "dst", "cnt").persist(level)
+        edges = persisted(graph.edges.select("src", "dst", "cnt"))
     deg = out_degree(edges)
     # One pass over the source fills the edge cache and sizes the job.
     stats = deg.agg(F.coalesce(F.sum("n_targets"), F.lit(0)).alias("links"),
@@ -126,12 +141,12 @@ def prepare(graph: Graph, salt_chunk: int = DEFAULT_SALT_CHUNK,
     hub_links = None
     plain = edges
     if n_hubs:
-        hub_links = (edges.join(hub_side, "src")
-                     .select("src", F.pmod(F.xxhash64("dst"), F.col("nsalt")).cast("int").alias("salt"),
-                             "dst", "cnt")
-                     .repartition(parts, "src", "salt").persist(level))
+        hub_links = persisted(edges.join(hub_side, "src")
+                              .select("src", F.pmod(F.xxhash64("dst"), F.col("nsalt")).cast("int").alias("salt"),
+                                      "dst", "cnt")
+                              .repartition(parts, "src", "salt"))
         plain = edges.join(hub_side, "src", "left_anti")
-    links = plain.select("src", "dst", "cnt").repartition(parts, "src").persist(level)
+    links = persisted(plain.select("src", "dst", "cnt").repartition(parts, "src"))
 
     ids = edges.select(F.col("src").alias("id")).unionByName(edges.select(F.col("dst").alias("id")))
     if graph.extra_ids is not None:
@@ -141,12 +156,12 @@ def prepare(graph: Graph, salt_chunk: int = DEFAULT_SALT_CHUNK,
         vertices = vertices.join(hub_side.withColumnRenamed("src", "id"), "id", "left")
     else:
         vertices = vertices.withColumn("nsalt", F.lit(1))
-    vertices = (vertices
-                .select("id",
-                        F.col("out_degree").isNull().alias("dangling"),
-                        F.coalesce("nsalt", F.lit(1)).alias("nsalt"),
-                        F.coalesce("out_degree", F.lit(0)).cast("double").alias("out_degree"))
-                .repartition(parts, "id").persist(level))
+    vertices = persisted(vertices
+                         .select("id",
+                                 F.col("out_degree").isNull().alias("dangling"),
+                                 F.coalesce("nsalt", F.lit(1)).alias("nsalt"),
+                                 F.coalesce("out_degree", F.lit(0)).cast("double").alias("out_degree"))
+                         .repartition(parts, "id"))
     counts = vertices.agg(F.count(F.lit(1)).alias("n"),
                           F.count(F.when(F.col("dangling"), 1)).alias("d")).first()
     n, n_dangling = counts["n"], counts["d"]
@@ -160,9 +175,9 @@ def prepare(graph: Graph, salt_chunk: int = DEFAULT_SALT_CHUNK,
     return PreparedGraph(links, hub_links, vertices, state0, n, parts, n_dangling, kept)
 
 
-def _dbl(x: float) -> str:
+def double_literal(x: float) -> str:
     """A double literal that round-trips exactly."""
-    return f"CAST({float(x)!r} AS DOUBLE)"
+    return f"CAST('{float(x)!r}' AS DOUBLE)"
 
 
 def _incoming_sql(prepared: PreparedGraph, state_view: str) -> str:
@@ -230,9 +245,9 @@ def step(state: DataFrame, prepared: PreparedGraph, alpha: float = 0.15,
         if redistribute and prepared.n_dangling != 0:
             # without dangling nodes m is 0 and its per-step job is skipped
             m = f"(SELECT coalesce(sum(rank) FILTER (WHERE dangling), 0D) FROM {state_view})"
-            p = f"({m} / {_dbl(n)} + {p})"
+            p = f"({m} / {double_literal(n)} + {p})"
         if teleport:
-            p = f"({_dbl(alpha / n)} + {_dbl(1.0 - alpha)} * {p})"
+            p = f"({double_literal(alpha / n)} + {double_literal(1.0 - alpha)} * {p})"
         return p
 
     return _next_state(prepared, state, rank_sql)
@@ -281,6 +296,16 @@ def cut_lineage(df: DataFrame, mode: str = "checkpoint", partitions: int | None
     return spark.read.parquet(path)
 
 
+def drop_checkpoint(df: DataFrame) -> None:
+    """Delete the files of a state that :func:`cut_lineage` checkpointed and
+    that nothing reads any more (its successor has been written)."""
+    context = df.sparkSession.sparkContext
+    kept = df._jdf.queryExecution().logical().rdd().getCheckpointFile()
+    if kept.isDefined():
+        path = context._jvm.org.apache.hadoop.fs.Path(kept.get())
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame, partitions: int | None = None) -> DataFrame:
     """Persist ``df`` (memory, spilling to disk) and compute it now, planned
     like a checkpoint so its hash partitioning is kept.  Lost blocks are
@@ -294,44 +319,55 @@ def materialize(df: DataFrame, partitions: int | None = None) -> DataFrame:
 def iterate(prepared: PreparedGraph, max_iter: int, alpha: float = 0.15,
             redistribute: bool = True, teleport: bool = True,
             tol: float | None = None, keep_states: bool = False,
-            checkpoint_every: int = 1):
+            checkpoint_every: int = 1, deltas: list | None = None):
     """Run ``max_iter`` steps (or fewer once the largest change drops below
     ``tol``).  Returns the final state, and the list of all states when
     ``keep_states`` is set (for per-step metrics).
 
     Every ``checkpoint_every``-th state (and the last) is a reliable
-    checkpoint; the states in between are persisted and released once the
-    next checkpoint no longer needs them, so a lost executor recomputes at
-    most ``checkpoint_every`` steps.
+    checkpoint; the states in between are persisted.  Once the next checkpoint
+    is written they are released and the checkpoint before it is deleted, so at
+    most two are held (all of them with ``keep_states``) and a lost executor
+    recomputes at most ``checkpoint_every`` steps.  With ``tol`` the largest
+    change of every step is appended to ``deltas``.
     """
     parts = prepared.partitions
     every = max(1, checkpoint_every)
     state = cut_lineage(prepared.state0, partitions=parts)
-    states = [state]
-    persisted: list[DataFrame] = []
-    for i in range(1, max_iter + 1):
-        nxt = step(state, prepared, alpha, redistribute, teleport)
-        last = i == max_iter
-        if every == 1 or i % every == 0 or last:
-            new = cut_lineage(nxt, partitions=parts)
-            if not keep_states:
+    states = [state] if keep_states else []
+    written, persisted = state, []              # the last checkpoint, and what was persisted since
+    try:
+        for i in range(1, max_iter + 1):
+            nxt = step(state, prepared, alpha, redistribute, teleport)
+            cut = every == 1 or i % every == 0 or i == max_iter
+            new = cut_lineage(nxt, partitions=parts) if cut else materialize(nxt, partitions=parts)
+            if not cut:
+                persisted.append(new)
+            delta = None
+            if tol is not None:
+                delta = (new.join(state.select("id", F.col("rank").alias("_old")), "id")
+                            .agg(F.max(F.abs(F.col("rank") - F.col("_old")))).first()[0])
+                if deltas is not None:
+                    deltas.append(delta)
+            stop = tol is not None and (delta is None or delta < tol)
+            if stop and not cut:
+                new, cut = cut_lineage(new, partitions=parts), True
+            if cut and not keep_states:
+                # Nothing reads what lies before the new checkpoint any more.
+                drop_checkpoint(written)
                 for df in persisted:
                     df.unpersist()
                 persisted.clear()
-        else:
-            new = materialize(nxt, partitions=parts)
-            persisted.append(new)
-        delta = None
-        if tol is not None:
-            delta = (new.join(state.select("id", F.col("rank").alias("_old")), "id")
-                        .agg(F.max(F.abs(F.col("rank") - F.col("_old")))).first()[0])
-        state = new
-        states.append(state)
-        if tol is not None and (delta is None or delta < tol):
-            if not (every == 1 or i % every == 0 or last):
-                state = cut_lineage(state, partitions=parts)
-                states[-1] = state
-            break
+            written = new if cut else written
+            state = new
+            if keep_states:
+                states.append(state)
+            if stop:
+                break
+    except BaseException:
+        for df in persisted:
+            df.unpersist()
+        raise
     return (state, states) if keep_states else state
 
 
@@ -382,6 +418,22 @@ def pagerank_metrics(graph: Graph, alpha: float = 0.15, max_iter: int = 10,
     return out
 
 
+def pagerank_convergence(graph: Graph, alpha: float = 0.15, tol: float = 1e-6, max_iter: int = 100,
+                         salt_chunk: int = DEFAULT_SALT_CHUNK) -> DataFrame:
+    """(step, max_delta, stopped) of every step until the largest change of a
+    rank is below ``tol`` (stopped) or ``max_iter`` steps are done: one row a
+    step, gathered while the loop runs."""
+    deltas: list = []
+    prepared = prepare(graph, salt_chunk)
+    try:
+        if prepared.n:
+            drop_checkpoint(iterate(prepared, max_iter, alpha, tol=tol, deltas=deltas))
+    finally:
+        prepared.release()
+    rows = [(i, d, d < tol) for i, d in enumerate(deltas, 1)]
+    return graph.edges.sparkSession.createDataFrame(rows, "step int, max_delta double, stopped boolean")
+
+
 def pagerank_graphx(graph: Graph, reset_probability: float = 0.15, max_iter: int = 10,
                     salt_chunk: int = DEFAULT_SALT_CHUNK) -> DataFrame:
     """(id, pagerank) under the GraphX/GraphFrames static convention.
@@ -397,13 +449,14 @@ def pagerank_graphx(graph: Graph, reset_probability: float = 0.15, max_iter: int
     parts = prepared.partitions
 
     def rank_sql(_view: str) -> str:
-        return (f"({_dbl(reset_probability)} + {_dbl(1.0 - reset_probability)}"
+        return (f"({double_literal(reset_probability)} + {double_literal(1.0 - reset_probability)}"
                 f" * coalesce(c.p, 0D))")
 
     try:
         state = cut_lineage(prepared.state0, partitions=parts)
         for _ in range(max_iter):
-            state = cut_lineage(_next_state(prepared, state, rank_sql), partitions=parts)
+            before, state = state, cut_lineage(_next_state(prepared, state, rank_sql), partitions=parts)
+            drop_checkpoint(before)
     finally:
         prepared.release()
     correction = F.lit(float(prepared.n)) / state.agg(F.sum("rank")).scalar()

@@ -6,13 +6,15 @@
 * ``seq``    part -> next part inside an order (by line number, part, supplier).
 * ``web``    page_id -> every ``href`` of its html; repeated links count.
 * ``states`` event type -> next event type of the same user (by ts, event_id).
+* ``relay``  the two heaviest links of every part in ``seq``.
+* ``chain``  ``relay``, and customer <-> nation beside it.
 
 All read whole tables; only the columns needed reach the parquet scan.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.graph import Graph, edges_from_pairs
@@ -99,3 +101,24 @@ def states_graph(spark: SparkSession, sf_dir: str) -> Graph:
     events = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type")
     pairs = consecutive_pairs(events, "user_id", ["ts", "event_id"], "event_type")
     return Graph(edges_from_pairs(pairs, "src", "dst", "cnt"))
+
+
+def relay_edges(spark: SparkSession, sf_dir: str, most: int = 2) -> DataFrame:
+    """The ``most`` heaviest links of every part in the sequence graph (of equal
+    ones the smallest targets); Spark limits each group before its shuffle."""
+    heaviest = Window.partitionBy("src").orderBy(F.desc("cnt"), "dst")
+    return (seq_graph(spark, sf_dir).edges.withColumn("_nr", F.row_number().over(heaviest))
+            .where(F.col("_nr") <= most).drop("_nr"))
+
+
+def relay_graph(spark: SparkSession, sf_dir: str) -> Graph:
+    return Graph(relay_edges(spark, sf_dir))
+
+
+def chain_graph(spark: SparkSession, sf_dir: str) -> Graph:
+    """The relay links of the parts, and beside them every customer linked both
+    ways with their nation: chains of period 2 around 25 growing hubs."""
+    lives = table(spark, sf_dir, "customer").select(_prefixed("C", "c_custkey").alias("c"), _prefixed("N", "c_nationkey").alias("n"))
+    lives = lives.where("c IS NOT NULL AND n IS NOT NULL")
+    both = lives.select(F.col("c").alias("src"), F.col("n").alias("dst")).unionByName(lives.select(F.col("n").alias("src"), F.col("c").alias("dst")))
+    return Graph(relay_edges(spark, sf_dir).unionByName(both.select("src", "dst", F.lit(1).cast("bigint").alias("cnt"))))

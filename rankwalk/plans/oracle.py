@@ -71,6 +71,19 @@ ORDER_DEGREES = """SELECT 'C' || o.o_custkey AS id, COUNT(l.l_orderkey) AS out_d
 FROM orders o LEFT JOIN lineitem l ON o.o_orderkey = l.l_orderkey GROUP BY o.o_orderkey, o.o_custkey"""
 
 
+RELAY_EDGES = f"""
+SELECT src, dst, cnt FROM ({SEQ_EDGES}) s QUALIFY ROW_NUMBER() OVER (PARTITION BY src ORDER BY cnt DESC, dst) <= 2
+"""
+
+CHAIN_EDGES = f"""
+SELECT src, dst, cnt FROM ({RELAY_EDGES}) r
+UNION ALL SELECT 'C' || CAST(c_custkey AS VARCHAR), 'N' || CAST(c_nationkey AS VARCHAR), 1 FROM customer
+UNION ALL SELECT 'N' || CAST(c_nationkey AS VARCHAR), 'C' || CAST(c_custkey AS VARCHAR), 1 FROM customer
+"""
+
+GRAPHS |= {"relay": (RELAY_EDGES, None), "chain": (CHAIN_EDGES, None)}
+
+
 def graph_ctes(graph: str, binary: bool = False) -> str:
     """CTEs e(src,dst,cnt), v(id), deg(src,deg,n_targets),
     vt(id,dangling,out_degree), w(src,dst,w), n(n) for a named graph.
@@ -179,6 +192,64 @@ def with_graph(graph: str, body: str, binary: bool = False) -> str:
     return f"WITH {graph_ctes(graph, binary)}\n{body}"
 
 
+def hops_sql(graph: str) -> str:
+    """Breadth-first search: each turn adds the nodes that have no distance yet."""
+    return f"""WITH RECURSIVE {graph_ctes(graph)},
+bfs(id, hops) USING KEY (id) AS (
+  SELECT MIN(id), CAST(0 AS BIGINT) FROM v HAVING MIN(id) IS NOT NULL
+  UNION SELECT e.dst, MIN(b.hops) + 1 FROM bfs b JOIN e ON e.src = b.id
+  WHERE e.dst NOT IN (SELECT id FROM recurring.bfs) GROUP BY e.dst)
+SELECT v.id, bfs.hops FROM v LEFT JOIN bfs ON v.id = bfs.id"""
+
+
+def paths_sql(graph: str) -> str:
+    """Least sums of 1 / cnt: nodes are improved until none can be."""
+    return f"""WITH RECURSIVE {graph_ctes(graph)},
+paths(id, dist) USING KEY (id) AS (
+  SELECT MIN(id), CAST(0 AS DOUBLE) FROM v HAVING MIN(id) IS NOT NULL
+  UNION SELECT x.id, x.dist FROM (SELECT e.dst AS id, MIN(p.dist + CAST(1 AS DOUBLE) / e.cnt) AS dist
+                                  FROM paths p JOIN e ON e.src = p.id GROUP BY e.dst) x
+  LEFT JOIN recurring.paths r ON r.id = x.id WHERE r.id IS NULL OR x.dist < r.dist)
+SELECT v.id, {_r("paths.dist", "dist")} FROM v LEFT JOIN paths ON v.id = paths.id"""
+
+
+def components_sql(graph: str) -> str:
+    """CTEs ending in scc (id, component): nodes that reach each other."""
+    return f"""{graph_ctes(graph)},
+reach AS (SELECT src, dst FROM e UNION SELECT r.src, e.dst FROM reach r JOIN e ON e.src = r.dst),
+mutual AS (SELECT a.src AS id, a.dst AS other FROM reach a JOIN reach b ON a.src = b.dst AND a.dst = b.src),
+scc AS MATERIALIZED (SELECT v.id, LEAST(v.id, MIN(mutual.other)) AS component FROM v LEFT JOIN mutual ON v.id = mutual.id GROUP BY v.id)"""
+
+
+def strong_components_sql(graph: str) -> str:
+    return f"""WITH RECURSIVE {components_sql(graph)}
+SELECT id, component, COUNT(*) OVER (PARTITION BY component) AS size FROM scc"""
+
+
+def chain_structure_sql(graph: str) -> str:
+    return f"""WITH RECURSIVE {components_sql(graph)},
+known AS MATERIALIZED (SELECT e.src, e.dst, a.component AS from_c, b.component AS to_c FROM e JOIN scc a ON a.id = e.src JOIN scc b ON b.id = e.dst),
+inside AS MATERIALIZED (SELECT src, dst, from_c AS component FROM known WHERE from_c = to_c),
+levels(id, level) USING KEY (id) AS (
+  SELECT DISTINCT component, CAST(0 AS BIGINT) FROM scc
+  UNION SELECT i.dst, MIN(l.level) + 1 FROM levels l JOIN inside i ON i.src = l.id WHERE i.dst NOT IN (SELECT id FROM recurring.levels) GROUP BY i.dst),
+differences AS (SELECT DISTINCT component, abs(a.level + 1 - b.level) AS d FROM inside JOIN levels a ON a.id = src JOIN levels b ON b.id = dst),
+periods AS (SELECT component, list_reduce(list(d), lambda x, y: gcd(x, y)) AS period FROM differences GROUP BY component)
+SELECT scc.component, COUNT(*) AS size, scc.component NOT IN (SELECT from_c FROM known WHERE from_c <> to_c) AS closed,
+       CAST(NULLIF(ANY_VALUE(period), 0) AS BIGINT) AS period
+FROM scc LEFT JOIN periods ON periods.component = scc.component GROUP BY scc.component"""
+
+
+def convergence_sql(graph: str, steps: int, alpha: float, tol: float) -> str:
+    deltas = " UNION ALL ".join(f"SELECT {k} AS step, MAX(ABS(a.rank - b.rank)) AS max_delta FROM r{k} a JOIN r{k - 1} b ON a.id = b.id"
+                                for k in range(1, steps + 1))
+    return f"""WITH {graph_ctes(graph)},
+{rank_steps(steps, alpha)},
+d AS MATERIALIZED ({deltas})
+SELECT step, {_r("max_delta", "max_delta")}, max_delta < {tol!r} AS stopped FROM d
+WHERE step <= COALESCE((SELECT MIN(step) FROM d WHERE max_delta < {tol!r}), {steps})"""
+
+
 def _adjacency_list_sql(max_per_row: int = 10_000) -> str:
     return with_graph("seq", f""",
 parts AS (SELECT e.src, e.dst, e.cnt,
@@ -221,7 +292,8 @@ FROM range({bins}) r(bin) CROSS JOIN st LEFT JOIN c ON c.bin = r.bin""")
 
 
 def oracles(iterations: int = 10, alpha: float = 0.15, top_k: int = 20, top_degree: int = 10,
-            sample_size: int = 1000, sample_seed: int = 42, bins: int = 50) -> dict[str, str]:
+            sample_size: int = 1000, sample_seed: int = 42, bins: int = 50, tolerance: float = 1e-4,
+            most_steps: int = 30) -> dict[str, str]:
     trade = lambda body: with_graph("trade", body)
     return {
         "adjacency_parse": f"SELECT src, dst, CAST(cnt AS BIGINT) AS cnt FROM ({TRADE_EDGES}) t",
@@ -272,4 +344,12 @@ FROM ({metrics_sql('web', iterations, None, False, 'uniform', binary=True)}) x""
         "pagerank_web": pagerank_sql("web", iterations, alpha),
         "pagerank_graphx": graphx_sql("trade", iterations, alpha, "n.n"),
         "pagerank_graphx_norm": graphx_sql("trade", iterations, alpha),
+        "pagerank_convergence": convergence_sql("seq", most_steps, alpha, tolerance),
+        "hops_trade": hops_sql("trade"),
+        "hops_web": hops_sql("web"),
+        "hops_seq": hops_sql("seq"),
+        "shortest_paths_trade": paths_sql("trade"),
+        "shortest_paths_seq": paths_sql("seq"),
+        "strong_components": strong_components_sql("relay"),
+        "chain_structure": chain_structure_sql("chain"),
     }

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import eda, graph as gr, markov, pagerank as pr, report
+from ..operators import eda, graph as gr, markov, pagerank as pr, report, traversal
 from ..session import scratch_path
 from ..sources import adjacency, index, inventory
 from . import graphs
@@ -26,6 +26,8 @@ TOP_DEGREE = 10
 SAMPLE_SIZE = 1000
 SAMPLE_SEED = 42
 HIST_BINS = 50
+TOLERANCE = 1e-8
+MOST_STEPS = 30
 
 
 def _round(col: str, alias: str | None = None):
@@ -230,6 +232,45 @@ def q_pagerank_graphx_norm(spark, sf):
     return ranks.select("id", F.round(F.col("pagerank") / n, RANK_DIGITS).alias("pagerank"))
 
 
+def q_pagerank_convergence(spark, sf):
+    """Largest change of a rank in every step, until it is below the tolerance."""
+    steps = pr.pagerank_convergence(graphs.seq_graph(spark, sf), ALPHA, TOLERANCE, MOST_STEPS)
+    return steps.select("step", _round("max_delta"), "stopped")
+
+
+# ---------------------------------------------------------------- traversal
+
+def q_hops_trade(spark, sf):
+    return traversal.hop_distances(graphs.trade_graph(spark, sf))
+
+
+def q_hops_web(spark, sf):
+    return traversal.hop_distances(graphs.web_graph(spark, sf))
+
+
+def q_hops_seq(spark, sf):
+    return traversal.hop_distances(graphs.seq_graph(spark, sf))
+
+
+def q_shortest_paths_trade(spark, sf):
+    """A link costs less the more line items it stands for."""
+    return traversal.distances(graphs.trade_graph(spark, sf), cost="1D / l.cnt", width=0.25).select("id", _round("dist"))
+
+
+def q_shortest_paths_seq(spark, sf):
+    return traversal.distances(graphs.seq_graph(spark, sf), cost="1D / l.cnt", width=0.25).select("id", _round("dist"))
+
+
+def q_strong_components(spark, sf):
+    found = pr.cut_lineage(traversal.strong_components(graphs.relay_graph(spark, sf)), mode="parquet")
+    sizes = pr.cut_lineage(found.groupBy("component").agg(F.count(F.lit(1)).alias("size")), mode="parquet")
+    return found.join(sizes, "component").select("id", "component", "size")
+
+
+def q_chain_structure(spark, sf):
+    return traversal.chain_structure(graphs.chain_graph(spark, sf))
+
+
 # ---------------------------------------------------------------- reports
 
 def _titled_top(spark, sf):
@@ -288,6 +329,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pagerank_web": q_pagerank_web,
     "pagerank_graphx": q_pagerank_graphx,
     "pagerank_graphx_norm": q_pagerank_graphx_norm,
+    "pagerank_convergence": q_pagerank_convergence,
+    "hops_trade": q_hops_trade,
+    "hops_web": q_hops_web,
+    "hops_seq": q_hops_seq,
+    "shortest_paths_trade": q_shortest_paths_trade,
+    "shortest_paths_seq": q_shortest_paths_seq,
+    "strong_components": q_strong_components,
+    "chain_structure": q_chain_structure,
 }
 
 
