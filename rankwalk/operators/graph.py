@@ -19,7 +19,19 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Column
 from pyspark.sql import functions as F
 
-from ..functions.exprs import md5_bucket
+from ..session import scratch_path
+from .sequence import numbered
+
+SALT_CHUNK = 1_000_000              # edges of one source that a task gets at most
+HUB_BROADCAST_MAX = 100_000         # sources with more are broadcast only below this count
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared checkpoint folder: evaluated once, and
+    on either side of a join Spark can split a hot key's partition."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 @dataclass(frozen=True)
@@ -63,10 +75,13 @@ def edges_from_records(records: DataFrame, node: str = "node", links: str = "lin
     shuffled once on (src, dst); the set merge and the sum then both run
     inside that partitioning (one exchange instead of two).
     """
-    pairs = (records.select(F.col(node).cast("string").alias("src"),
-                            F.explode(F.col(links)).alias("dst", "cnt"))
-                    .select("src", "dst", F.col("cnt").cast("bigint").alias("cnt"))
-                    .where(F.col("src").isNotNull() & F.col("dst").isNotNull()))
+    return _merged(records.select(F.col(node).cast("string").alias("src"), F.explode(F.col(links)).alias("dst", "cnt")))
+
+
+def _merged(links: DataFrame) -> DataFrame:
+    """Exploded record links (src, dst, cnt) -> edge table."""
+    pairs = (links.select("src", "dst", F.col("cnt").cast("bigint").alias("cnt"))
+                  .where(F.col("src").isNotNull() & F.col("dst").isNotNull()))
     return (pairs.repartition("src", "dst").distinct()
                  .groupBy("src", "dst").agg(F.sum("cnt").alias("cnt"))
                  .where(F.col("cnt") > 0))
@@ -86,11 +101,15 @@ def graph_from_pairs(df: DataFrame, src="src", dst="dst", cnt=None) -> Graph:
 
 def graph_from_records(records: DataFrame, node: str = "node", links: str = "links") -> Graph:
     """Every record id is a node (an empty link list makes a sink), and so is
-    every target named with a count <= 0 (its link is dropped, the node stays)."""
-    ids = records.select(F.col(node).cast("string").alias("id"))
-    zero_targets = records.select(
-        F.explode(F.map_keys(F.map_filter(F.col(links), lambda k, v: v <= 0))).alias("id"))
-    return Graph(edges_from_records(records, node, links), ids.unionByName(zero_targets))
+    every target named with a count <= 0 (its link is dropped, the node stays).
+
+    The records are read and parsed once: one exploded table, with a row of a
+    null target for an empty record, gives the edges, the record ids and the
+    targets without a link.
+    """
+    every = written(records.select(F.col(node).cast("string").alias("src"), F.explode_outer(F.col(links)).alias("dst", "cnt")), "record-links")
+    ids = every.select(F.col("src").alias("id")).unionByName(every.where("cnt <= 0").select(F.col("dst").alias("id")))
+    return Graph(_merged(every), ids.where("id is not null").distinct())
 
 
 def out_degree(edges: DataFrame) -> DataFrame:
@@ -104,17 +123,31 @@ def in_degree(edges: DataFrame) -> DataFrame:
     return edges.groupBy("dst").agg(F.sum("cnt").alias("in_degree"))
 
 
-def transition_weights(edges: DataFrame) -> DataFrame:
-    """(src, dst, w) with ``w = cnt / sum(cnt) over src``.
+def with_source_totals(edges: DataFrame, salt_chunk: int = SALT_CHUNK) -> DataFrame:
+    """Every edge with its source's ``out_degree`` and ``n_targets``, in two
+    phases, so that no task gets more than ``salt_chunk`` edges of one source.
 
-    Written as aggregate + equi-join rather than a window: the per-source
-    sum is combined map-side.  AQE does not split a hot source in this join
-    (an aggregate stands between the degree side's exchange and the join), so
-    above the broadcast threshold its edges meet in one task.
+    Edges and totals are written once.  Sources with more than ``salt_chunk``
+    targets (at most E / salt_chunk) meet their edges where these lie, by a
+    broadcast after a count shows at most ``HUB_BROADCAST_MAX`` of them; all
+    other sources are joined by a shuffle on the source.  More hubs than that
+    are shuffled too, between two plain tables, which Spark splits by size.
     """
-    deg = edges.groupBy("src").agg(F.sum("cnt").alias("_deg"))
-    return (edges.join(deg, "src")
-                 .select("src", "dst", (F.col("cnt") / F.col("_deg")).alias("w")))
+    edges = written(edges.select("src", "dst", "cnt"), "edges")
+    totals = written(out_degree(edges), "totals")
+    hubs = totals.where(F.col("n_targets") > salt_chunk)
+    n_hubs = hubs.limit(HUB_BROADCAST_MAX + 1).count()
+    if not n_hubs:
+        return edges.join(totals, "src")
+    hubs = F.broadcast(hubs) if n_hubs <= HUB_BROADCAST_MAX else written(hubs, "hubs")
+    few = totals.where(F.col("n_targets") <= salt_chunk)
+    return (edges.join(hubs.select("src"), "src", "left_anti").join(few, "src")
+            .unionByName(edges.join(hubs, "src")))
+
+
+def transition_weights(edges: DataFrame, salt_chunk: int = SALT_CHUNK) -> DataFrame:
+    """(src, dst, w) with ``w = cnt / sum(cnt) over src``; a hot source is split."""
+    return with_source_totals(edges, salt_chunk).select("src", "dst", (F.col("cnt") / F.col("out_degree")).alias("w"))
 
 
 def dangling(graph: Graph) -> DataFrame:
@@ -142,26 +175,11 @@ def init_graph(graph: Graph) -> DataFrame:
     return vt.select("id", "dangling", "out_degree", (F.lit(1.0) / n).alias("rank"))
 
 
-def adjacency_list(graph: Graph, max_per_row: int = 10_000) -> DataFrame:
-    """(id, part, neighbors ARRAY<STRING>, counts ARRAY<BIGINT>, n_neighbors).
-
-    One row per node with its sorted targets and their multiplicities; a
-    sink gets one row with empty arrays.  A node with more than
-    ``max_per_row`` targets is split over ``ceil(n / max_per_row)`` rows
-    (``part`` = md5 bucket of the target), so no row, task or group ever
-    holds an unbounded list; nothing is dropped.
-    """
-    deg = out_degree(graph.edges).select(
-        "src", F.greatest(F.lit(1), F.ceil(F.col("n_targets") / F.lit(max_per_row))).alias("_parts"))
-    parts = (graph.edges.join(deg.hint("shuffle_hash"), "src")
-             .select("src", "dst", "cnt", md5_bucket(F.col("dst"), F.col("_parts")).alias("part"))
-             .groupBy("src", "part")
-             .agg(F.sort_array(F.collect_list(F.struct("dst", "cnt"))).alias("_l"))
-             .select("src", "part", F.col("_l.dst").alias("neighbors"),
-                     F.col("_l.cnt").alias("counts")))
-    v = graph.vertices
-    return (v.join(parts, v.id == parts.src, "left")
-            .select("id",
-                    F.coalesce("part", F.lit(0)).cast("bigint").alias("part"),
-                    F.coalesce("neighbors", F.array().cast("array<string>")).alias("neighbors"),
-                    F.coalesce("counts", F.array().cast("array<bigint>")).alias("counts")))
+def adjacency_list(graph: Graph) -> DataFrame:
+    """(id, position, neighbor, count): each node's targets in order, one row a
+    target under the node's own key, whatever its degree; a sink has one row
+    at position 0 without a neighbour.  No row or task holds a whole list."""
+    listed = numbered(graph.edges.select(F.col("src").alias("id"), F.col("dst").alias("neighbor"), F.col("cnt").alias("count")),
+                      "id", ["neighbor"])
+    none = [F.lit(0).cast("bigint").alias("position"), F.lit(None).cast("string").alias("neighbor"), F.lit(None).cast("bigint").alias("count")]
+    return listed.select("id", "position", "neighbor", "count").unionByName(dangling(graph).select("id", *none))

@@ -6,7 +6,8 @@
   to sum 1; a sink has no row (its row is all zero).
 * power iteration: x <- x T, a fixed number of steps, no sink handling and no
   teleport (the plain chain; mass held by sinks leaks away).
-* power iteration by squaring: T <- T T, k times, then x T: 2^k hops.
+* power iteration by squaring: T <- T T, k times, then x T: 2^k hops, with T
+  as a matrix of blocks.
 
 Vector steps reuse the PageRank machinery (static, salted, persisted weights;
 one checkpoint per step).
@@ -14,13 +15,24 @@ one checkpoint per step).
 
 from __future__ import annotations
 
+import sys
+
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .graph import Graph
+from .graph import Graph, written
+from .sequence import numbered
 from . import pagerank as pr
 
-DENSE_SQUARING_MAX_NODES = 512
+BLOCK, HELD, BATCH = 256, 64, 16
+BLOCK_SCHEMA = "bi long, bj long, data binary"
+
+# The block functions travel to the Python workers by value, so the executors
+# need numpy and pyarrow only, not this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def adjacency_matrix(graph: Graph) -> DataFrame:
@@ -87,42 +99,96 @@ def mass_trace(graph: Graph, steps: int, start: str = "uniform", binary: bool =
     return out
 
 
+def _blocks(entries: DataFrame) -> DataFrame:
+    """(i, j, prob), i and j from 0 -> (bi, bj, data): the blocks with an entry,
+    each a dense BLOCK x BLOCK matrix of doubles (a group has that many entries
+    at most)."""
+    def dense(key, group):
+        block = np.zeros((BLOCK, BLOCK))
+        block[group["i"].to_numpy() % BLOCK, group["j"].to_numpy() % BLOCK] = group["prob"].to_numpy()
+        return pa.table([pa.array([k.as_py()]) for k in key] + [pa.array([block.tobytes()], pa.binary())], names=["bi", "bj", "data"])
+
+    at = lambda c: F.floor(F.col(c) / BLOCK).cast("bigint")
+    return (entries.withColumns({"bi": at("i"), "bj": at("j")}).groupBy("bi", "bj")
+            .applyInArrow(dense, BLOCK_SCHEMA))
+
+
+def _matrix(data) -> np.ndarray:
+    return np.frombuffer(data.as_buffer(), dtype=np.float64).reshape(BLOCK, BLOCK)
+
+
+def _row(bi: int, bj: int, block: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([bi]), pa.array([bj]), pa.array([block.tobytes()], pa.binary())], ["bi", "bj", "data"])
+
+
 def matrix_product(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Sparse product of two (src, dst, prob) matrices."""
-    return (a.alias("a").join(b.alias("b"), F.col("a.dst") == F.col("b.src"))
-             .groupBy(F.col("a.src").alias("src"), F.col("b.dst").alias("dst"))
-             .agg(F.sum(F.col("a.prob") * F.col("b.prob")).alias("prob")))
+    """Product of two block matrices (bi, bj, data).  Blocks meet on the inner
+    index; a task adds up the products of equal (bi, bj) before they are
+    shuffled (up to HELD at a time) and adds the shuffled sums one by one, so it
+    never holds more than HELD + 2 blocks, however large the matrix is."""
+
+    def multiply(batches):
+        held: dict = {}
+        for batch in batches:
+            for bi, bj, x, y in zip(*batch.columns):
+                key = (bi.as_py(), bj.as_py())
+                product = _matrix(x) @ _matrix(y)
+                held[key] = held[key] + product if key in held else product
+                if len(held) > HELD:
+                    yield from (_row(*k, m) for k, m in held.items())
+                    held = {}
+        yield from (_row(*k, m) for k, m in held.items())
+
+    def add(batches):
+        key, total = None, None
+        for batch in batches:
+            for bi, bj, data in zip(*batch.columns):
+                now = (bi.as_py(), bj.as_py())
+                if key not in (None, now):
+                    yield _row(*key, total)
+                key, total = now, _matrix(data) if key != now else total + _matrix(data)
+        if key is not None:
+            yield _row(*key, total)
+
+    pairs = (a.select(F.col("bi"), F.col("bj").alias("k"), F.col("data").alias("x"))
+             .join(b.select(F.col("bi").alias("k"), F.col("bj"), F.col("data").alias("y")), "k"))
+    # Same inner index next to each other: partial sums of many (bi, bj) in few flushes.
+    partial = pairs.select("bi", "bj", "x", "y").mapInArrow(multiply, BLOCK_SCHEMA)
+    return partial.repartition("bi", "bj").sortWithinPartitions("bi", "bj").mapInArrow(add, BLOCK_SCHEMA)
 
 
 def power_iteration_squaring(graph: Graph, squarings: int, start: str = "first",
-                             binary: bool = True,
-                             max_dense_nodes: int = DENSE_SQUARING_MAX_NODES) -> DataFrame:
+                             binary: bool = True) -> DataFrame:
     """(id, mass) after 2^``squarings`` hops, computed as x T^(2^k).
 
-    Squaring fills the matrix in (up to n^2 entries, n^3 products per
-    squaring), so it runs only when the chain has at most
-    ``max_dense_nodes`` states - a size checked with a count before any
-    product.  Larger chains get the same result from 2^k sparse vector
-    steps (work linear in the edges per hop).  0 squarings = 1 hop.
+    T is squared as a block matrix of which only blocks with an entry are
+    stored; the same path for every size.  Squaring fills the matrix in (up to
+    n^2 entries, as the method itself does).  0 squarings = 1 hop.
     """
-    g = binary_graph(graph) if binary else graph
-    n = g.vertices.count()
-    hops = 2 ** squarings
-    if n > max_dense_nodes:
-        return power_iteration(graph, hops, start, binary)
-    parts = pr.loop_partitions(g.edges.sparkSession, n * n)   # at most n^2 entries
-    t = pr.cut_lineage(transition_matrix(g, binary=False), partitions=parts)
-    for _ in range(squarings):
-        t = pr.cut_lineage(matrix_product(t, t), partitions=parts)
-    v = g.vertices
     if start not in ("first", "uniform"):
         raise ValueError(f"unknown start {start!r}")
-    if start == "uniform":
-        x = v.withColumn("mass", F.lit(1.0 / max(n, 1)))
-    else:
-        first = v.agg(F.min("id")).scalar()
-        x = v.withColumn("mass", F.when(F.col("id") == first, F.lit(1.0)).otherwise(F.lit(0.0)))
-    moved = (x.join(t, x.id == t.src).groupBy("dst")
-              .agg(F.sum(F.col("mass") * F.col("prob")).alias("_m")))
-    return (v.join(moved, v.id == moved.dst, "left")
-             .select("id", F.coalesce("_m", F.lit(0.0)).alias("mass")))
+    g = binary_graph(graph) if binary else graph
+    spark = g.edges.sparkSession
+    ids = written(numbered(g.vertices.withColumn("_all", F.lit(0)), "_all", ["id"], "nr").select("id", (F.col("nr") - 1).alias("nr")), "states")
+    n = ids.count()
+    end = lambda c, nr: ids.select(F.col("id").alias(c), F.col("nr").alias(nr))
+    entries = transition_matrix(g, binary=False).join(end("src", "i"), "src").join(end("dst", "j"), "dst")
+    # A batch of blocks is BATCH times their size.
+    with pr.session_conf(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH)}):
+        t = written(_blocks(entries.select("i", "j", "prob")), "blocks")
+        for _ in range(squarings):
+            t = written(matrix_product(t, t), "blocks")
+
+        def move(batches):
+            """x T, block by block: (nr, mass) of every column that gets any."""
+            for batch in batches:
+                for bi, bj, data in zip(*batch.columns):
+                    block, bi = _matrix(data), bi.as_py()
+                    mass = block[0] * float(bi == 0) if start == "first" else block.sum(axis=0) / n
+                    at = np.flatnonzero(mass)
+                    yield pa.RecordBatch.from_arrays([pa.array(at + bj.as_py() * BLOCK), pa.array(mass[at])], ["nr", "part"])
+
+        rows = t.where("bi = 0") if start == "first" else t
+        moved = written(rows.mapInArrow(move, "nr long, part double"), "moved")
+    moved = moved.groupBy("nr").agg(F.sum("part").alias("part"))
+    return ids.join(moved, "nr", "left").select("id", F.coalesce("part", F.lit(0.0)).alias("mass"))

@@ -47,11 +47,10 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .graph import Graph, out_degree
+from .graph import HUB_BROADCAST_MAX, SALT_CHUNK, Graph, out_degree, written
 from ..session import ensure_checkpoint_dir, scratch_path
 
-DEFAULT_SALT_CHUNK = 1_000_000      # target links per (hub, salt) bucket
-HUB_BROADCAST_MAX = 100_000         # hub rows are broadcast only below this count
+DEFAULT_SALT_CHUNK = SALT_CHUNK     # target links per (hub, salt) bucket
 EDGES_PER_PARTITION = 4_000_000     # sizing of the loop's fixed partitioning
 
 
@@ -126,7 +125,7 @@ def _prepare(graph: Graph, salt_chunk: int, initial: str, partitions: int | None
     # The raw edge table is cached with AQE allowed to coalesce its shuffle
     # partitions by their real size (cached plans otherwise keep the session's
     # partition count, e.g. 2 x 200 near-empty partitions for a small graph).
-    with _session_conf(spark, {"spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true"}):
+    with session_conf(spark, {"spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true"}):
         edges = persisted(graph.edges.select("src", "dst", "cnt"))
     deg = out_degree(edges)
     # One pass over the source fills the edge cache and sizes the job.
@@ -136,7 +135,8 @@ def _prepare(graph: Graph, salt_chunk: int, initial: str, partitions: int | None
     parts = partitions or loop_partitions(spark, stats["links"])
     hubs = (deg.where(F.col("n_targets") > salt_chunk)
                .select("src", F.ceil(F.col("n_targets") / F.lit(salt_chunk)).cast("int").alias("nsalt")))
-    hub_side = F.broadcast(hubs) if n_hubs <= HUB_BROADCAST_MAX else hubs
+    # Beyond the broadcast a written table: Spark then splits a hub's partition.
+    hub_side = F.broadcast(hubs) if n_hubs <= HUB_BROADCAST_MAX else written(hubs, "hubs")
 
     hub_links = None
     plain = edges
@@ -254,7 +254,7 @@ def step(state: DataFrame, prepared: PreparedGraph, alpha: float = 0.15,
 
 
 @contextmanager
-def _session_conf(spark: SparkSession, settings: dict[str, str]):
+def session_conf(spark: SparkSession, settings: dict[str, str]):
     """Apply SQL settings for the duration of a block, then restore them."""
     old = {k: spark.conf.get(k, None) for k in settings}
     for k, v in settings.items():
@@ -275,7 +275,7 @@ def _static_planning(spark: SparkSession, partitions: int | None):
     settings = {"spark.sql.adaptive.enabled": "false"}
     if partitions:
         settings["spark.sql.shuffle.partitions"] = str(partitions)
-    return _session_conf(spark, settings)
+    return session_conf(spark, settings)
 
 
 def cut_lineage(df: DataFrame, mode: str = "checkpoint", partitions: int | None = None) -> DataFrame:

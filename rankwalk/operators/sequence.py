@@ -22,7 +22,7 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, scratch_path
 
 # The per-partition function travels to the Python workers by value, so the
 # executors need numpy/pandas only, not this package on their path.
@@ -93,3 +93,30 @@ def consecutive_pairs(df: DataFrame, group: str, order: list[str], value: str,
                 .select("src", "dst", F.lit(1).cast("long").alias("cnt")))
     inner = walked.where("edge = 0").select("src", "dst", "cnt")
     return inner.unionByName(straddle).groupBy("src", "dst").agg(F.sum("cnt").alias("cnt"))
+
+
+def numbered(df: DataFrame, group: str, order: list[str], name: str = "position",
+             partitions: int | None = None) -> DataFrame:
+    """``df`` with the place (1, 2, ...) of each row in its group, in the order
+    of ``order`` (which must tell the rows of a group apart).
+
+    Equivalent to ``row_number() over (partition by group order by order...)``,
+    but a hot group is range-split over as many tasks as its size needs: rows
+    are numbered within their partition, and the only groups that need an
+    offset are those that go on from an earlier partition - one a partition at
+    most, so the table of offsets is broadcast.
+    """
+    spark = df.sparkSession
+    keys = [group, *order]
+    parts = partitions or max(spark.sparkContext.defaultParallelism, -(-df.count() // ROWS_PER_TASK))
+    path = scratch_path(spark, "numbered")
+    (df.repartitionByRange(parts, *keys).withColumn("_part", F.spark_partition_id())).write.parquet(path)
+    placed = spark.read.parquet(path)
+    sizes = placed.groupBy("_part", group).agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (sizes.select("_part", F.col(group).alias("_group"), F.sum("_n").over(earlier).alias("_before"))
+               .where("_before > 0").withColumnRenamed("_part", "_at"))
+    within = Window.partitionBy("_part", group).orderBy(*order)
+    here = (F.col("_part") == F.col("_at")) & F.col(group).eqNullSafe(F.col("_group"))
+    return (placed.withColumn("_nr", F.row_number().over(within)).join(F.broadcast(offsets), here, "left")
+            .select(*df.columns, (F.col("_nr") + F.coalesce("_before", F.lit(0))).cast("bigint").alias(name)))

@@ -250,21 +250,10 @@ SELECT step, {_r("max_delta", "max_delta")}, max_delta < {tol!r} AS stopped FROM
 WHERE step <= COALESCE((SELECT MIN(step) FROM d WHERE max_delta < {tol!r}), {steps})"""
 
 
-def _adjacency_list_sql(max_per_row: int = 10_000) -> str:
-    return with_graph("seq", f""",
-parts AS (SELECT e.src, e.dst, e.cnt,
-                 CAST('0x' || substr(md5(e.dst), 1, 8) AS BIGINT)
-                     % GREATEST(1, CAST(CEIL(deg.n_targets / {float(max_per_row)!r}) AS BIGINT)) AS part
-          FROM e JOIN deg ON e.src = deg.src),
-lists AS (SELECT src, part,
-                 string_agg(dst, ',' ORDER BY dst) AS neighbors,
-                 string_agg(CAST(cnt AS VARCHAR), ',' ORDER BY dst) AS counts,
-                 COUNT(*) AS n_neighbors
-          FROM parts GROUP BY src, part)
-SELECT v.id, CAST(COALESCE(l.part, 0) AS BIGINT) AS part,
-       COALESCE(l.neighbors, '') AS neighbors, COALESCE(l.counts, '') AS counts,
-       CAST(COALESCE(l.n_neighbors, 0) AS BIGINT) AS n_neighbors
-FROM v LEFT JOIN lists l ON v.id = l.src""")
+def _adjacency_list_sql() -> str:
+    return with_graph("seq", """
+SELECT src AS id, ROW_NUMBER() OVER (PARTITION BY src ORDER BY dst) AS position, dst AS neighbor, cnt AS count FROM e
+UNION ALL SELECT id, 0, NULL, NULL FROM vt WHERE dangling""")
 
 
 def _histogram_sql(bins: int, sample: tuple[int, int] | None = None) -> str:
@@ -338,6 +327,7 @@ ORDER BY md5(src || '{sample_seed}') LIMIT {sample_size}"""),
         "transition_matrix_web": with_graph("web", "SELECT src, dst, w AS prob FROM w", binary=True),
         "power_iteration": vector_sql("seq", iterations, "first"),
         "power_iteration_squaring": vector_sql("states", 2 ** 3, "first"),
+        "power_iteration_squaring_seq": vector_sql("seq", 2 ** 3, "first"),
         "mass_trace": f"""SELECT step, {_r('total_mass', 'total_mass')}
 FROM ({metrics_sql('web', iterations, None, False, 'uniform', binary=True)}) x""",
         "pagerank": pagerank_sql("trade", iterations, alpha),
@@ -345,6 +335,15 @@ FROM ({metrics_sql('web', iterations, None, False, 'uniform', binary=True)}) x""
         "pagerank_graphx": graphx_sql("trade", iterations, alpha, "n.n"),
         "pagerank_graphx_norm": graphx_sql("trade", iterations, alpha),
         "pagerank_convergence": convergence_sql("seq", most_steps, alpha, tolerance),
+        "node_count_sketches": trade("""
+SELECT COALESCE(substr(id, 1, 1), '*') AS kind, COUNT(*) AS nodes, true AS within, true AS as_direct FROM v
+GROUP BY GROUPING SETS ((substr(id, 1, 1)), ())"""),
+        "record_edges": """
+SELECT src, dst, CAST(SUM(cnt) AS BIGINT) AS cnt FROM (
+    SELECT DISTINCT 'C' || CAST(o_custkey AS VARCHAR) AS src, 'P' || CAST(l_partkey AS VARCHAR) AS dst, n AS cnt
+    FROM (SELECT l_orderkey, l_partkey, COUNT(*) AS n FROM lineitem GROUP BY ALL) JOIN orders ON l_orderkey = o_orderkey) GROUP BY src, dst""",
+        "topk_titled_only": f"""SELECT t.id, s_name AS title, t.rank FROM ({pagerank_topk_sql(200, iterations, alpha)}) t
+JOIN supplier ON t.id = 'S' || CAST(s_suppkey AS VARCHAR)""",
         "hops_trade": hops_sql("trade"),
         "hops_web": hops_sql("web"),
         "hops_seq": hops_sql("seq"),

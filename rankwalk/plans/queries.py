@@ -96,11 +96,7 @@ def q_in_degree(spark, sf):
 
 
 def q_adjacency_list(spark, sf):
-    lists = gr.adjacency_list(graphs.seq_graph(spark, sf))
-    return lists.select("id", "part",
-                        F.array_join("neighbors", ",").alias("neighbors"),
-                        F.array_join(F.transform("counts", lambda c: c.cast("string")), ",").alias("counts"),
-                        F.size("neighbors").cast("bigint").alias("n_neighbors"))
+    return gr.adjacency_list(graphs.seq_graph(spark, sf))
 
 
 # ---------------------------------------------------------------- EDA
@@ -146,6 +142,27 @@ def q_degree_histogram(spark, sf):
     return hist.select("bin", _round("lo"), _round("hi"), "count")
 
 
+def q_node_count_sketches(spark, sf):
+    """Nodes of each kind from stored sketches, and of all kinds from their
+    merge; 0.08 is five standard errors."""
+    nodes = graphs.trade_graph(spark, sf).vertices.withColumn("kind", F.substring("id", 1, 1))
+    sketches = gr.written(eda.node_sketches(nodes, F.col("kind")), "sketches")
+    direct = eda.merged_estimate(eda.node_sketches(nodes, F.lit("*"))).scalar()
+    near = lambda a, b: F.abs(a - b) <= 0.08 * b
+    exact = nodes.groupBy("kind").agg(F.count(F.lit(1)).alias("nodes"))
+    each = (exact.join(sketches, "kind").withColumn("found", F.hll_sketch_estimate("sketch"))
+            .select("kind", "nodes", near(F.col("found"), F.col("nodes")).alias("within"), near(F.col("found"), F.col("found")).alias("as_direct")))
+    total = (eda.merged_estimate(sketches).withColumnRenamed("nodes", "found").withColumn("nodes", exact.agg(F.sum("nodes")).scalar())
+             .select(F.lit("*").alias("kind"), "nodes", near(F.col("found"), F.col("nodes")).alias("within"), near(F.col("found"), direct).alias("as_direct")))
+    return each.unionByName(total)
+
+
+def q_record_edges(spark, sf):
+    """Set merge: a customer with several orders has several records, of which
+    equal (part, count) pairs count once."""
+    return gr.graph_from_records(graphs.order_records(spark, sf)).edges.select("src", "dst", "cnt")
+
+
 # ---------------------------------------------------------------- Markov
 
 def q_adjacency_matrix(spark, sf):
@@ -178,6 +195,12 @@ def q_power_iteration_squaring(spark, sf):
     return x.select("id", _round("mass"))
 
 
+def q_power_iteration_squaring_seq(spark, sf):
+    """The same on a chain that grows with the data: a state for every part."""
+    x = markov.power_iteration_squaring(graphs.seq_graph(spark, sf), 3, start="first")
+    return x.select("id", _round("mass"))
+
+
 def q_mass_trace(spark, sf):
     trace = markov.mass_trace(graphs.web_graph(spark, sf), ITERATIONS, start="uniform")
     return trace.select("step", _round("total_mass"))
@@ -282,6 +305,13 @@ def q_topk_with_titles(spark, sf):
     return _titled_top(spark, sf)
 
 
+def q_topk_titled_only(spark, sf):
+    """Only suppliers have titles here: the other nodes of the top 200 drop out."""
+    top = report.topk(_trade_ranks(spark, sf), 200)
+    names = graphs.table(spark, sf, "supplier").select(F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("id"), F.col("s_name").alias("title"))
+    return report.with_titles(top, names)
+
+
 def q_ranked_report(spark, sf):
     return report.ranked_lines(_titled_top(spark, sf))
 
@@ -324,12 +354,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "transition_matrix_web": q_transition_matrix_web,
     "power_iteration": q_power_iteration,
     "power_iteration_squaring": q_power_iteration_squaring,
+    "power_iteration_squaring_seq": q_power_iteration_squaring_seq,
     "mass_trace": q_mass_trace,
     "pagerank": q_pagerank,
     "pagerank_web": q_pagerank_web,
     "pagerank_graphx": q_pagerank_graphx,
     "pagerank_graphx_norm": q_pagerank_graphx_norm,
     "pagerank_convergence": q_pagerank_convergence,
+    "node_count_sketches": q_node_count_sketches,
+    "record_edges": q_record_edges,
+    "topk_titled_only": q_topk_titled_only,
     "hops_trade": q_hops_trade,
     "hops_web": q_hops_web,
     "hops_seq": q_hops_seq,

@@ -81,26 +81,15 @@ def _dict_key(key) -> F.Column:
     return F.when(plain, F.concat(F.lit("'"), key, F.lit("'"))).otherwise(escaped)
 
 
-def render_adjacency(edges: DataFrame, max_per_line: int = 10_000) -> DataFrame:
-    """Edge table (src, dst, cnt) -> adjacency lines (value STRING).
-
-    A source with more than ``max_per_line`` targets is written over several
-    lines, targets split by md5 bucket; the reader merges the lines again, so
-    no single line, row or task has to hold a hub's whole link list.
-    Targets are sorted inside a line, so the text is deterministic.
-    """
-    from ..functions.exprs import md5_bucket
-    from ..operators.graph import out_degree
-
-    parts = out_degree(edges).select(
-        "src", F.greatest(F.lit(1), F.ceil(F.col("n_targets") / F.lit(max_per_line))).alias("_parts"))
-    items = (edges.join(parts.hint("shuffle_hash"), "src")
-             .select("src", md5_bucket(F.col("dst"), F.col("_parts")).alias("_part"),
-                     F.struct("dst", "cnt").alias("_e"))
-             .groupBy("src", "_part").agg(F.sort_array(F.collect_list("_e")).alias("_l")))
+def render_adjacency(edges: DataFrame) -> DataFrame:
+    """Edge table (src, dst, cnt) -> adjacency lines (value STRING), one record
+    a source with all its targets in order, whatever their number: the format
+    keeps a node's list on one line, so a task that writes or reads it holds
+    that line."""
+    lists = edges.groupBy("src").agg(F.sort_array(F.collect_list(F.struct("dst", "cnt"))).alias("_l"))
     body = F.array_join(F.transform("_l", lambda e: F.concat(_dict_key(e["dst"]), F.lit(": "),
                                                             e["cnt"].cast("string"))), ", ")
-    return items.select(F.concat(F.col("src"), F.lit("\t{"), body, F.lit("}")).alias("value"))
+    return lists.select(F.concat(F.col("src"), F.lit("\t{"), body, F.lit("}")).alias("value"))
 
 
 def render_records(records: DataFrame) -> DataFrame:

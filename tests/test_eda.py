@@ -4,19 +4,61 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from rankwalk.operators import eda, graph as gr, report
+from rankwalk.operators.sequence import numbered
 from rankwalk.plans import graphs
 
 
-def test_adjacency_list_splits_hubs_and_keeps_every_target(spark):
-    rows = [("h", f"t{i:03d}", i % 4 + 1) for i in range(60)] + [("x", "h", 2)]
+def test_adjacency_list_numbers_a_hub_over_many_tasks(spark):
+    rows = [("h", f"t{i:05d}", i % 4 + 1) for i in range(25_000)] + [("x", "h", 2), ("a", "h", 1), ("a", "x", 3)]
     g = gr.Graph(spark.createDataFrame(rows, "src string, dst string, cnt bigint"))
-    lists = gr.adjacency_list(g, max_per_row=8).collect()
-    hub_rows = [r for r in lists if r["id"] == "h"]
-    assert len(hub_rows) > 1 and all(len(r["neighbors"]) <= 30 for r in hub_rows)
-    got = {(r["id"], n, c) for r in lists for n, c in zip(r["neighbors"], r["counts"])}
-    assert got == set(rows)
-    sinks = [r for r in lists if r["id"].startswith("t")]
-    assert len(sinks) == 60 and all(r["neighbors"] == [] and r["part"] == 0 for r in sinks)
+    lists = gr.adjacency_list(g)
+    got = lists.where("position > 0").select("id", "position", "neighbor", "count").collect()
+    assert {(r["id"], r["neighbor"], r["count"]) for r in got} == set(rows)
+    assert sorted((r["id"], r["position"]) for r in got) == [("a", 1), ("a", 2)] + [("h", i + 1) for i in range(25_000)] + [("x", 1)]
+    hub = {r["position"]: r["neighbor"] for r in got if r["id"] == "h"}
+    assert [hub[i] for i in range(1, 25_001)] == [f"t{i:05d}" for i in range(25_000)]
+    sinks = lists.where("position = 0").collect()
+    assert len(sinks) == 25_000 and all(r["neighbor"] is None and r["count"] is None for r in sinks)
+    placed = numbered(g.edges, "src", ["dst"]).where("src = 'h'").groupBy(F.spark_partition_id()).count().count()
+    assert placed > 1
+
+
+def test_a_hot_source_is_split(spark):
+    """A third of all edges in one source: its edges meet their total where they lie."""
+    rows = [("h", f"t{i}", 1 + i % 3) for i in range(2000)] + [(f"s{i % 500}", f"t{i}", 2) for i in range(4000)]
+    edges = spark.createDataFrame(rows, "src string, dst string, cnt bigint").repartition(8)
+    total = {}
+    for s, _, c in rows:
+        total[s] = total.get(s, 0) + c
+    for chunk in (300, gr.SALT_CHUNK):
+        w = gr.transition_weights(edges, chunk)
+        assert {(r["src"], r["dst"]): r["w"] for r in w.collect()} == {(s, d): c / total[s] for s, d, c in rows}
+    hot = [r["count"] for r in gr.transition_weights(edges, 300).where("src = 'h'").groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(hot) == 2000 and max(hot) <= 300
+
+
+def test_records_are_read_once(spark):
+    records = spark.createDataFrame([("a", {"b": 2, "c": 0}), ("a", {"b": 2, "d": 1}), ("a", {"d": 3}), ("e", {}), ("f", {"f": -1})],
+                                    "node string, links map<string,int>")
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(node):
+        read.add(1)
+        return node
+
+    g = gr.graph_from_records(records.select(seen("node").alias("node"), "links"))
+    assert {tuple(r) for r in g.edges.collect()} == {("a", "b", 2), ("a", "d", 4)}
+    assert {r["id"] for r in g.vertices.collect()} == set("abcdef")
+    assert {r["id"] for r in gr.dangling(g).collect()} == set("bcdef")
+    assert read.value == 5
+
+
+def test_sketches_merge(spark):
+    nodes = spark.range(20_000).select(F.concat(F.lit("n"), "id").alias("id"))
+    stored = eda.node_sketches(nodes.unionByName(nodes.limit(9_000)), F.pmod(F.xxhash64("id"), F.lit(7)))
+    assert stored.count() == 7 and abs(eda.merged_estimate(stored).first()["nodes"] - 20_000) <= 0.08 * 20_000
+    assert eda.merged_estimate(stored.limit(0)).first()["nodes"] in (0, None)
 
 
 def test_histogram_bins_cover_all_values(spark):
