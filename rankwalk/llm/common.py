@@ -50,11 +50,6 @@ def discard(*tables: DataFrame) -> None:
             path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def text_tag() -> Column:
-    """32 bits of the text: with doc_id it tells rows apart that share an id."""
-    return F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
-
-
 def row_key() -> Column:
     """128-bit identity of a document row: equal only for rows with the same
     doc_id and the same text (such rows share one fate in every operator)."""

@@ -162,12 +162,14 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
 
 def quality_scores(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Per document: doc_id, held_out, score, predicted."""
-    model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, settings))
+    # Plain arrays: executors that do not have this package can unpickle them.
+    held = docs.sparkSession.sparkContext.broadcast(tuple(vars(fit(docs, labels, settings)).values()))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Model(*held.value)
         for batch in batches:
             for piece in pieces(batch.column("text")):
-                found = model.value.scores(features(piece), settings)
+                found = model.scores(features(piece), settings)
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(piece.first, piece.n), pa.array(found, pa.float64())],
                                                  ["doc_id", "score"])
 

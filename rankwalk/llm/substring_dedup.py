@@ -29,16 +29,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fresh, materialise, text_tag
+from .common import fresh, materialise, row_key
 from .countmin import Filter, Shape, repeated_bits, seen_bits, sketch
 from .textkernel import Piece, covered, pieces, windows
 
 PREFILTER = Shape(depth=2, log2=28)
 REPEATED = Shape(depth=1, log2=28)
+KEY = ["k1", "k2"]
+
+
+def _key() -> list[Column]:
+    """The row's 128-bit identity as two longs: rows that share a doc_id are told apart by their texts."""
+    return [F.conv(F.substring(row_key(), 1 + 16 * i, 16), 16, -10).cast("long").alias(k) for i, k in enumerate(KEY)]
 
 
 def _windows_of(piece: Piece, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -65,27 +71,25 @@ def _check_bits(piece: Piece, size: int, row: np.ndarray, pos: np.ndarray) -> np
 
 
 def _places(docs: DataFrame, size: int, held: Filter) -> DataFrame:
-    """(window, check, doc_id, at) of the windows that the filter lets through;
-    at: 31 bits of the text, then the word position."""
+    """(window, check, doc_id, k1, k2, pos) of the windows that the filter lets through."""
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         passes = held.open()
         for batch in batches:
-            tags = batch.column("tag").to_numpy().astype(np.int64) << 32
             for piece in pieces(batch.column("text")):
                 hashes, row, pos = _windows_of(piece, size)
                 hit = passes(hashes)
                 row, pos = row[hit], pos[hit]
-                ids = batch.column("doc_id").take(pa.array(row + piece.first))
+                ids = batch.select(["doc_id", *KEY]).take(pa.array(row + piece.first)).columns
                 yield pa.RecordBatch.from_arrays([pa.array(hashes[hit].view(np.int64)), pa.array(_check_bits(piece, size, row, pos)),
-                                                  ids, pa.array(tags[row + piece.first] | pos)], ["window", "check", "doc_id", "at"])
+                                                  *ids, pa.array(pos.astype(np.int32))], ["window", "check", "doc_id", *KEY, "pos"])
 
-    return (docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), text_tag().alias("tag"), "text")
-            .mapInArrow(places, "window long, check int, doc_id long, at long"))
+    return (docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), *_key(), "text")
+            .mapInArrow(places, "window long, check int, doc_id long, k1 long, k2 long, pos int"))
 
 
 def later_places(docs: DataFrame, size: int = 13, prefilter: Shape = PREFILTER, repeated: Shape = REPEATED) -> DataFrame:
-    """(doc_id, tag, positions): per document the word positions at which a
+    """(doc_id, k1, k2, positions): per document the word positions at which a
     window starts that a document with a smaller doc_id has too (the first
     position of each such window)."""
     spark = docs.sparkSession
@@ -103,10 +107,9 @@ def later_places(docs: DataFrame, size: int = 13, prefilter: Shape = PREFILTER,
     known = Filter(spark, repeated, sketch(firsts.select("window"), lambda b: [b.column(0).to_numpy().view(np.uint64)],
                                            repeated, seen_bits))
     later = (_places(docs, size, known).join(firsts, ["window", "check"]).where(F.col("first") < F.col("doc_id"))
-             .select("doc_id", "at"))
+             .select("doc_id", *KEY, "pos"))
     later = materialise(later, "later-places")
-    return (later.groupBy("doc_id", F.shiftright("at", 32).cast("int").alias("tag"))
-            .agg(F.collect_set(F.col("at").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")).alias("positions")))
+    return later.groupBy("doc_id", *KEY).agg(F.collect_set("pos").alias("positions"))
 
 
 def _cut(size: int, with_text: bool):
@@ -140,10 +143,13 @@ def _cut(size: int, with_text: bool):
 
 
 def _joined(docs: DataFrame, later: DataFrame, columns: list[str]) -> tuple[DataFrame, str]:
-    tag, positions = fresh(docs, "tag_"), fresh(docs, "positions_")
-    later = materialise(later, "later-positions").select(F.col("doc_id").alias("_later_id"), F.col("tag").alias("_later_tag"), F.col("positions").alias(positions))
-    tagged = docs.select(*columns, text_tag().alias(tag))
-    return tagged.join(later, (F.col("doc_id") == F.col("_later_id")) & (F.col(tag) == F.col("_later_tag")), "left").drop("_later_id", "_later_tag", tag), positions
+    keys, positions = [fresh(docs, f"{k}_") for k in KEY], fresh(docs, "positions_")
+    later = materialise(later, "later-positions").select(*[F.col(c).alias(f"_later_{c}") for c in ("doc_id", *KEY)], F.col("positions").alias(positions))
+    marked = docs.select(*columns, *[c.alias(k) for c, k in zip(_key(), keys)])
+    same = F.col("doc_id") == F.col("_later_doc_id")
+    for k, name in zip(KEY, keys):
+        same &= F.col(name) == F.col(f"_later_{k}")
+    return marked.join(later, same, "left").drop(*[f"_later_{c}" for c in ("doc_id", *KEY)], *keys), positions
 
 
 def deduplicated(docs: DataFrame, size: int = 13) -> DataFrame:
