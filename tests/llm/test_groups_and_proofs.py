@@ -2,6 +2,7 @@
 what tells rows of one doc_id apart."""
 
 import hashlib
+import os
 import random
 import subprocess
 import sys
@@ -189,6 +190,6 @@ for q in ("op3_quality_classifier", "op11_minhash_near_dedup", "op13_embedding_w
     assert queries.QUERIES[q](s, "/root/testdata/sf0.001").count() > 0, q
 print("all ran")
 """)
-    ran = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env={"PATH": "/usr/bin:/bin:/usr/local/bin", "HOME": str(tmp_path), **{
-        k: v for k, v in __import__("os").environ.items() if k in ("JAVA_HOME", "SPARK_HOME")}}, capture_output=True, text=True, timeout=900)
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"} | {"PYSPARK_PYTHON": sys.executable}
+    ran = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=900)
     assert "all ran" in ran.stdout, ran.stderr[-2000:]
