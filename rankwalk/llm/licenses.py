@@ -1,7 +1,7 @@
 """Licence texts recognised by the digest of a canonical form.  DataFrame
 operations only.
 
-A text's canonical form: A-Z lower-cased; copyright lines emptied;
+A text's canonical form: A-Z lower-cased; copyright statements taken out;
 punctuation, symbols and white space read as single spaces; equivalent
 spellings replaced by one.  The MD5 of the canonical form of an entire text,
 and of each of its lines (licence notices and SPDX tags are texts of one
@@ -24,7 +24,11 @@ from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 COPYRIGHT_MARKS = ("copyright", "(c)", "©", "all rights reserved")
-COPYRIGHT_LINE = r"(?i)(^|\n)[^\p{L}\p{N}\n]*(copyright|\(c\)|©|all rights reserved)[^\n]*"
+# A copyright statement is told by its form, not by its first word: the mark
+# with "(c)", a year or its placeholder behind it, or a whole line "All rights
+# reserved"; so a wrapped line of a licence's own wording stays.
+COPYRIGHT_STATEMENT = (r"(?imd)^[^\p{L}\p{N}\n]*((copyright[^\p{L}\p{N}\n]*(\(c\)|©|(19|20)\d\d|yyyy|year\b)|\(c\)[^\p{L}\p{N}\n]*(copyright|(19|20)\d\d)|©)[^\n]*"
+                       r"|all rights reserved[^\p{L}\p{N}\n]*$)")
 NOT_WORD = r"[^\p{L}\p{N}]+"
 FIRST_WORD = r"^[^\p{L}\p{N}]*([\p{L}\p{N}]+)"
 
@@ -47,7 +51,19 @@ THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLI
 _ISC = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.
 
 THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""
-KNOWN = [
+_BSD_FORMS = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:\n"
+_BSD_TERMS = ["Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.\n",
+              "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.\n",
+              "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.\n"]
+_BSD_END = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+
+
+def _bsd(clauses: int, title: bool, numbers: bool) -> str:
+    terms = "".join((f"{i}. " if numbers else "") + t for i, t in enumerate(_BSD_TERMS[:clauses], 1))
+    return (f"BSD {clauses}-Clause License\n" if title else "") + _BSD_FORMS + terms + _BSD_END
+
+
+KNOWN = [(f"BSD-{n}-Clause", _bsd(n, title, numbers)) for n in (2, 3) for title in (False, True) for numbers in (False, True)] + [
     ("MIT", "MIT License\n\n" + _MIT), ("MIT", _MIT), ("ISC", "ISC License\n\n" + _ISC), ("ISC", _ISC),
     ("0BSD", _ISC.replace(", provided that the above copyright notice and this permission notice appear in all copies", "")),
     ("MIT", "Released under the MIT License."), ("MIT", "Licensed under the MIT License."), ("MIT", "This project is licensed under the MIT License."),
@@ -65,43 +81,37 @@ KNOWN = [
 ]
 
 # Fixed values: (license_id, first word, MD5s of the canonical form) of entire
-# licences too long to be held here: each edition with its lines as published,
-# with a line for each paragraph and on a single line; also ended at "END OF
-# TERMS AND CONDITIONS", the BSD ones also with a title or stars for numbers.
+# licences too long to be held here, printed by ``license_digests``.
 DIGESTS = [
-    ("Apache-2.0", "apache", "0ebb6ddd08e5376e45c60aa2e57defa6 2f51ee88af832fe2f04efc90173d249b 468b3b1a52142ad8b0dc850ec677c6bb 47c44b4785fba4497366731bb81ead0b "
-     "8f22630028e8d0ae80812c0e3c92ef2d c582f81a312f86e9d6c32c064bb3f2dc"),
-    ("Artistic-1.0-Perl", "the", "1b50375157aa8fd583048ea2d79fcfc6 2610359a5c75335b8c5eaea69bca6625 b12e4acbe06ab85dd42a6fa03a228fbd"),
-    ("BSD-2-Clause", "bsd", "1861aa5e650030a606b82b2f8d390297 7156097767f5afef1724228b3dfb48fe"),
-    ("BSD-2-Clause", "redistribution", "8c19b192342f336853fe3904a8a03dc0 b0538ec125cafeeb58bf11083985630b"),
-    ("BSD-3-Clause", "bsd", "c245a9d439da9a8ea626ab19c280d998 d4cef4d9ad8054ea8d2cc83477a6f637"),
-    ("BSD-3-Clause", "redistribution", "ddcd765ed0a3236bf96e15f76c36983a dfd9463b7bcad50bb1270be3d6bf0c2a e82046f0b7f72505ecac75064a0d3ab0"),
+    ("Apache-2.0", "apache", "1dc4ebb9c0eabe4c035835fdb5cc4d8f 47c44b4785fba4497366731bb81ead0b c582f81a312f86e9d6c32c064bb3f2dc"),
+    ("Artistic-1.0-Perl", "the", "b12e4acbe06ab85dd42a6fa03a228fbd"),
     ("CC0-1.0", "creative", "75ab50d1b17fa1766bf6b4bf801145c3"),
-    ("GFDL-1.2", "gnu", "00f192429e663f20427d98c1000ee07c 19a2b0d3abf030b6a79c2b6490a55add 390010a516dda1aabba57f00d67e8094"),
-    ("GFDL-1.3", "gnu", "02833943d04f946b7ec2517544566855 3d4ca42ff600eda8285f09f332dccd56 8ac903fb7543b34e81e37f1a1ccd192c"),
-    ("GPL-1.0", "gnu", "24cc4db6a6a9e65fba0e3b14791121a2 50c1df338e1bcea44e53744f24ce569f 52ac61b51cb7d8e3e68f07e883710eeb 5c2e1cb363d038850fe1e395dcf481d5 "
-     "6f7c6cc0672cfb042c7b0edbc461e7db cba2027f47934e49dc154c0405f6934b"),
-    ("GPL-2.0", "gnu", "100f83dc09b4cd964d7178efeaca3090 27ba173578dca61be486728c2707ed2e 335d2766377bebfe119ffe209b55f30b 6c89f53cc31cc701d3030ee45cffdb7b "
-     "7b1e2dc7a90d73bd11b05691db45ee17 c90461b432da19a2d8894642c9cb6355"),
-    ("GPL-3.0", "gnu", "096789ff9b2ee951fa82247e27018c31 13e96d2562456a1f8c706f04825e4146 411db80e75e1a21953a6ab75a702f92a 634a5ca45b09376b9505edcecb601236 "
-     "67a503666761ee1b45df8abb13244da5 d92fbea74cdd50d66745271bedea9b30"),
-    ("LGPL-2.0", "gnu", "0c6893733fcc058f895865664cc34f2e 32aca764ae77ac637d0ee7c17ebe02cc 363fe38f809c0b6ee28f230925923ec2 3dffcca0aa0be6aae73d4ab6a32af652 "
-     "a4c8b77a5176ba24e67bb9afb5f91892 ac9763b143cc33779fc9a4773ba7b83e"),
-    ("LGPL-2.1", "gnu", "3c1fdf54a0398aea1b0939d2cc1d6648 64366e4adfb0c115d2431502795591e9 a510ebe760c12d0b005fcd26e3e99296 d3d8cd9e750891c68a0d94405d2e5810 "
-     "e6695b723fd6f6ba9d401b033d89bf16 f213dc82f2742fb1390362eddbef3b55"),
+    ("GFDL-1.2", "gnu", "19a2b0d3abf030b6a79c2b6490a55add 390010a516dda1aabba57f00d67e8094 ede3f62f13d007bc2a918f64c85e3aa3"),
+    ("GFDL-1.3", "gnu", "15e96f0981aaff721eed7a15233da4c7 3d4ca42ff600eda8285f09f332dccd56 8ac903fb7543b34e81e37f1a1ccd192c"),
+    ("GPL-1.0", "gnu", "24cc4db6a6a9e65fba0e3b14791121a2 50c1df338e1bcea44e53744f24ce569f 52ac61b51cb7d8e3e68f07e883710eeb 6f7c6cc0672cfb042c7b0edbc461e7db "
+     "c1f4c5431084238120563029c7802c48 cba2027f47934e49dc154c0405f6934b"),
+    ("GPL-2.0", "gnu", "0925f84f2d6196871fb5d851bca2812d 100f83dc09b4cd964d7178efeaca3090 335d2766377bebfe119ffe209b55f30b 6c89f53cc31cc701d3030ee45cffdb7b "
+     "c90461b432da19a2d8894642c9cb6355 ea958cd2129ffb84557883f35ca89682"),
+    ("GPL-3.0", "gnu", "4a13b5d8e26e631cef0b648c14de631c 67a503666761ee1b45df8abb13244da5 6d5f2c3086ca55de270f7d6b40a6b424 ae9307ae6fd9cc0bb169466205128754 "
+     "d92fbea74cdd50d66745271bedea9b30 dc808f48cbf054c2512b3f9e939ed24a"),
+    ("LGPL-2.0", "gnu", "0c6893733fcc058f895865664cc34f2e 253e4648f82a320a1e898ced30c5635b 363fe38f809c0b6ee28f230925923ec2 a4c8b77a5176ba24e67bb9afb5f91892 "
+     "ac9763b143cc33779fc9a4773ba7b83e b9723512fbe5c4aa26bf5049e819ef93"),
+    ("LGPL-2.1", "gnu", "64366e4adfb0c115d2431502795591e9 9f519c413e0bd9756de58cdf7ed2ec67 a510ebe760c12d0b005fcd26e3e99296 c2aa973ef077b2f2f1084d7275c2f4b1 "
+     "d3d8cd9e750891c68a0d94405d2e5810 e6695b723fd6f6ba9d401b033d89bf16"),
     ("LGPL-3.0", "gnu", "27506ae5db3b467e0ff42c7b5043b784 5a89eae83aa7c3d42e71801ba59db5ee 6450214b60b9d164e97e3c0cbc530742"),
-    ("MPL-1.1", "mozilla", "0c9b706781bbdbfce8b949875cf7cdca 4585186d5730464ae109120f7ef6184f 83be7dc04868cd87c8f372cbdf3dc917"),
-    ("MPL-2.0", "mozilla", "4a87c0cb05be8eaa7855f6fa62e0525c 6895897873d94fbcca1a4f00ff69ebf0 e4af658e411a2e80ff988134536caeaf"),
+    ("MPL-1.1", "mozilla", "83be7dc04868cd87c8f372cbdf3dc917 e51e8094673bdd4ea29b4e77cecb01c8"),
+    ("MPL-2.0", "mozilla", "e4af658e411a2e80ff988134536caeaf"),
     ("Unlicense", "this", "623ba9db93eda8991a1484472514bff3"),
 ]
 
 
 def without_copyright(text: Column) -> Column:
-    """The text with its copyright lines emptied; line breaks stay."""
+    """The text with its copyright statements, each to the end of its line,
+    taken out; line breaks stay."""
     lower, marked = F.lower(text), F.lit(False)
     for mark in COPYRIGHT_MARKS:
         marked |= F.contains(lower, F.lit(mark))
-    return F.when(marked, F.regexp_replace(text, COPYRIGHT_LINE, "$1")).otherwise(text)
+    return F.when(marked, F.regexp_replace(text, COPYRIGHT_STATEMENT, "")).otherwise(text)
 
 
 def canonical(text: Column) -> Column:

@@ -6,7 +6,7 @@ SELECT; the pipeline nests them.  Parameters are the operators' own defaults.
 
 from __future__ import annotations
 
-from .licenses import COPYRIGHT_LINE, KNOWN, NOT_WORD, SPELLINGS
+from .licenses import KNOWN, NOT_WORD, SPELLINGS
 from .quality_rules import MARKS, RATES, Rates, SYMBOLS
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -107,9 +107,11 @@ FROM l_rows JOIN l_kept USING (rid)"""
 
 
 def license_scan(docs: str = "documents") -> str:
-    line = COPYRIGHT_LINE.replace("(?i)(^|\\n)", "(?i)(^|\\n)").replace("'", "''")
+    year, gap = "(19|20)[0-9][0-9]", r"[^\p{L}\p{N}\n]*"
+    own = rf"(?i)copyright{gap}([(]c[)]|©|{year}|yyyy|year\b)|[(]c[)]{gap}(copyright|{year})|©"
+    line = rf"(?im)^{gap}(({own[4:]})[^\n]*|all rights reserved{gap}$)"
     form = lambda body: f"trim(regexp_replace(translate({body}, '{UPPER}', '{LOWER}'), '{NOT_WORD}', ' ', 'g'), ' ')"
-    bare = lambda text: f"regexp_replace({text}, '{line}', '\\1', 'g')"
+    bare = lambda text: f"regexp_replace({text}, '{line}', '', 'g')"
 
     def respelled(words: str) -> str:
         words = f"' ' || {words} || ' '"

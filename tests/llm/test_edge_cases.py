@@ -1,5 +1,7 @@
 """Every operator on the edge cases, against its SQL or a brute force."""
 
+import duckdb
+import pandas as pd
 import pytest
 
 from rankwalk.llm import (decontamination, jaccard_join, licenses, line_dedup, oracle, packing, quality_classifier,
@@ -120,6 +122,32 @@ OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.
 """
 
 
+def test_rewrapped_licences(spark):
+    """A licence matches however its paragraphs are wrapped, with statements of any form before it."""
+    import textwrap
+    starts = ["", "Copyright (c) 2020 Some One\n\n", "© Some One\nAll rights reserved.\n\n", "Copyright 1999-2004 A\n(c) 2005 B\n\n"]
+    texts = [(i, starts[w % 4] + "\n".join(textwrap.fill(p, w) for p in t.split("\n"))) for i, t in (
+        ("MIT", licenses._MIT), ("ISC", licenses._ISC), ("BSD-3-Clause", licenses._bsd(3, True, True)), ("BSD-2-Clause", licenses._bsd(2, False, False)))
+        for w in range(40, 121)]
+    texts.append((None, licenses._MIT.replace("copyright notice", "notice")))
+    texts.append((None, licenses._MIT + "\nCopyright notices stay."))
+    docs = spark.createDataFrame([(n, t) for n, (_, t) in enumerate(texts)], "doc_id long, text string")
+    found = {(r["doc_id"], r["license_id"]) for r in licenses.license_scan(docs).where("unit = 'text'").collect()}
+    assert found == {(n, i) for n, (i, _) in enumerate(texts) if i}
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame([(n, t) for n, (_, t) in enumerate(texts)], columns=["doc_id", "text"]))
+    rows = con.execute(f"SELECT doc_id, license_id FROM ({oracle.license_scan()}) WHERE unit = 'text'").fetchall()
+    assert set(rows) == found
+
+
+def test_printed_digests_are_those_held(spark):
+    from pathlib import Path
+    from rankwalk.llm import license_digests
+    folder = Path("/usr/share/common-licenses")
+    texts = [(i, (folder / f).read_text()) for f, i in license_digests.FILES.items() if (folder / f).exists()]
+    assert set(license_digests.digests(spark, texts)) <= set(licenses.DIGESTS)
+
+
 def test_entire_licences(spark):
     from pathlib import Path
     from pyspark.sql import functions as F
