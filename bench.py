@@ -26,7 +26,8 @@ HEADLINE = "pagerank"
 TIMED = ["pagerank", "pagerank_topk", "topk_with_titles", "pagerank_graphx_norm", "graph_init",
          "count_nodes", "out_degree", "avg_out_degree", "degree_histogram", "top_out_degree",
          "degree_sample", "transition_weights", "adjacency_parse", "edge_table",
-         "adjacency_list", "power_iteration", "transition_matrix", "mass_trace"]
+         "adjacency_list", "power_iteration", "transition_matrix", "mass_trace", "record_edges",
+         "hops_trade", "hops_seq", "shortest_paths_trade"]
 
 
 def run(spark, name, sf):

@@ -45,6 +45,11 @@ class Graph:
     def vertices(self) -> DataFrame:
         return vertices_of(self.edges, self.extra_ids)
 
+    def once(self) -> "Graph":
+        """The same graph with its edges written, so that an operator which
+        reads them several times evaluates their source once."""
+        return Graph(written(self.edges.select("src", "dst", "cnt"), "edges"), self.extra_ids)
+
 
 def _id(c: Column | str) -> Column:
     col = F.col(c) if isinstance(c, str) else c
@@ -170,7 +175,7 @@ def init_graph(graph: Graph) -> DataFrame:
     """One row per node with its initial rank 1/N, the dangling flag and the
     out-degree.  N is a scalar subquery over the vertex table (no driver round
     trip, no join)."""
-    vt = vertex_table(graph)
+    vt = vertex_table(graph.once())
     n = vt.agg(F.count(F.lit(1)).cast("double")).scalar()
     return vt.select("id", "dangling", "out_degree", (F.lit(1.0) / n).alias("rank"))
 
@@ -179,6 +184,7 @@ def adjacency_list(graph: Graph) -> DataFrame:
     """(id, position, neighbor, count): each node's targets in order, one row a
     target under the node's own key, whatever its degree; a sink has one row
     at position 0 without a neighbour.  No row or task holds a whole list."""
+    graph = graph.once()
     listed = numbered(graph.edges.select(F.col("src").alias("id"), F.col("dst").alias("neighbor"), F.col("cnt").alias("count")),
                       "id", ["neighbor"])
     none = [F.lit(0).cast("bigint").alias("position"), F.lit(None).cast("string").alias("neighbor"), F.lit(None).cast("bigint").alias("count")]

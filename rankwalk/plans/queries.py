@@ -79,7 +79,7 @@ def q_edge_table(spark, sf):
 
 
 def q_dangling_nodes(spark, sf):
-    return gr.dangling(graphs.trade_graph(spark, sf))
+    return gr.dangling(graphs.trade_graph(spark, sf).once())
 
 
 def q_graph_init(spark, sf):
