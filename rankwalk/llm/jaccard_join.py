@@ -142,7 +142,8 @@ def _postings(found: DataFrame, nodes: DataFrame, prefix: Shape, involved: Shape
     prefixes; rest: the node's shingles behind this one in the global order,
     upto: its shared prefix shingles up to this one; weight: all of them.  The
     filters only thin out: a document passes for its node and a shingle for
-    repeated too often at most, and both are settled exactly behind them."""
+    repeated too often at most, and both are settled exactly behind them.
+    ``found`` is deleted once its postings stand."""
     originals = found.where("node is not null").select("node", "doc_id", "n", "k", "prefix").mapInArrow(
         _one_of_node(found.sparkSession, nodes, involved), "node long, n long, k int, prefix array<long>")
     lists = lambda b: [b.column(0).flatten().to_numpy().view(np.uint64)]
@@ -161,6 +162,7 @@ def _postings(found: DataFrame, nodes: DataFrame, prefix: Shape, involved: Shape
 
     rows = originals.mapInArrow(explode, "token long, node long, n long, k int, pos int")
     every = rows = materialise(rows.distinct(), "postings")
+    discard(found)
     shared = materialise(rows.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token"), "shared-tokens")
     order = Window.partitionBy("node").orderBy("pos")
     rows = rows.join(shared, "token", "left_semi").withColumn("upto", F.row_number().over(order))
@@ -222,19 +224,25 @@ def _possible(upto: Column, n: str, m: str, rest_n: str, rest_m: str) -> Column:
 def _star_pairs(postings: DataFrame, turn: int) -> DataFrame:
     """One partner (a, b) at most for each node: of the nodes chosen by its
     shingles (one each), the one that most of them chose, if at least k did:
-    fewer seldom make a link, and what is left out here is met later."""
+    fewer seldom make a link, and what is left out here is met later.  Shingles
+    within one component choose none."""
+    ends, several = [], F.lit(True)     # at first every node is a component and every shingle has several
     if turn:
         postings = postings.withColumn("weight", F.xxhash64("node", F.lit(turn)))
+        ends, several = [F.min("root").alias("lo"), F.max("root").alias("hi")], F.col("lo") != F.col("hi")
     chosen = materialise(postings.groupBy("token").agg(
         F.max_by("node", "weight").alias("b"), F.max_by("n", "weight").alias("m"), F.max_by("rest", "weight").alias("b_rest"), F.max_by("upto", "weight").alias("b_upto"),
-        F.max_by("root", "weight").alias("b_root")), "chosen")
+        F.max_by("root", "weight").alias("b_root"), *ends).where(several).drop("lo", "hi"), "chosen")
     met = (postings.join(chosen, "token").where((F.col("root") != F.col("b_root")) & _possible(F.least("upto", "b_upto"), "n", "m", "rest", "b_rest"))
            .groupBy(F.col("node").alias("a"), "b", "k").agg(F.count(F.lit(1)).alias("c")).where("c >= k"))
-    return met.groupBy("a").agg(F.max_by("b", "c").alias("b"))
+    pairs = materialise(met.groupBy("a").agg(F.max_by("b", "c").alias("b")), "pairs")
+    discard(chosen)
+    return pairs
 
 
 def _open_pairs(postings: DataFrame) -> DataFrame:
-    """All candidates (a, b) between different components."""
+    """All candidates (a, b) between different components; ``postings`` and
+    every table written here are deleted once the next one stands."""
     # What a node can share caps its partner's size; without one as small among
     # the shingle's nodes the posting is of no use.
     largest = F.floor((9 * (F.col("upto") + F.col("rest")) - 4 * F.col("n")) / 4)
@@ -242,6 +250,7 @@ def _open_pairs(postings: DataFrame) -> DataFrame:
     split = materialise(split.where("lo <> hi").select("token", "least_n"), "split-tokens")
     rows = postings.join(split, "token").where(largest >= F.col("least_n")).drop("least_n", "weight")
     rows = materialise(rows, "open-postings")
+    discard(postings, split)
     held = materialise(rows.groupBy("token", "root").agg(
         F.count(F.lit(1)).alias("c"), F.min("n").alias("n0"), F.max("n").alias("n1"), F.max("upto").alias("upto"), F.max("rest").alias("rest")), "token-roots")
     other = held.select("token", *[F.col(c).alias(f"{c}_b") for c in held.columns if c != "token"])
@@ -250,10 +259,16 @@ def _open_pairs(postings: DataFrame) -> DataFrame:
     two = held.join(other, "token").where(
         (F.struct("c", "root") < F.struct("c_b", "root_b")) & (9 * (F.least("upto", "upto_b") + F.least("rest", "rest_b")) >= 4 * (F.col("n0") + F.col("n0_b")))
         & (5 * F.col("n1") >= 4 * F.col("n0_b")) & (5 * F.col("n1_b") >= 4 * F.col("n0")))
-    two = two.select("token", "root", "root_b", "n0_b", "n1_b", F.col("upto_b").alias("most_upto"), F.col("rest_b").alias("most_rest"))
-    # The open shingles of a node just before this one, as far back as BEFORE tells.
+    two = materialise(two.select("token", "root", "root_b", "n0_b", "n1_b", F.col("upto_b").alias("most_upto"), F.col("rest_b").alias("most_rest")), "component-pairs")
+    discard(held)
+    # Shingles that stand for no pair of components are of no more use to their
+    # nodes: linked nodes pass the bounds at each shingle they share.
+    useful = materialise(two.select("token", F.explode(F.array("root", "root_b")).alias("root")).distinct(), "useful-roots")
+    # The useful shingles of a node just before this one, as far back as BEFORE tells.
     earlier = Window.partitionBy("node").orderBy("upto").rowsBetween(-BEFORE, -1)
-    told = materialise(rows.withColumn("before", F.collect_list("token").over(earlier)), "told-postings")
+    told = rows.join(useful, ["token", "root"], "left_semi").withColumn("before", F.collect_list("token").over(earlier))
+    told = materialise(told, "told-postings")
+    discard(useful)
     side = lambda x, root: told.select("token", F.col("root").alias(root), *[F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "rest", "upto", "before")])
     # A member of the first component that can meet some member of the second.
     some = ((9 * (F.least("upto_a", "most_upto") + F.least("rest_a", "most_rest")) >= 4 * (F.col("n_a") + F.col("n0_b")))
@@ -265,15 +280,20 @@ def _open_pairs(postings: DataFrame) -> DataFrame:
     met = two.join(side("a", "root"), ["token", "root"]).where(some).join(side("b", "root_b"), ["token", "root_b"])
     met = met.where(_possible(F.least("upto_a", "upto_b"), "n_a", "n_b", "rest_a", "rest_b") & first)
     pairs = materialise(met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct(), "met-pairs")
+    discard(two, told)
     # Shared prefix shingles of each pair: at least min(k, k'), and enough to
     # link with the longer of what lies behind the prefixes.
     lists = materialise(rows.groupBy("node").agg(F.collect_list("token").alias("tokens"), F.first("n").alias("n"), F.first("k").alias("k")), "node-tokens")
+    discard(rows)
+    short = lists
     lists = lists.select("node", F.concat(F.array(F.col("n"), F.col("k").cast("bigint")), "tokens").alias("tokens"))
     tail = lambda c: F.slice(c, 3, F.size(c))
     behind = lambda c: F.ceil(4 * F.col(c)[0] / 5) - F.col(c)[1]
     counted = _together(pairs, lists, "tokens").withColumn("c", F.size(F.array_intersect(tail("x"), tail("y"))))
     enough = 9 * (F.col("c") + F.greatest(behind("x"), behind("y"))) >= 4 * (F.col("x")[0] + F.col("y")[0])
-    return counted.where((F.col("c") >= F.least(F.col("x")[1], F.col("y")[1])) & enough).select("a", "b")
+    counted = materialise(counted.where((F.col("c") >= F.least(F.col("x")[1], F.col("y")[1])) & enough).select("a", "b"), "pairs")
+    discard(pairs, short)
+    return counted
 
 
 def linked_components(docs: DataFrame, most: int = MOST, frequency: Shape = FREQUENCY, prefix: Shape = PREFIX,
@@ -284,14 +304,15 @@ def linked_components(docs: DataFrame, most: int = MOST, frequency: Shape = FREQ
     rows = materialise(found.select("row_key", "doc_id", "n", "node"), "rows")
     nodes = materialise(rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "nodes")
     postings = _postings(found, nodes, prefix, involved)
-    discard(found)
     links, labels = None, None
     for turn in range(ROUNDS + 1):
         at = postings.withColumn("root", F.col("node")) if labels is None else (
             postings.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node")))
         at = materialise(at, "labelled-postings") if labels is not None else at
-        pairs = materialise(_star_pairs(at, turn) if turn < ROUNDS else _open_pairs(at), "pairs")
-        if labels is not None:
+        if turn == ROUNDS:
+            discard(postings)
+        pairs = _star_pairs(at, turn) if turn < ROUNDS else _open_pairs(at)
+        if 0 < turn < ROUNDS:
             discard(at)
         more = materialise(_verified(docs, pairs, nodes, involved), "verified")
         links = more if links is None else links.union(more)
