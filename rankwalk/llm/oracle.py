@@ -7,9 +7,9 @@ SELECT; the pipeline nests them.  Parameters are the operators' own defaults.
 from __future__ import annotations
 
 from .licenses import KNOWN, NOT_WORD, SPELLINGS
-from .quality_rules import MARKS, RATES, Rates, SYMBOLS
 
 WORD = r"[^\x20\x09-\x0D]+"
+PUNCTUATION = r"\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E"    # of ASCII
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -31,10 +31,12 @@ def _cell_floor(c: str, bits: int) -> str:
     return f"CASE WHEN {c} < {2 * half} THEN {c} ELSE ({half} + ({c} - {2 * half}) % {half}) << ((({c} - {2 * half}) // {half}) + 1)::INT END"
 
 
-def _quality(docs: str, rules: Rates) -> str:
-    """CTEs ending in ``verdicts``: every row of docs with measures and kept."""
+def _quality(docs: str) -> str:
+    """CTEs ending in ``verdicts``: every row of docs with measures and kept.
+    The numbers of the rules are stated here on their own."""
+    least = {"symbol_rate": 4, "dup_line_rate": 50, "repeat_rate": 30, "upper_rate": 4, "mark_rate": 4, "word_length": 10}
+    spread, min_group = 8, 100
     count = lambda chars: f"length(regexp_replace(body, '[^{chars}]', '', 'g'))"
-    marks = MARKS.replace("\\", "\\\\").replace("]", "\\]").replace("[", "\\[").replace("-", "\\-").replace("^", "\\^").replace("'", "''")
     per = {"symbol_rate": ("n_symbols", "word_chars", 1000), "dup_line_rate": ("n_dup_lines", "n_lines", 1000), "repeat_rate": ("n_repeat_words", "n_words", 1000),
            "upper_rate": ("n_upper", "word_chars", 1000), "mark_rate": ("n_marks", "word_chars", 1000), "word_length": ("word_chars", "n_words", 100)}
     rate = {k: f"({unit} * {a}) // greatest({b}, 1)" for k, (a, b, unit) in per.items()}
@@ -43,10 +45,11 @@ def _quality(docs: str, rules: Rates) -> str:
         keys, part = (by + ", ", f"{by}, rate") if by else ("", "rate")
         return f"""
 {name} AS (SELECT {keys}rate, max(grp) AS grp, mid - reach AS lo, mid + reach AS hi FROM (
-  SELECT *, {rules.spread} * greatest(mid - low, least) AS reach FROM (
+  SELECT *, {spread} * greatest(mid - low, high - mid, least) AS reach FROM (
     SELECT {keys}rate, max(total) AS grp, {_cell_floor('min(CASE WHEN 10 * upto >= total THEN cell END)', 6)} AS low,
-      {_cell_floor('min(CASE WHEN 10 * upto >= 5 * total THEN cell END)', 6)} AS mid,
-      CASE rate {' '.join(f"WHEN '{k}' THEN {rules.least(k)}" for k in RATES)} END AS least
+      {_cell_floor('min(CASE WHEN 2 * upto >= total THEN cell END)', 6)} AS mid,
+      {_cell_floor('min(CASE WHEN 4 * upto >= 3 * total THEN cell END)', 6)} AS high,
+      CASE rate {' '.join(f"WHEN '{k}' THEN {n}" for k, n in least.items())} END AS least
     FROM (SELECT *, sum(n) OVER (PARTITION BY {part} ORDER BY cell) AS upto, sum(n) OVER (PARTITION BY {part}) AS total
           FROM (SELECT {keys}rate, cell, sum(n) AS n FROM cells GROUP BY ALL))
     GROUP BY ALL)) GROUP BY ALL)"""
@@ -60,29 +63,29 @@ q_rep AS (SELECT rid, count(DISTINCT i + k) AS n FROM (SELECT rid, i, unnest(ran
 q_lines AS (SELECT rid, count(*) AS n, count(*) - count(DISTINCT line) AS dup FROM (
   SELECT rid, unnest(string_split(body, chr(10))) AS line FROM q_rows) WHERE regexp_matches(line, '{WORD}') GROUP BY rid),
 q_base AS MATERIALIZED (SELECT q_rows.*, len(ws) AS n_words, length(regexp_replace(body, '[\\x20\\x09-\\x0D]+', '', 'g')) AS word_chars,
-  {count(SYMBOLS)} AS n_symbols, coalesce(dup, 0) AS n_dup_lines, coalesce(q_rep.n, 0) AS n_repeat_words,
-  coalesce(q_lines.n, 0) AS n_lines, {count('A-Z')} AS n_upper, {count(marks)} AS n_marks
+  {count('#*$%&|<>')} AS n_symbols, coalesce(dup, 0) AS n_dup_lines, coalesce(q_rep.n, 0) AS n_repeat_words,
+  coalesce(q_lines.n, 0) AS n_lines, {count('A-Z')} AS n_upper, {count(PUNCTUATION)} - n_symbols AS n_marks
   FROM q_rows JOIN q_words USING (rid) LEFT JOIN q_rep USING (rid) LEFT JOIN q_lines USING (rid)),
 q_judge AS MATERIALIZED (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, {', '.join(f'{v} AS {k}' for k, v in rate.items())} FROM q_base),
 cells AS MATERIALIZED (SELECT lang, source, rate, {_cell('value', 6)} AS cell, count(*) AS n FROM (
-  {' UNION ALL '.join(f"SELECT lang, source, '{k}' AS rate, {k} AS value FROM q_judge WHERE NOT base_failed" for k in RATES)}) GROUP BY ALL),
+  {' UNION ALL '.join(f"SELECT lang, source, '{k}' AS rate, {k} AS value FROM q_judge WHERE NOT base_failed" for k in per)}) GROUP BY ALL),
 {fences('f_own', 'lang, source')},{fences('f_lang', 'lang')},{fences('f_all', '')},
-limits AS (SELECT a.lang, a.source, a.rate, CASE WHEN a.grp >= {rules.min_group} THEN a.lo WHEN b.grp >= {rules.min_group} THEN b.lo ELSE c.lo END AS lo,
-  CASE WHEN a.grp >= {rules.min_group} THEN a.hi WHEN b.grp >= {rules.min_group} THEN b.hi ELSE c.hi END AS hi
+limits AS (SELECT a.lang, a.source, a.rate, CASE WHEN a.grp >= {min_group} THEN a.lo WHEN b.grp >= {min_group} THEN b.lo ELSE c.lo END AS lo,
+  CASE WHEN a.grp >= {min_group} THEN a.hi WHEN b.grp >= {min_group} THEN b.hi ELSE c.hi END AS hi
   FROM f_own a JOIN f_lang b ON a.lang IS NOT DISTINCT FROM b.lang AND a.rate = b.rate JOIN f_all c ON a.rate = c.rate),
-wide AS (SELECT lang AS l_, source AS s_, {', '.join(f"max(CASE WHEN rate = '{k}' THEN {f} END) AS {f}_{k}" for k in RATES for f in ('lo', 'hi'))} FROM limits GROUP BY ALL),
-verdicts AS (SELECT q_judge.*, NOT base_failed AND {' AND '.join(f'coalesce({k} <= hi_{k}, true)' for k in RATES)} AND coalesce(word_length >= lo_word_length, true) AS kept
+wide AS (SELECT lang AS l_, source AS s_, {', '.join(f"max(CASE WHEN rate = '{k}' THEN {f} END) AS {f}_{k}" for k in per for f in ('lo', 'hi'))} FROM limits GROUP BY ALL),
+verdicts AS (SELECT q_judge.*, NOT base_failed AND {' AND '.join(f'coalesce({k} <= hi_{k}, true)' for k in per)} AND coalesce(word_length >= lo_word_length, true) AS kept
   FROM q_judge LEFT JOIN wide ON lang IS NOT DISTINCT FROM l_ AND source IS NOT DISTINCT FROM s_)"""
 
 
-def quality_rules(docs: str = "documents", rules: Rates = Rates()) -> str:
+def quality_rules(docs: str = "documents") -> str:
     long = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    return f"""WITH {_quality(docs, rules)}
+    return f"""WITH {_quality(docs)}
 SELECT doc_id, {', '.join(f'{c}::BIGINT AS {c}' for c in long)}, base_failed, kept, {', '.join(f'{c}::BIGINT AS {c}' for c in ('n_lines', 'n_upper', 'n_marks'))} FROM verdicts"""
 
 
 def quality_kept(docs: str) -> str:
-    return f"WITH {_quality(docs, Rates())}\nSELECT doc_id, text, lang, source, n_chars FROM verdicts WHERE kept"
+    return f"WITH {_quality(docs)}\nSELECT doc_id, text, lang, source, n_chars FROM verdicts WHERE kept"
 
 
 def _kept_lines(docs: str, min_docs: int) -> str:

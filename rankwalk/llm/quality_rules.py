@@ -7,10 +7,11 @@ log-linear buckets (relative width 1/32, exact below 64): sketches merge by
 adding counts, which Spark does with map-side partial sums, and the merged
 sketches of a language and of the whole corpus stand in for sources and
 languages with too few documents.  A document is rejected when one of its
-rates lies beyond its group's fence: median + spread times the distance from
-the 10th centile to the median (below, for word length, also the mirror
-image).  The median and the lower half stay with ordinary documents even when
-almost half of a source is junk.
+rates lies beyond its group's fence: median + spread times the larger of the
+distances from the median to the 10th and to the 75th centile (below, for word
+length, also the mirror image).  These centiles stay with ordinary documents
+while less than a quarter of a source is junk.  A least distance stands in only
+where a group has hardly any variation.
 
 All measures and thresholds are integers, so the result does not depend on
 the order of summation.
@@ -47,20 +48,21 @@ MARKS = "!\"'()+,-./:;=?@[\\]^_`{}~"
 class Rates:
     """Parameters of the adaptive rules.
 
-    least_*: smallest distance (in the rate's unit) that counts as the spread
-    of ordinary documents, so that a group without any variation does not
-    reject the first document that differs; wider for repetition, of which
-    ordinary documents have none or, when short, a good share.
+    least: smallest distance (in the rate's unit) that counts as the spread of
+    ordinary documents, so that a group without variation does not reject the
+    first document that differs; wider for repetition, of which most documents
+    have none and short ones at once a good share.
     """
 
-    spread: int = 6
+    spread: int = 8
     min_group: int = 100
-    least_rate: int = 15      # per thousand
-    least_repeat: int = 100   # per thousand
-    least_length: int = 25    # hundredths of a character
+    least_rate: int = 4           # per thousand
+    least_dup_lines: int = 50     # per thousand
+    least_repeat: int = 30        # per thousand
+    least_length: int = 10        # hundredths of a character
 
     def least(self, rate: str) -> int:
-        return {"word_length": self.least_length, "dup_line_rate": self.least_repeat,
+        return {"word_length": self.least_length, "dup_line_rate": self.least_dup_lines,
                 "repeat_rate": self.least_repeat}.get(rate, self.least_rate)
 
 
@@ -140,10 +142,10 @@ def _fences(cells: DataFrame, by: list[str], rules: Rates) -> DataFrame:
     group = Window.partitionBy(*by, "rate")
     cells = (cells.withColumn("upto", F.sum("n").over(group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)))
                   .withColumn("of", F.sum("n").over(group)))
-    at = lambda tenths: F.min(F.when(10 * F.col("upto") >= tenths * F.col("of"), F.col("bucket")))
-    q = cells.groupBy(*by, "rate").agg(F.max("of").alias("of"), log_cell_floor(at(1), EXACT_BITS).alias("low"), log_cell_floor(at(5), EXACT_BITS).alias("mid"))
+    at = lambda centile: log_cell_floor(F.min(F.when(100 * F.col("upto") >= centile * F.col("of"), F.col("bucket"))), EXACT_BITS)
+    q = cells.groupBy(*by, "rate").agg(F.max("of").alias("of"), at(10).alias("low"), at(50).alias("mid"), at(75).alias("high"))
     least = F.create_map(*[F.lit(x) for k in RATES for x in (k, rules.least(k))])[F.col("rate")]
-    reach = rules.spread * F.greatest(F.col("mid") - F.col("low"), least)
+    reach = rules.spread * F.greatest(F.col("mid") - F.col("low"), F.col("high") - F.col("mid"), least)
     return q.select(*by, "rate", "of", (F.col("mid") - reach).alias("lo"), (F.col("mid") + reach).alias("hi"))
 
 
