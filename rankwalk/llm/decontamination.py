@@ -93,21 +93,38 @@ def _hits(docs: DataFrame, held: Filter) -> DataFrame:
         hits, "row_key string, doc_id long, hash long")
 
 
+def document_sketches(hits: DataFrame, shingles: DataFrame) -> DataFrame:
+    """(row_key, class, hash): for each size class of items the document's
+    hashes up to the class's cut.  There is one cut for each bit length of an
+    item's size, so at most 32 come to the driver."""
+    unsigned = lambda c: F.col(c).bitwiseXOR(F.lit(-(2**63)))  # noqa: E731  unsigned order on signed longs
+    cuts = shingles.where("sketch").groupBy("class").agg(F.max(unsigned("hash")).alias("cut")).collect()
+    reached = F.array(*[F.when(unsigned("hash") <= F.lit(c["cut"]), F.lit(c["class"])) for c in cuts]).cast("array<int>")
+    return hits.select("row_key", F.explode(F.array_compact(reached)).alias("class"), "hash")
+
+
+def candidates(hits: DataFrame, shingles: DataFrame) -> DataFrame:
+    """(row_key, item): the document's sketch and the item's share a hash."""
+    of_items = shingles.where("sketch").select("class", "hash", "item")
+    return document_sketches(hits, shingles).join(of_items, ["class", "hash"]).select("row_key", "item").distinct()
+
+
+def verified(hits: DataFrame, shingles: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(row_key, doc_id, item, n_shared, q) of the pairs whose common shingles,
+    counted for these pairs alone, reach 4/5 of the item's."""
+    wanted = pairs.join(shingles.select("item", "hash", "q"), "item")
+    counted = (wanted.join(hits, ["row_key", "hash"]).groupBy("row_key", "item")
+               .agg(F.count(F.lit(1)).alias("n_shared"), F.first("q").alias("q"), F.first("doc_id").alias("doc_id")))
+    return counted.where(OF * F.col("n_shared") >= NEEDED * F.col("q"))
+
+
 def _contained(docs: DataFrame, items: DataFrame) -> DataFrame:
     """(row_key, doc_id, item, n_shared, q), one row per document and item text
     held; n_shared >= 4/5 q."""
     shingles = materialise(item_shingles(items), "item-shingles")
     blobs = sketch(shingles.select("hash"), lambda b: [b.column(0).to_numpy().view(np.uint64)], FILTER, seen_bits)
     hits = materialise(_hits(docs, Filter(docs.sparkSession, FILTER, blobs)).distinct(), "shingle-hits")
-
-    unsigned = lambda c: F.col(c).bitwiseXOR(F.lit(-(2**63)))  # noqa: E731  unsigned order on signed longs
-    cuts = shingles.where("sketch").groupBy("class").agg(F.max(unsigned("hash")).alias("cut"))
-    sketches = shingles.where("sketch").join(F.broadcast(cuts), "class").where(unsigned("hash") <= F.col("cut"))
-    candidates = hits.join(sketches.select("hash", "item"), "hash").select("row_key", "item").distinct()
-    candidates = materialise(candidates, "contained-candidates")
-    shared = (hits.join(shingles.select("hash", "item", "q"), "hash")
-              .groupBy("row_key", "item").agg(F.count(F.lit(1)).alias("n_shared"), F.first("q").alias("q"), F.first("doc_id").alias("doc_id")))
-    return shared.where(OF * F.col("n_shared") >= NEEDED * F.col("q")).join(candidates, ["row_key", "item"], "left_semi")
+    return verified(hits, shingles, materialise(candidates(hits, shingles), "contained-candidates"))
 
 
 def contained_items(docs: DataFrame, items: DataFrame) -> DataFrame:

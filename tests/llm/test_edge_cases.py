@@ -190,3 +190,25 @@ def test_classifier_lets_all_equal_neighbours_vote():
     one, none = 30 / (labels == 1).sum(), 60 / (labels == 0).sum()
     assert [f[0] for f in found] == [0.5] * 3
     assert np.allclose([f[1] for f in found], one / (one + none), atol=1e-3)
+
+
+def test_items_are_counted_for_candidates_alone(spark):
+    """Only a shared sketch hash makes a candidate, and only 4/5 of the item's
+    shingles make a find."""
+    item, other = [f"w{i}" for i in range(24)], [f"v{i}" for i in range(30)]
+    items = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    shingles = decontamination.item_shingles(items).cache()
+    rows = {r["hash"]: r["sketch"] for r in shingles.collect()}
+    assert len(rows) == 20 and sum(rows.values()) == 20 - 16 + 1
+    small = sorted(rows, key=lambda h: h % 2**64)
+    assert {h for h, marked in rows.items() if marked} == set(small[:5])
+    # a: all shingles; b: 15 of 20, the small ones too; c: all but the sketch; d: one sketch hash
+    held = {"a": small, "b": small[:15], "c": small[5:], "d": small[:1]}
+    hits = spark.createDataFrame([(k, 1, h) for k, hashes in held.items() for h in hashes], "row_key string, doc_id long, hash long")
+    pairs = decontamination.candidates(hits, shingles)
+    assert sorted(r["row_key"] for r in pairs.collect()) == ["a", "b", "d"]
+    assert decontamination.document_sketches(hits, shingles).where("row_key = 'a'").count() == 5
+    found = decontamination.verified(hits, shingles, pairs).collect()
+    assert [(r["row_key"], r["n_shared"], r["q"]) for r in found] == [("a", 20, 20)]
+    docs = spark.createDataFrame([(1, " ".join(other + item + other)), (2, " ".join(item[:18] + other)), (3, " ".join(other))], "doc_id long, text string")
+    assert [(r["doc_id"], r["n_shared"]) for r in decontamination.benchmark_leaks(docs, items).collect()] == [(1, 20)]
