@@ -3,10 +3,13 @@
 A task hashes its items to cells, and ships each range of cells as one
 compressed blob of (cell gaps, counts); the shuffle brings the blobs of a range
 together and they are added up, so no task holds more than one range of the
-merged sketch.  The merged sketch has a fixed size (depth << log2 cells), is
-gathered as compressed bytes and broadcast: its size does not grow with the
-data.  A sketch never underestimates, so a filter on it loses nothing; a
-crowded one only lets more through to the exact step behind it.
+merged sketch.  The blobs of ``FAN`` partitions are added at a time, those sums
+again by ``FAN``, and so on: what a merge task reads depends on the size of a
+partition and not on their number.  The merged sketch has a fixed size (depth
+<< log2 cells), is gathered as compressed bytes and broadcast: its size does not
+grow with the data.  Counts stop at 2**32 - 1.  A sketch never underestimates,
+so a filter on it loses nothing; a crowded one only lets more through to the
+exact step behind it.
 """
 
 from __future__ import annotations
@@ -16,15 +19,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import lean_run
 from .textkernel import mix
 
 FLUSH = 2 << 20
+FAN = 64
+TASKS = 4   # merge tasks a group of FAN partitions
+MOST_COUNT = 2**32 - 1
 _U = np.uint64
 _SALTS = np.array([0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0, 0x082EFA98EC4E6C89], dtype=np.uint64)
-SCHEMA = "row int, part int, blob binary"
+SCHEMA = "row int, part int, source int, blob binary"
 
 
 @dataclass(frozen=True)
@@ -66,7 +74,14 @@ def _unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(gaps.ravel(), dtype=np.uint32).astype(np.int64), counts
 
 
-def _flush(shape: Shape, held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+def _blobs(row: int, parts: Iterable[int], source: int, blobs: list[bytes]) -> pa.RecordBatch:
+    parts = pa.array(parts, pa.int32())
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(parts), row, dtype=np.int32)), parts,
+                                       pa.array(np.full(len(parts), source, dtype=np.int32)), pa.array(blobs, pa.binary())],
+                                      ["row", "part", "source", "blob"])
+
+
+def _flush(shape: Shape, held: list[np.ndarray], source: int) -> Iterator[pa.RecordBatch]:
     hashes = np.concatenate(held)
     for row in range(shape.depth):
         cells = np.sort(shape.cells(hashes, row))
@@ -74,54 +89,65 @@ def _flush(shape: Shape, held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         counts, cells = np.diff(first, append=len(cells)), cells[first]
         cuts = np.searchsorted(cells, np.arange(shape.parts + 1, dtype=np.int64) * shape.part_cells)
         parts = np.flatnonzero(np.diff(cuts))
-        blobs = [_pack(cells[cuts[p]:cuts[p + 1]] - np.uint32(p * shape.part_cells), counts[cuts[p]:cuts[p + 1]])
-                 for p in parts]
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(parts), row, dtype=np.int32)),
-                                          pa.array(parts.astype(np.int32)), pa.array(blobs, pa.binary())],
-                                         ["row", "part", "blob"])
+        yield _blobs(row, parts, source, [
+            _pack(cells[cuts[p]:cuts[p + 1]] - np.uint32(p * shape.part_cells), counts[cuts[p]:cuts[p + 1]]) for p in parts])
+
+
+def _packed(counts: np.ndarray) -> bytes:
+    cells = np.flatnonzero(counts)
+    return _pack(cells.astype(np.uint32), counts[cells])
+
+
+def _added(blobs: DataFrame, shape: Shape, finish: Callable[[np.ndarray], bytes], tasks: int) -> DataFrame:
+    """One row per (row, range, source): ``finish`` of the sum of its blobs."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, counts = None, None
+        for batch in batches:
+            for *now, blob in zip(*(batch.column(i) for i in range(4))):
+                if key != (now := [x.as_py() for x in now]):
+                    if key is not None:
+                        yield _blobs(key[0], [key[1]], key[2], [finish(counts)])
+                    key, counts = now, np.zeros(shape.part_cells, dtype=np.uint32)
+                cells, more = _unpack(blob.as_py())
+                counts[cells] = np.minimum(counts[cells].astype(np.uint64) + more, MOST_COUNT)
+        if key is not None:
+            yield _blobs(key[0], [key[1]], key[2], [finish(counts)])
+
+    keys = ["row", "part", "source"]
+    return blobs.repartition(tasks, *keys).sortWithinPartitions(*keys).mapInArrow(add, SCHEMA)
 
 
 def sketch(source: DataFrame, hashes: Callable[[pa.RecordBatch], Iterable[np.ndarray]], shape: Shape,
-           finish: Callable[[np.ndarray], np.ndarray]) -> list[tuple[int, int, bytes]]:
+           finish: Callable[[np.ndarray], np.ndarray], fan: int = FAN) -> list[tuple[int, int, bytes]]:
     """The merged sketch of what ``hashes`` yields for every batch of
-    ``source``: compressed ``finish(counts)`` bytes per (row, range)."""
+    ``source`` (a scan, or steps without a shuffle over one): compressed
+    ``finish(counts)`` bytes per (row, range)."""
 
     def partition_sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        held, size, mine = [], 0, TaskContext.get().partitionId()
         for batch in batches:
             for h in hashes(batch):
                 held.append(h)
                 size += len(h)
                 if size >= FLUSH:
-                    yield from _flush(shape, held)
+                    yield from _flush(shape, held, mine)
                     held, size = [], 0
         if size:
-            yield from _flush(shape, held)
-
-    def done(key, counts):
-        raw = np.ascontiguousarray(finish(counts)).tobytes()
-        return pa.RecordBatch.from_arrays([pa.array([key[0]], pa.int32()), pa.array([key[1]], pa.int32()),
-                                           pa.array([pa.compress(raw, codec="zstd", asbytes=True)], pa.binary())],
-                                          ["row", "part", "blob"])
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, counts = None, None
-        for batch in batches:
-            for row, part, blob in zip(*(batch.column(i) for i in range(3))):
-                if key != (now := (row.as_py(), part.as_py())):
-                    if key is not None:
-                        yield done(key, counts)
-                    key, counts = now, np.zeros(shape.part_cells, dtype=np.uint32)
-                cells, more = _unpack(blob.as_py())
-                counts[cells] += more
-        if key is not None:
-            yield done(key, counts)
-
-    merged = (source.mapInArrow(partition_sketch, SCHEMA)
-              .repartition(max(1, min(2 * shape.parts, int(source.sparkSession.conf.get("spark.sql.shuffle.partitions")))),
-                           "row", "part")
-              .sortWithinPartitions("row", "part").mapInArrow(merge, SCHEMA))
-    with lean_run(source.sparkSession):
+            yield from _flush(shape, held, mine)
+
+    def done(counts: np.ndarray) -> bytes:
+        return pa.compress(np.ascontiguousarray(finish(counts)).tobytes(), codec="zstd", asbytes=True)
+
+    spark, ranges = source.sparkSession, shape.depth * shape.parts
+    blobs, sources = source.mapInArrow(partition_sketch, SCHEMA), source.rdd.getNumPartitions()
+    while sources > fan:
+        sources = -(-sources // fan)
+        blobs = blobs.withColumn("source", F.floor(F.col("source") / fan).cast("int"))
+        blobs = _added(blobs, shape, _packed, min(TASKS * sources, ranges * sources))
+    tasks = max(1, min(2 * shape.parts, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    merged = _added(blobs.withColumn("source", F.lit(0)), shape, done, tasks)
+    with lean_run(spark):
         return [(r["row"], r["part"], bytes(r["blob"])) for r in merged.collect()]
 
 
