@@ -44,9 +44,13 @@ def bucket_limits(count: np.ndarray, total: np.ndarray, longest: np.ndarray, buc
     n = len(count)
     if not n:
         return []
-    counts, totals = np.concatenate(([0], np.cumsum(count))), np.concatenate(([0], np.cumsum(total)))
+    # Whole numbers of any size where the padding could leave 64 bits.
+    most = 2 * int(count.sum()) * int(longest.max()) + 1
+    kind = np.int64 if most < 2**62 else object
+    count, total, longest = (x.astype(kind) for x in (count, total, longest))
+    counts, totals = (np.concatenate((np.zeros(1, dtype=kind), np.cumsum(x))) for x in (count, total))
     k_max = min(buckets, n)
-    cost = np.full((k_max + 1, n + 1), np.iinfo(np.int64).max // 4, dtype=np.int64)
+    cost = np.full((k_max + 1, n + 1), most, dtype=kind)
     came = np.zeros((k_max + 1, n + 1), dtype=np.int64)
     cost[0, 0] = 0
     for k in range(1, k_max + 1):
