@@ -1,4 +1,4 @@
-"""Training-data operators: ten corpus operators and the pipeline over them.
+"""Training-data operators: thirteen operators and the pipeline over ten of them.
 
 The functions of this subpackage travel to the executors inside the jobs
 (pickled by value), so the package need not be installed there.

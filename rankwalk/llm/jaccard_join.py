@@ -15,7 +15,8 @@ documents are candidates when their prefixes share min(k, k') shingles and
 their sizes and the places of the common shingles allow a link: what two
 ordered lists share is at most what they shared up to a common shingle and
 the shorter rest behind it, and of what stands before it only shingles that
-other prefixes hold can be shared.
+other prefixes hold can be shared.  At the first shingle that a pair shares
+nothing before it counts at all, and one such meeting is enough to list it.
 
 Links are found without listing all pairs of a group.  Two rounds compare each
 node with one other node of a prefix shingle (first the one with the most
@@ -246,39 +247,47 @@ def _open_pairs(postings: DataFrame) -> DataFrame:
     # What a node can share caps its partner's size; without one as small among
     # the shingle's nodes the posting is of no use.
     largest = F.floor((9 * (F.col("upto") + F.col("rest")) - 4 * F.col("n")) / 4)
-    split = postings.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("n").alias("least_n"))
-    split = materialise(split.where("lo <> hi").select("token", "least_n"), "split-tokens")
-    rows = postings.join(split, "token").where(largest >= F.col("least_n")).drop("least_n", "weight")
+    split = postings.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("n").alias("least_n"), F.min("k").alias("least_k"))
+    split = materialise(split.where("lo <> hi").select("token", "least_n", "least_k"), "split-tokens")
+    # Candidates share min(k, k') shingles, so behind the first of them both
+    # still have min(k, k') - 1, and all that they share but that one lies
+    # behind it: further back no pair begins.
+    rows = postings.join(split, "token").where(largest >= F.col("least_n")).withColumn("after", F.col("weight") - F.col("upto"))
+    begins = (F.col("after") + 1 >= F.least("k", "least_k")) & (45 * (F.col("rest") + 1) >= 20 * F.col("n") + 4 * F.greatest(5 * F.col("least_n"), 4 * F.col("n")))
+    rows = rows.withColumn("begins", begins).drop("least_n", "least_k", "weight")
     rows = materialise(rows, "open-postings")
     discard(postings, split)
-    held = materialise(rows.groupBy("token", "root").agg(
-        F.count(F.lit(1)).alias("c"), F.min("n").alias("n0"), F.max("n").alias("n1"), F.max("upto").alias("upto"), F.max("rest").alias("rest")), "token-roots")
+    held = materialise(rows.where("begins").groupBy("token", "root").agg(
+        F.count(F.lit(1)).alias("c"), F.min("n").alias("n0"), F.max("n").alias("n1"), F.max("rest").alias("rest"),
+        F.max("after").alias("after"), F.min("k").alias("k")), "token-roots")
     other = held.select("token", *[F.col(c).alias(f"{c}_b") for c in held.columns if c != "token"])
     # Each pair of components once, the one with fewer members at the shingle
     # first: its members are listed, the other's only met with them.
+    begin = lambda x, y: F.least(f"after{x}", f"after{y}") + 1 >= F.least(f"k{x}", f"k{y}")
     two = held.join(other, "token").where(
-        (F.struct("c", "root") < F.struct("c_b", "root_b")) & (9 * (F.least("upto", "upto_b") + F.least("rest", "rest_b")) >= 4 * (F.col("n0") + F.col("n0_b")))
+        begin("", "_b") & (F.struct("c", "root") < F.struct("c_b", "root_b")) & (9 * (1 + F.least("rest", "rest_b")) >= 4 * (F.col("n0") + F.col("n0_b")))
         & (5 * F.col("n1") >= 4 * F.col("n0_b")) & (5 * F.col("n1_b") >= 4 * F.col("n0")))
-    two = materialise(two.select("token", "root", "root_b", "n0_b", "n1_b", F.col("upto_b").alias("most_upto"), F.col("rest_b").alias("most_rest")), "component-pairs")
+    two = materialise(two.select("token", "root", "root_b", "n0_b", "n1_b", F.col("rest_b").alias("most_rest")), "component-pairs")
     discard(held)
     # Shingles that stand for no pair of components are of no more use to their
     # nodes: linked nodes pass the bounds at each shingle they share.
-    useful = materialise(two.select("token", F.explode(F.array("root", "root_b")).alias("root")).distinct(), "useful-roots")
+    useful = two.select("token", "root").distinct().union(two.select("token", F.col("root_b").alias("root")).distinct())
+    useful = materialise(useful, "useful-roots")
     # The useful shingles of a node just before this one, as far back as BEFORE tells.
     earlier = Window.partitionBy("node").orderBy("upto").rowsBetween(-BEFORE, -1)
-    told = rows.join(useful, ["token", "root"], "left_semi").withColumn("before", F.collect_list("token").over(earlier))
+    told = rows.where("begins").join(useful, ["token", "root"], "left_semi").withColumn("before", F.collect_list("token").over(earlier))
     told = materialise(told, "told-postings")
     discard(useful)
-    side = lambda x, root: told.select("token", F.col("root").alias(root), *[F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "rest", "upto", "before")])
+    side = lambda x, root: told.select("token", F.col("root").alias(root), *[F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "k", "rest", "after", "before")])
     # A member of the first component that can meet some member of the second.
-    some = ((9 * (F.least("upto_a", "most_upto") + F.least("rest_a", "most_rest")) >= 4 * (F.col("n_a") + F.col("n0_b")))
+    some = ((9 * (1 + F.least("rest_a", "most_rest")) >= 4 * (F.col("n_a") + F.col("n0_b")))
             & (5 * F.col("n_a") >= 4 * F.col("n0_b")) & (5 * F.col("n1_b") >= 4 * F.col("n_a")))
     # A pair is taken at the first open shingle its nodes share; one that lies
     # further back than BEFORE only repeats the pair.  Linked nodes pass the
     # bounds at each shingle they share, so at the first one too.
-    first = ~F.arrays_overlap("before_a", "before_b")
+    first = begin("_a", "_b") & ~F.arrays_overlap("before_a", "before_b")
     met = two.join(side("a", "root"), ["token", "root"]).where(some).join(side("b", "root_b"), ["token", "root_b"])
-    met = met.where(_possible(F.least("upto_a", "upto_b"), "n_a", "n_b", "rest_a", "rest_b") & first)
+    met = met.where(_possible(F.lit(1), "n_a", "n_b", "rest_a", "rest_b") & first)
     pairs = materialise(met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct(), "met-pairs")
     discard(two, told)
     # Shared prefix shingles of each pair: at least min(k, k'), and enough to
