@@ -145,7 +145,7 @@ def q_degree_histogram(spark, sf):
 def q_node_count_sketches(spark, sf):
     """Nodes of each kind from stored sketches, and of all kinds from their
     merge; 0.08 is five standard errors."""
-    nodes = graphs.trade_graph(spark, sf).vertices.withColumn("kind", F.substring("id", 1, 1))
+    nodes = gr.written(graphs.trade_graph(spark, sf).once().vertices, "nodes").withColumn("kind", F.substring("id", 1, 1))
     sketches = gr.written(eda.node_sketches(nodes, F.col("kind")), "sketches")
     direct = eda.merged_estimate(eda.node_sketches(nodes, F.lit("*"))).scalar()
     near = lambda a, b: F.abs(a - b) <= 0.08 * b
