@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Column
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .sequence import numbered
+from .sequence import numbered, tasks_for
 
 SALT_CHUNK = 1_000_000              # edges of one source that a task gets at most
 HUB_BROADCAST_MAX = 100_000         # sources with more are broadcast only below this count
@@ -77,17 +77,18 @@ def edges_from_records(records: DataFrame, node: str = "node", links: str = "lin
     Records for the same node are merged as *sets* of (dst, cnt) pairs: an
     identical pair repeated on two lines counts once, different counts for
     the same target add up.  Counts <= 0 are dropped.  The exploded pairs are
-    shuffled once on (src, dst); the set merge and the sum then both run
-    inside that partitioning (one exchange instead of two).
+    written (parsed once), and shuffled once on (src, dst); the set merge and
+    the sum then both run inside that partitioning (one exchange instead of two).
     """
-    return _merged(records.select(F.col(node).cast("string").alias("src"), F.explode(F.col(links)).alias("dst", "cnt")))
+    return _merged(written(records.select(F.col(node).cast("string").alias("src"), F.explode(F.col(links)).alias("dst", "cnt")), "record-links"))
 
 
 def _merged(links: DataFrame) -> DataFrame:
-    """Exploded record links (src, dst, cnt) -> edge table."""
+    """Exploded record links (src, dst, cnt), a written table -> edge table.
+    The partitions follow the number of pairs."""
     pairs = (links.select("src", "dst", F.col("cnt").cast("bigint").alias("cnt"))
                   .where(F.col("src").isNotNull() & F.col("dst").isNotNull()))
-    return (pairs.repartition("src", "dst").distinct()
+    return (pairs.repartition(tasks_for(links), "src", "dst").distinct()
                  .groupBy("src", "dst").agg(F.sum("cnt").alias("cnt"))
                  .where(F.col("cnt") > 0))
 

@@ -29,7 +29,14 @@ from ..session import ensure_checkpoint_dir, scratch_path
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-ROWS_PER_TASK = 4_000_000
+ROWS_PER_TASK = 500_000
+
+
+def tasks_for(rows: DataFrame) -> int:
+    """Partitions for ``rows``, which are counted: ``ROWS_PER_TASK`` each, so
+    that a task's memory stays the same as the table grows, and at least the
+    cluster's default parallelism."""
+    return max(rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // ROWS_PER_TASK))
 
 
 def _pairs_in_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -78,7 +85,7 @@ def consecutive_pairs(df: DataFrame, group: str, order: list[str], value: str,
     rows = (df.select(F.col(group).alias("_g"), *[F.col(c) for c in order],
                       F.col(value).cast("string").alias("_v"))
               .where(F.col("_g").isNotNull()))
-    parts = partitions or max(spark.sparkContext.defaultParallelism, -(-rows.count() // ROWS_PER_TASK))
+    parts = partitions or tasks_for(rows)
     sort_key = ["_g", *order, "_v"]
     kind = rows.schema["_g"].dataType.simpleString()
     walked = (rows.repartitionByRange(parts, *sort_key).sortWithinPartitions(*sort_key).select("_g", "_v")
@@ -92,7 +99,8 @@ def consecutive_pairs(df: DataFrame, group: str, order: list[str], value: str,
                 .where("g1 = next_g and src is not null and dst is not null")
                 .select("src", "dst", F.lit(1).cast("long").alias("cnt")))
     inner = walked.where("edge = 0").select("src", "dst", "cnt")
-    return inner.unionByName(straddle).groupBy("src", "dst").agg(F.sum("cnt").alias("cnt"))
+    return (inner.unionByName(straddle).repartition(parts, "src", "dst")
+            .groupBy("src", "dst").agg(F.sum("cnt").alias("cnt")))
 
 
 def numbered(df: DataFrame, group: str, order: list[str], name: str = "position",
@@ -108,7 +116,7 @@ def numbered(df: DataFrame, group: str, order: list[str], name: str = "position"
     """
     spark = df.sparkSession
     keys = [group, *order]
-    parts = partitions or max(spark.sparkContext.defaultParallelism, -(-df.count() // ROWS_PER_TASK))
+    parts = partitions or tasks_for(df)
     path = scratch_path(spark, "numbered")
     (df.repartitionByRange(parts, *keys).withColumn("_part", F.spark_partition_id())).write.parquet(path)
     placed = spark.read.parquet(path)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.graph import Graph, edges_from_pairs
-from ..operators.sequence import consecutive_pairs
+from ..operators.sequence import consecutive_pairs, tasks_for
 
 HREF_PATTERN = 'href="([^"]*)"'
 
@@ -36,19 +36,22 @@ def trade_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Counting happens on the numeric keys; the string ids are built only for
     the aggregated pairs.  The two edge families have disjoint id prefixes,
-    so their union needs no further aggregation.
+    so their union needs no further aggregation.  Pairs seldom repeat, so they
+    are shuffled as they are, to partitions that follow the number of line items.
     """
     lineitem = table(spark, sf_dir, "lineitem")
+    parts = tasks_for(lineitem)
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     # Line items counted per (order, part) before the join: the join then
     # moves counted pairs, and a hot order key is split by AQE skew handling.
-    per_order = (lineitem.groupBy("l_orderkey", "l_partkey")
-                 .agg(F.count(F.lit(1)).alias("n")))
+    per_order = (lineitem.select("l_orderkey", "l_partkey").repartition(parts, "l_orderkey", "l_partkey")
+                 .groupBy("l_orderkey", "l_partkey").agg(F.count(F.lit(1)).alias("n")))
     cust_part = (per_order.join(orders, per_order.l_orderkey == orders.o_orderkey)
+                 .select("o_custkey", "l_partkey", "n").repartition(parts, "o_custkey", "l_partkey")
                  .groupBy("o_custkey", "l_partkey").agg(F.sum("n").alias("cnt"))
                  .select(_prefixed("C", "o_custkey").alias("src"),
                          _prefixed("P", "l_partkey").alias("dst"), "cnt"))
-    part_supp = (lineitem.groupBy("l_partkey", "l_suppkey").agg(F.count(F.lit(1)).alias("cnt"))
+    part_supp = (lineitem.select("l_partkey", "l_suppkey").repartition(parts, "l_partkey", "l_suppkey").groupBy("l_partkey", "l_suppkey").agg(F.count(F.lit(1)).alias("cnt"))
                  .select(_prefixed("P", "l_partkey").alias("src"),
                          _prefixed("S", "l_suppkey").alias("dst"), "cnt"))
     return cust_part.unionByName(part_supp)
