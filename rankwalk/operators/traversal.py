@@ -129,6 +129,7 @@ def strong_components(graph: Graph, salt_chunk: int = pr.DEFAULT_SALT_CHUNK) ->
     never above that of v, so the largest colour that arrives backwards tells
     whether any equals the receiver's.
     """
+    graph = graph.once()
     forth = pr.prepare(graph, salt_chunk)
     back = None
     try:
@@ -189,8 +190,9 @@ def chain_structure(graph: Graph, salt_chunk: int = pr.DEFAULT_SALT_CHUNK) -> Da
     which is that of level(u) + 1 - level(v) over its links u -> v, the level
     being the distance from the component's smallest id inside the component.
     """
-    labels = pr.cut_lineage(strong_components(graph, salt_chunk), mode="parquet")
     edges = pr.cut_lineage(graph.edges.select("src", "dst", "cnt"), mode="parquet")
+    graph = Graph(edges, graph.extra_ids)
+    labels = pr.cut_lineage(strong_components(graph, salt_chunk), mode="parquet")
 
     def at_ends(links: DataFrame, values: DataFrame, name: str) -> DataFrame:
         end = lambda c: values.select(F.col("id").alias(c), F.col(name).alias(f"{c}_{name}"))
