@@ -21,8 +21,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-PIECE_BYTES = 1 << 20
-BLOCK_BYTES = 1 << 20
+PIECE_BYTES = 1 << 19
+BLOCK_BYTES = 1 << 19
 
 _U = np.uint64
 _BYTE_VALUES = np.random.Generator(np.random.PCG64(20240607)).integers(1, 2**63, 256, dtype=np.uint64) * _U(2) + _U(1)
