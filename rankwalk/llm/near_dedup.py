@@ -18,17 +18,23 @@ Of the few nodes that are left the full sets are written, and the rest uses
 their ``WIDE`` smallest hashes.  Inverted lists hold the values that two wide
 sketches retain.  Nodes that must share r values share ``m`` of them among the
 S - r + m rarest of their S listed ones, so each node enters only these lists,
-and those with S < r none; r is larger for the smaller of two nodes, and only
-pairs of a smaller and a larger one are made.  A list's common places and the
-sizes bound what two nodes can share at all.  Pairs that meet in m lists are
+and those with S < r none; r is larger for the smaller of two nodes.  A list's
+common places and the sizes bound what two nodes can share at all.  Pairs are
 estimated by the union's sketch, and those that pass are verified by the exact
 Jaccard similarity of their full sets.
 
 No group is expanded into all its pairs.  Two rounds compare a node with one
 other node of its lists (first the one with the most listed values, as an
-original among its copies; then one at random), linear in the lists; the last
+original among its copies; then one at random) that it meets in m lists, linear
+in the lists; the last
 round takes pairs only between different components of the links found so far,
-and all of them.  A link inside a component cannot change it.
+and all of them.  A link inside a component cannot change it.  While lists hold
+many more pairs between components than members and a round still finds links
+for a good part of its nodes, further such rounds (``MOST_ROUNDS`` in all) come
+before the last one.  In that one the members of a list outside its largest
+component meet the others at the first value they share only, and only where
+the parity bits of their full sets allow a link: bits that differ are values
+that differ, so this bound is exact and leaves few pairs that do not link.
 
 Scale: value counts, lists and pairs are shuffled on even keys, hot lists meet
 written tables only (so that Spark can split them), and only full sets of nodes
@@ -61,7 +67,10 @@ from .textkernel import mix, pieces, shingle_sets
 
 SHINGLE, SHARE = 5, 85
 K, WIDE, MEET, MISS = 128, 512, 8, 1e-12
-ROUNDS = 2
+ROUNDS, MOST_ROUNDS, CROSSING, VAIN = 2, 8, 8, 10
+BEFORE = 8
+PARITY_LOG2 = 10
+WORDS = [f"odd{i}" for i in range(1 << PARITY_LOG2 - 6)]
 RETAINED = Shape(depth=2, log2=27)
 INVOLVED = Shape(depth=2, log2=24)
 
@@ -84,6 +93,14 @@ def set_digest(hashes: np.ndarray) -> bytes:
     return hashlib.md5(hashes.tobytes()).digest()
 
 
+def parity_bits(hashes: np.ndarray) -> np.ndarray:
+    """2**PARITY_LOG2 bits as words: has a cell an odd number of the hashes?
+    Two sets differ in at least as many values as their bits differ."""
+    cells = (mix(hashes ^ np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - PARITY_LOG2)).astype(np.int64)
+    odd = np.bincount(cells, minlength=1 << PARITY_LOG2).astype(np.uint8) & np.uint8(1)
+    return np.packbits(odd, bitorder="little").view(np.int64)
+
+
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.LargeListArray.from_arrays(np.cumsum([0, *map(len, arrays)]), np.concatenate([np.zeros(0, np.int64), *arrays])).cast(pa.list_(pa.int64()))
 
@@ -168,10 +185,12 @@ def listed(sets: DataFrame) -> DataFrame:
     return found
 
 
-def _possible(a: str, b: str) -> Column:
-    """Can the nodes of two entries (columns with suffix a and b) of a list link?"""
+def _possible(a: str, b: str, upto: Column | None = None) -> Column:
+    """Can the nodes of two entries (columns with suffix a and b) of a list link
+    that share at most ``upto`` of their values up to this one?"""
     c = lambda name, side: F.col(name + side)
-    most = F.least(c("place", a), c("place", b)) + F.least(c("size", a) - c("place", a), c("size", b) - c("place", b))
+    upto = F.least(c("place", a), c("place", b)) if upto is None else upto
+    most = upto + F.least(c("size", a) - c("place", a), c("size", b) - c("place", b))
     whole = F.greatest(c("n", a), c("n", b)) <= WIDE
     return ((100 * c("n", a) >= SHARE * c("n", b)) & (100 * c("n", b) >= SHARE * c("n", a)) & (c("root", a) != c("root", b))
             & (most >= F.when(whole, F.ceil(SHARE * (c("n", a) + c("n", b)) / (100 + SHARE))).otherwise(LEAST_WIDE)))
@@ -196,15 +215,50 @@ def _star_pairs(lists: DataFrame, turn: int) -> DataFrame:
     return met.groupBy("a").agg(F.max_by("b", "met").alias("b"))
 
 
-def _open_pairs(lists: DataFrame) -> DataFrame:
-    """All candidates between different components."""
-    split = lists.groupBy("value").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("value")
-    rows = materialise(lists.join(materialise(split, "open-values"), "value"), "open-lists")
-    side = lambda x, need: rows.where(f"place <= size - {need} + m and size >= {need}").select(
-        "value", *[F.col(c).alias(c + x) for c in rows.columns if c != "value"])
-    smaller = F.struct("n_a", "node_a") < F.struct("n_b", "node_b")
-    entries = side("_a", "rs").join(side("_b", "r"), "value").where(smaller & _possible("_a", "_b"))
-    return _met(entries.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"), F.least("m_a", "m_b").alias("enough"))).select("a", "b")
+def _parity_allows() -> Column:
+    """Do the bits of the nodes a and b differ in no more than the shingles of linked sets?"""
+    differ = sum((F.bit_count(F.col(f"{w}_a").bitwiseXOR(F.col(f"{w}_b"))) for w in WORDS[1:]),
+                 F.bit_count(F.col(f"{WORDS[0]}_a").bitwiseXOR(F.col(f"{WORDS[0]}_b"))))
+    both = F.col("n_a") + F.col("n_b")
+    return differ <= both - 2 * F.ceil(SHARE * both / (100 + SHARE))
+
+
+def _list_roots(lists: DataFrame) -> DataFrame:
+    """(value, root, c): members of each component in each list at whose place
+    the first value that linked nodes share can stand."""
+    return materialise(_beginnings(lists).groupBy("value", "root").agg(F.count(F.lit(1)).alias("c")), "list-roots")
+
+
+def _beginnings(lists: DataFrame) -> DataFrame:
+    return lists.where("size >= least(r, rs) and place <= size - least(r, rs) + 1")
+
+
+def _crowded(held: DataFrame) -> bool:
+    """Do the lists hold more than ``CROSSING`` pairs between components for each member?"""
+    lists = held.groupBy("value").agg(F.sum("c").cast("double").alias("c"), F.sum(F.col("c") * F.col("c")).cast("double").alias("inside"))
+    crossing, members = lists.agg(F.sum((F.col("c") * F.col("c") - F.col("inside")) / 2), F.sum("c")).first()
+    return (crossing or 0) > CROSSING * (members or 0)
+
+
+def _open_pairs(lists: DataFrame, held: DataFrame, sets: DataFrame) -> DataFrame:
+    """All candidates between different components: of each list the members
+    outside its largest component meet all others of the list."""
+    split = held.groupBy("value").agg(F.max_by("root", "c").alias("main"), F.count(F.lit(1)).alias("roots")).where("roots > 1").drop("roots")
+    split = materialise(split, "open-values")
+    rows = _beginnings(lists).join(split, "value").select("value", "node", "n", "place", "size", "root", "main")
+    earlier = Window.partitionBy("node").orderBy("place").rowsBetween(-BEFORE, -1)
+    rows = (rows.withColumn("before", F.collect_list("value").over(earlier))
+            .join(sets.select("node", *[F.col("parity")[i].alias(w) for i, w in enumerate(WORDS)]), "node"))
+    rows = materialise(rows, "open-lists")
+    side = lambda x: rows.select("value", *[F.col(c).alias(c + x) for c in rows.columns if c != "value"])
+    once = (F.col("root_b") == F.col("main_b")) | (F.col("node_a") < F.col("node_b"))
+    # Linked nodes share nothing before the first value that they share; lists
+    # further on, as far back as BEFORE tells, only repeat the pair.
+    first = _possible("_a", "_b", F.lit(1)) & _parity_allows() & ~F.arrays_overlap("before_a", "before_b")
+    met = side("_a").where("root_a <> main_a").join(side("_b"), "value").where(once & first)
+    pairs = materialise(met.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct(), "pairs")
+    discard(split, rows)
+    return pairs
 
 
 def _beside(pairs: DataFrame, arrays: DataFrame, column: Column) -> DataFrame:
@@ -240,30 +294,38 @@ def full_sets(docs: DataFrame, nodes: DataFrame, involved: Shape) -> DataFrame:
         for batch in batches:
             for piece in pieces(batch.column("text").filter(pa.array(passes(ids(batch.column("doc_id")))))):
                 sets = list(shingle_sets(piece, SHINGLE))
-                yield pa.RecordBatch.from_arrays([pa.array([set_digest(s) for s in sets], pa.binary()), _lists([_signed(s) for s in sets])],
-                                                 ["digest", "shingles"])
+                yield pa.RecordBatch.from_arrays([pa.array([set_digest(s) for s in sets], pa.binary()), _lists([_signed(s) for s in sets]),
+                                                  _lists([parity_bits(s) for s in sets])], ["digest", "shingles", "parity"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(build, "digest binary, shingles array<long>")
-    return materialise(rows.join(nodes.select("digest", "node", "n"), "digest").select("node", "n", "shingles").dropDuplicates(["node"]), "sets")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(build, "digest binary, shingles array<long>, parity array<long>")
+    return materialise(rows.join(nodes.select("digest", "node", "n"), "digest").select("node", "n", "shingles", "parity").dropDuplicates(["node"]), "sets")
 
 
 def near_duplicates(docs: DataFrame, retained: Shape = RETAINED, involved: Shape = INVOLVED) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id, kept."""
-    rows = sketches(docs)
-    ids = materialise(rows.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.min("nr").alias("node")), "nodes")
-    nodes = survivors(rows, ids, retained, involved)
+    described = sketches(docs)
+    ids = materialise(described.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.min("nr").alias("node")), "nodes")
+    nodes = survivors(described, ids, retained, involved)
+    rows = materialise(described.select("doc_id", "n", "digest"), "rows")
+    discard(described)
     sets = full_sets(docs, nodes, involved)
     lists = listed(sets)
-    links, labels = None, None
-    for turn in range(ROUNDS + 1):
+    links, labels, vain = None, None, False
+    for turn in range(MOST_ROUNDS + 1):
         at = lists.withColumn("root", F.col("node"))
         if labels is not None:
             at = materialise(lists.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node")), "labelled-lists")
-        pairs = materialise(_star_pairs(at, turn) if turn < ROUNDS else _open_pairs(at), "pairs")
-        pairs = materialise(estimated(pairs, sets), "candidates")
+        held = _list_roots(at) if turn >= ROUNDS else None
+        last = held is not None and (vain or turn == MOST_ROUNDS or not _crowded(held))
+        met = _open_pairs(at, held, sets) if last else materialise(_star_pairs(at, turn), "pairs")
+        pairs = materialise(estimated(met, sets), "candidates")
         more = materialise(verified(pairs, sets), "links-found")
+        vain = VAIN * more.count() < met.count()
+        discard(met, pairs, *([] if labels is None else [at]), *([] if held is None else [held]))
         links = more if links is None else links.union(more)
         labels = components(links)
+        if last:
+            break
     discard(sets, lists)
     of_root = labels.join(ids, "node").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     grouped = materialise(labels.join(materialise(of_root, "roots"), "root").select("node", "component_id", F.lit(True).alias("linked")), "grouped-nodes")

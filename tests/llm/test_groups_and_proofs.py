@@ -58,6 +58,58 @@ def test_no_link_is_lost(spark):
     same_as_sql(near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), **SMALL), con, oracle.near_duplicates())
 
 
+def family(rng, size, tag, copies, share):
+    """Copies of a text that each keep ``share`` of its words."""
+    base = [f"{tag}{j}" for j in range(size)]
+    texts = []
+    for _ in range(copies):
+        copy = list(base)
+        for at in rng.sample(range(size), round(size * (1 - share))):
+            copy[at] = f"e{rng.randrange(10**9)}"
+        texts.append(" ".join(copy))
+    return texts
+
+
+def test_alike_documents_that_do_not_link_are_not_paired(spark, monkeypatch):
+    """Groups whose members are 0.6 to 0.8 alike: the pairs to estimate stay few, not the square of a group."""
+    rng = random.Random(5)
+    texts = [x for size, share in ((300, 0.965), (700, 0.955), (1400, 0.955)) for x in family(rng, size, f"g{size}x", 40, share)]
+    counts, estimated = [], near_dedup.estimated
+    monkeypatch.setattr(near_dedup, "estimated", lambda pairs, sets: counts.append(pairs.count()) or estimated(pairs, sets))
+    rows = list(enumerate(texts))
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame(rows, columns=["doc_id", "text"]))
+    same_as_sql(near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), **SMALL), con, oracle.near_duplicates())
+    assert max(counts) <= 2 * len(texts), counts
+
+
+@pytest.mark.parametrize("most", [0, 4])
+def test_links_without_and_with_many_rounds(spark, monkeypatch, most):
+    """Groups around the limit: the last round alone finds every component, and so it does after many others."""
+    monkeypatch.setattr(near_dedup, "ROUNDS", 0)
+    monkeypatch.setattr(near_dedup, "MOST_ROUNDS", most)
+    monkeypatch.setattr(near_dedup, "CROSSING", 0)
+    monkeypatch.setattr(near_dedup, "VAIN", 0)
+    rng = random.Random(7)
+    texts = [x for size in (200, 560, 900) for share in (0.995, 0.991, 0.987) for x in family(rng, size, f"g{size}x", 6, share)]
+    rows = list(enumerate(texts))
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame(rows, columns=["doc_id", "text"]))
+    found = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), **SMALL)
+    assert 3 < found.select("component_id").distinct().count() < len(texts)
+    same_as_sql(found, con, oracle.near_duplicates())
+
+
+def test_parity_bits_never_exceed_the_difference():
+    rng = np.random.default_rng(2)
+    for size in (1, 5, 100, 3000):
+        x = np.unique(rng.integers(0, 2**63, size).astype(np.uint64))
+        y = np.unique(np.concatenate([x[: size // 2], rng.integers(0, 2**63, size).astype(np.uint64)]))
+        bits = lambda s: near_dedup.parity_bits(s).view(np.uint8)
+        assert np.unpackbits(bits(x) ^ bits(y)).sum() <= len(np.setxor1d(x, y))
+        assert np.array_equal(bits(x), bits(x[::-1]))
+
+
 def test_estimates_fall_short_rarely():
     for k in (near_dedup.K, near_dedup.WIDE):
         least = near_dedup.least_shared(k, 1e-12)
