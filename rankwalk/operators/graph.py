@@ -19,27 +19,33 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Column
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import FREED_CONF, scratch_path, session_conf
 from .sequence import numbered, tasks_for
 
 SALT_CHUNK = 1_000_000              # edges of one source that a task gets at most
 HUB_BROADCAST_MAX = 100_000         # sources with more are broadcast only below this count
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, folders: list[str] | None = None) -> DataFrame:
     """``df`` as a table in the shared checkpoint folder: evaluated once, and
-    on either side of a join Spark can split a hot key's partition."""
+    on either side of a join Spark can split a hot key's partition.  Its
+    shuffles are freed at once; ``folders`` gets the folder, for who deletes it."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    if folders is not None:
+        folders.append(path)
+    with session_conf(df.sparkSession, FREED_CONF):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 @dataclass(frozen=True)
 class Graph:
     """``edges`` (src, dst, cnt) plus optional ``extra_ids`` (id): nodes that
-    must exist even without any link (records with an empty link list)."""
+    must exist even without any link (records with an empty link list).
+    ``stored``: the edges are a written table, which costs little to read again."""
     edges: DataFrame
     extra_ids: DataFrame | None = None
+    stored: bool = False
 
     @property
     def vertices(self) -> DataFrame:
@@ -48,7 +54,7 @@ class Graph:
     def once(self) -> "Graph":
         """The same graph with its edges written, so that an operator which
         reads them several times evaluates their source once."""
-        return Graph(written(self.edges.select("src", "dst", "cnt"), "edges"), self.extra_ids)
+        return Graph(written(self.edges.select("src", "dst", "cnt"), "edges"), self.extra_ids, stored=True)
 
 
 def _id(c: Column | str) -> Column:

@@ -10,7 +10,8 @@ where ``m`` is the total rank held by dangling nodes *before* the step and
 
 Physical shape (asserted on the plan in ``tests/test_pagerank.py``):
 
-* The edge source is evaluated once, while building three persisted tables:
+* The edge source is evaluated once, into a written table from which three
+  persisted tables are built (and a lost block is computed again):
   ``vertices`` (id, dangling, nsalt, out_degree) and ``links`` (src, dst,
   cnt), both hash-partitioned on the node id with the same partition count,
   and ``hub_links`` (src, salt, dst, cnt) for the few sources with more than
@@ -35,12 +36,13 @@ Physical shape (asserted on the plan in ``tests/test_pagerank.py``):
   The cut is planned statically (AQE off for that one action) because only a
   static plan reports the hash partitioning that the checkpoint then keeps;
   AQE has nothing to re-plan in a loop whose layout is fixed up front.
+* Disk does not grow with the steps: a step's shuffle goes when its checkpoint
+  is written, and the shuffles that made the edges when these are.
 """
 
 from __future__ import annotations
 
 import uuid
-from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -48,10 +50,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .graph import HUB_BROADCAST_MAX, SALT_CHUNK, Graph, out_degree, written
-from ..session import ensure_checkpoint_dir, scratch_path
+from ..session import FREED_CONF, drop_path, ensure_checkpoint_dir, scratch_path, session_conf
 
 DEFAULT_SALT_CHUNK = SALT_CHUNK     # target links per (hub, salt) bucket
 EDGES_PER_PARTITION = 1_000_000     # sizing of the loop's fixed partitioning
+READ_BYTES = 16 << 20               # of the written edges that a task reads: about as many links
 
 
 @dataclass
@@ -65,6 +68,7 @@ class PreparedGraph:
     partitions: int               # P of every table and exchange of the loop
     n_dangling: int = -1          # -1: unknown
     _persisted: list = field(default_factory=list)
+    _folders: list = field(default_factory=list)    # written tables that a lost block is computed from
     views: dict = field(default_factory=dict)   # temp-view names of the step's SQL
 
     def release(self) -> None:
@@ -75,6 +79,9 @@ class PreparedGraph:
         for df in self._persisted:
             df.unpersist()
         self._persisted.clear()
+        for path in self._folders:
+            drop_path(spark, path)
+        self._folders.clear()
 
     def view(self, role: str) -> str:
         """Name of the temp view holding ``role`` (links, hub_links, vertices,
@@ -106,42 +113,47 @@ def prepare(graph: Graph, salt_chunk: int = DEFAULT_SALT_CHUNK,
     data-sized partition count of the loop.
     """
     held: list[DataFrame] = []
+    folders: list[str] = []
     try:
-        return _prepare(graph, salt_chunk, initial, partitions, held)
+        return _prepare(graph, salt_chunk, initial, partitions, held, folders)
     except BaseException:
         for df in held:
             df.unpersist()
+        for path in folders:
+            drop_path(graph.edges.sparkSession, path)
         raise
 
 
-def _prepare(graph: Graph, salt_chunk: int, initial: str, partitions: int | None, held: list[DataFrame]) -> PreparedGraph:
-    """``held`` gets every frame as it is persisted."""
+def _prepare(graph: Graph, salt_chunk: int, initial: str, partitions: int | None, held: list[DataFrame],
+             folders: list[str]) -> PreparedGraph:
+    """``held`` gets every frame as it is persisted, ``folders`` what is written."""
     spark = graph.edges.sparkSession
     level = StorageLevel.MEMORY_AND_DISK
 
     def persisted(df: DataFrame) -> DataFrame:
         held.append(df.persist(level))
         return df
-    # The raw edge table is cached with AQE allowed to coalesce its shuffle
-    # partitions by their real size (cached plans otherwise keep the session's
-    # partition count, e.g. 2 x 200 near-empty partitions for a small graph).
-    with session_conf(spark, {"spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true"}):
-        edges = persisted(graph.edges.select("src", "dst", "cnt"))
-    deg = persisted(out_degree(edges).withColumn("nsalt", F.ceil(F.col("n_targets") / F.lit(salt_chunk)).cast("int")))
-    # One pass over the source fills the edge cache and sizes the job.
+    # One pass over the source writes the edges; its shuffles, and those of the
+    # degrees, are gone before the tables of the loop are built.
+    edges = graph.edges.select("src", "dst", "cnt")
+    if not graph.stored:
+        edges = written(edges, "edges", folders)
+    with session_conf(spark, {"spark.sql.files.maxPartitionBytes": str(READ_BYTES)}):
+        deg = written(out_degree(edges).withColumn("nsalt", F.ceil(F.col("n_targets") / F.lit(salt_chunk)).cast("int")), "degrees", folders)
     stats = deg.agg(F.coalesce(F.sum("n_targets"), F.lit(0)).alias("links"),
                     F.count(F.when(F.col("n_targets") > salt_chunk, 1)).alias("hubs")).first()
     n_hubs = stats["hubs"]
     parts = partitions or loop_partitions(spark, stats["links"])
     # Tables of the loop get their ``parts`` partitions whatever the session's
     # default, so that a task's share stays the same as the graph grows.
-    with session_conf(spark, {"spark.sql.shuffle.partitions": str(parts), "spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+    with session_conf(spark, {"spark.sql.shuffle.partitions": str(parts), "spark.sql.adaptive.coalescePartitions.enabled": "false",
+                              "spark.sql.files.maxPartitionBytes": str(READ_BYTES)}):
         hub_links = None
         plain = edges
         if n_hubs:
             hubs = deg.where(F.col("n_targets") > salt_chunk).select("src", "nsalt")
             # Beyond the broadcast a written table: Spark then splits a hub's partition.
-            hub_side = F.broadcast(hubs) if n_hubs <= HUB_BROADCAST_MAX else written(hubs, "hubs")
+            hub_side = F.broadcast(hubs) if n_hubs <= HUB_BROADCAST_MAX else written(hubs, "hubs", folders)
             hub_links = persisted(edges.join(hub_side, "src")
                                   .select("src", F.pmod(F.xxhash64("dst"), F.col("nsalt")).cast("int").alias("salt"),
                                           "dst", "cnt")
@@ -170,12 +182,10 @@ def _prepare(graph: Graph, salt_chunk: int, initial: str, partitions: int | None
         links.count()
         if hub_links is not None:
             hub_links.count()
-    deg.unpersist()
-    edges.unpersist()                          # the persisted tables no longer need it
     start = F.lit(1.0 / n if n else 0.0) if initial == "uniform" else F.lit(1.0)
     state0 = vertices.withColumn("rank", start)
     kept = [links, vertices] + ([hub_links] if hub_links is not None else [])
-    return PreparedGraph(links, hub_links, vertices, state0, n, parts, n_dangling, kept)
+    return PreparedGraph(links, hub_links, vertices, state0, n, parts, n_dangling, kept, folders)
 
 
 def double_literal(x: float) -> str:
@@ -256,22 +266,6 @@ def step(state: DataFrame, prepared: PreparedGraph, alpha: float = 0.15,
     return _next_state(prepared, state, rank_sql)
 
 
-@contextmanager
-def session_conf(spark: SparkSession, settings: dict[str, str]):
-    """Apply SQL settings for the duration of a block, then restore them."""
-    old = {k: spark.conf.get(k, None) for k in settings}
-    for k, v in settings.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
-
-
 def _static_planning(spark: SparkSession, partitions: int | None):
     """Plan with AQE off and, if given, ``partitions`` shuffle partitions, so
     every exchange of a step lands on the loop's fixed partitioning."""
@@ -287,26 +281,26 @@ def cut_lineage(df: DataFrame, mode: str = "checkpoint", partitions: int | None
 
     ``checkpoint``: Spark's reliable checkpoint, planned statically so the
     frame keeps its hash partitioning; ``parquet``: a written table in the same
-    folder (partitioning is not kept).
+    folder (partitioning is not kept).  Either way the shuffles that made it are
+    freed: a loop holds those of one step, however many it runs.
     """
     spark = df.sparkSession
     if mode == "checkpoint":
         ensure_checkpoint_dir(spark)
-        with _static_planning(spark, partitions):
-            return df.checkpoint(eager=True)
+        with _static_planning(spark, partitions), session_conf(spark, FREED_CONF):
+            return df.select("*").checkpoint(eager=True)
     path = scratch_path(spark, "state")
-    df.write.mode("overwrite").parquet(path)
+    with session_conf(spark, FREED_CONF):
+        df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
 def drop_checkpoint(df: DataFrame) -> None:
     """Delete the files of a state that :func:`cut_lineage` checkpointed and
     that nothing reads any more (its successor has been written)."""
-    context = df.sparkSession.sparkContext
     kept = df._jdf.queryExecution().logical().rdd().getCheckpointFile()
     if kept.isDefined():
-        path = context._jvm.org.apache.hadoop.fs.Path(kept.get())
-        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+        drop_path(df.sparkSession, kept.get())
 
 
 def materialize(df: DataFrame, partitions: int | None = None) -> DataFrame:
@@ -322,7 +316,7 @@ def materialize(df: DataFrame, partitions: int | None = None) -> DataFrame:
 def iterate(prepared: PreparedGraph, max_iter: int, alpha: float = 0.15,
             redistribute: bool = True, teleport: bool = True,
             tol: float | None = None, keep_states: bool = False,
-            checkpoint_every: int = 1, deltas: list | None = None):
+            checkpoint_every: int = 1, deltas: list | None = None, each=None):
     """Run ``max_iter`` steps (or fewer once the largest change drops below
     ``tol``).  Returns the final state, and the list of all states when
     ``keep_states`` is set (for per-step metrics).
@@ -332,12 +326,16 @@ def iterate(prepared: PreparedGraph, max_iter: int, alpha: float = 0.15,
     is written they are released and the checkpoint before it is deleted, so at
     most two are held (all of them with ``keep_states``) and a lost executor
     recomputes at most ``checkpoint_every`` steps.  With ``tol`` the largest
-    change of every step is appended to ``deltas``.
+    change of every step is appended to ``deltas``.  ``each(i, state, before)``
+    is called for every state while it and the one before it (None for the
+    first) exist, so per-step metrics need no kept states.
     """
     parts = prepared.partitions
     every = max(1, checkpoint_every)
     state = cut_lineage(prepared.state0, partitions=parts)
     states = [state] if keep_states else []
+    if each is not None:
+        each(0, state, None)
     written, persisted = state, []              # the last checkpoint, and what was persisted since
     try:
         for i in range(1, max_iter + 1):
@@ -352,6 +350,8 @@ def iterate(prepared: PreparedGraph, max_iter: int, alpha: float = 0.15,
                             .agg(F.max(F.abs(F.col("rank") - F.col("_old")))).first()[0])
                 if deltas is not None:
                     deltas.append(delta)
+            if each is not None:
+                each(i, new, state)
             stop = tol is not None and (delta is None or delta < tol)
             if stop and not cut:
                 new, cut = cut_lineage(new, partitions=parts), True
@@ -394,31 +394,27 @@ def pagerank_metrics(graph: Graph, alpha: float = 0.15, max_iter: int = 10,
                      redistribute: bool = True, teleport: bool = True) -> DataFrame:
     """(step, dangling_mass, total_mass, max_delta) for states 0..max_iter.
 
-    The per-step states are the checkpoints the loop writes anyway; the
-    metrics are one lazy union of aggregates over them, so the loop runs no
-    extra job.  ``max_delta`` joins consecutive states, which share their
-    partitioning on ``id``.
+    The metrics of a step are gathered while its state and the one before it
+    exist (one row a step), so the loop never holds more than two states.
+    ``max_delta`` joins them on ``id``, by which both are partitioned.
     """
+    rows: list = []
+
+    def gather(i: int, s: DataFrame, before: DataFrame | None) -> None:
+        change = F.lit(None).cast("double")
+        if before is not None:
+            prev = before.select("id", F.col("rank").alias("_old"))
+            change = s.join(prev, "id").agg(F.max(F.abs(F.col("rank") - F.col("_old")))).scalar()
+        masses = s.agg(F.coalesce(F.sum(F.when(F.col("dangling"), F.col("rank"))), F.lit(0.0)).alias("dangling_mass"),
+                       F.coalesce(F.sum("rank"), F.lit(0.0)).alias("total_mass"))
+        rows.append((i, *masses.withColumn("max_delta", change).first()))
+
     prepared = prepare(graph, salt_chunk)
     try:
-        _, states = iterate(prepared, max_iter, alpha, redistribute, teleport, keep_states=True)
+        drop_checkpoint(iterate(prepared, max_iter, alpha, redistribute, teleport, each=gather))
     finally:
         prepared.release()
-    frames = []
-    for i, s in enumerate(states):
-        agg = s.agg(F.coalesce(F.sum(F.when(F.col("dangling"), F.col("rank"))), F.lit(0.0)).alias("dangling_mass"),
-                    F.coalesce(F.sum("rank"), F.lit(0.0)).alias("total_mass"))
-        if i == 0:
-            agg = agg.withColumn("max_delta", F.lit(None).cast("double"))
-        else:
-            prev = states[i - 1].select("id", F.col("rank").alias("_old"))
-            d = s.join(prev, "id").agg(F.max(F.abs(F.col("rank") - F.col("_old"))).alias("max_delta"))
-            agg = agg.withColumn("max_delta", d.scalar())
-        frames.append(agg.select(F.lit(i).alias("step"), "dangling_mass", "total_mass", "max_delta"))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    return graph.edges.sparkSession.createDataFrame(rows, "step int, dangling_mass double, total_mass double, max_delta double")
 
 
 def pagerank_convergence(graph: Graph, alpha: float = 0.15, tol: float = 1e-6, max_iter: int = 100,

@@ -114,7 +114,7 @@ def hop_distances(graph: Graph, starts: DataFrame | None = None, salt_chunk: int
 
 
 def _reversed(graph: Graph) -> Graph:
-    return Graph(graph.edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "cnt"), graph.extra_ids)
+    return Graph(graph.edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "cnt"), graph.extra_ids, graph.stored)
 
 
 def strong_components(graph: Graph, salt_chunk: int = pr.DEFAULT_SALT_CHUNK) -> DataFrame:
@@ -129,7 +129,7 @@ def strong_components(graph: Graph, salt_chunk: int = pr.DEFAULT_SALT_CHUNK) ->
     never above that of v, so the largest colour that arrives backwards tells
     whether any equals the receiver's.
     """
-    graph = graph.once()
+    graph = graph if graph.stored else graph.once()
     forth = pr.prepare(graph, salt_chunk)
     back = None
     try:
@@ -191,7 +191,7 @@ def chain_structure(graph: Graph, salt_chunk: int = pr.DEFAULT_SALT_CHUNK) -> Da
     being the distance from the component's smallest id inside the component.
     """
     edges = pr.cut_lineage(graph.edges.select("src", "dst", "cnt"), mode="parquet")
-    graph = Graph(edges, graph.extra_ids)
+    graph = Graph(edges, graph.extra_ids, stored=True)
     labels = pr.cut_lineage(strong_components(graph, salt_chunk), mode="parquet")
 
     def at_ends(links: DataFrame, values: DataFrame, name: str) -> DataFrame:
